@@ -65,7 +65,7 @@ def save_model(spark: SparkSession, model: TwoHeadModel, directory: str, keep: i
 
 def load_model(spark: SparkSession, path: str) -> TwoHeadModel:
     """Load one checkpoint: a row per class, whatever the data size."""
-    rows = spark.read.schema(WEIGHT_SCHEMA).parquet(path).orderBy("class").collect()
+    rows = sorted(spark.read.schema(WEIGHT_SCHEMA).parquet(path).collect(), key=lambda r: r["class"])
     stacked = {
         field: [np.array([r[field] for r in rows if r["head"] == head]) for head in HEADS]
         for field in ("weights", "first", "second")

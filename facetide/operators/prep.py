@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from facetide.functions import age_at
 from facetide.functions._util import as_column
+from facetide.session import checkpointed
 
 # Fixed values of the quality gates.
 MIN_SCORE = 0.75
@@ -45,8 +46,13 @@ def with_age(meta: DataFrame) -> DataFrame:
 
 
 def score_ok(score: Column | str = "score", minimum: float = MIN_SCORE) -> Column:
-    """Not below the minimum: NaN passes, -Infinity does not."""
-    return ~(as_column(score) < minimum)
+    """Not below the minimum: NaN passes, -Infinity does not.
+
+    NaN is asked for by name. A bare comparison would be pushed to the file scan, and writers other than Spark leave
+    NaN out of the minimum and maximum by which row groups are skipped.
+    """
+    col = as_column(score)
+    return F.isnan(col) | ~(col < minimum)
 
 
 def age_ok(age: Column | str = "age", low: int = MIN_AGE, high: int = MAX_AGE) -> Column:
@@ -88,16 +94,20 @@ def reject_reason(second_face: bool = False, n_detections: str | None = None) ->
 
 
 def clean(df: DataFrame, second_face: bool = False, n_detections: str | None = None) -> DataFrame:
-    """Rows that pass all gates. Plain conjuncts, so those on stored columns reach the file scan."""
+    """Rows that pass all gates, as plain conjuncts: those on stored integers and nulls reach the file scan."""
     for _, passes in _gates(second_face, n_detections):
         df = df.filter(passes)
     return df
 
 
 def exactly_one(df: DataFrame, detections: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key has exactly one row in ``detections``."""
+    """Rows of ``df`` whose key has exactly one row in ``detections``.
+
+    The keys are written out first: a join can only split a hot key of ``df`` at run time if neither side's shuffle
+    serves an aggregate as well.
+    """
     single = detections.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select(key)
-    return df.join(single, key, "left_semi")
+    return df.join(checkpointed(single), key, "left_semi")
 
 
 def to_example(df: DataFrame, *extra: str) -> DataFrame:

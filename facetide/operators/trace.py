@@ -23,7 +23,7 @@ def step_durations(steps: DataFrame, by: Sequence[str] = (), every: int = LOG_EV
     previous rows by itself, and only its first row needs the last time of an earlier block, which comes from
     a table with one row per block.
     """
-    logged = every_n(steps, "step", every).withColumn("_block", F.floor(F.col("step") / block))
+    logged = every_n(steps, "step", every).withColumn("_block", F.expr(f"step div {int(block)}"))
     in_block = Window.partitionBy(*by, "_block").orderBy("step")
     run = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_block")
     ends = (

@@ -113,7 +113,7 @@ def prepared_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "prepared")
     plans = sharded(fixtures.face_meta(spark, sf_dir), test_size=0.2, n_shards=6)
     rows = plans["train"][0].unionByName(plans["test"][0])
-    tables.write_prepared(prep.to_example(rows, "split", "shard"), path)
+    tables.write_prepared(prep.to_example(rows, "split", "shard"), path, 6)
     return tables.read_prepared(spark, path).select("file_name", "age", "gender", "split", "shard")
 
 

@@ -25,12 +25,17 @@ def _tables() -> np.ndarray:
 _T = _tables()
 
 
+def _advance(tables: np.ndarray, reg: np.ndarray) -> np.ndarray:
+    return tables[0][reg & 0xFFFF] ^ tables[1][reg >> 16]
+
+
 def _zeros(n_bytes: int) -> np.ndarray:
-    """Two tables that advance a register, low and high half, over ``n_bytes`` zero bytes."""
+    """Two tables that advance a register, by its low and high half, over ``n_bytes`` (a power of two) zero bytes."""
     halves = np.stack([np.arange(65536, dtype=np.uint32), np.arange(65536, dtype=np.uint32) << np.uint32(16)])
-    for _ in range(n_bytes // 2):
-        halves = _T[0][halves & 0xFFFF] ^ (halves >> 16)
-    return halves
+    tables = _T[0][halves & 0xFFFF] ^ (halves >> 16)
+    for _ in range(n_bytes.bit_length() - 2):
+        tables = _advance(tables, tables)
+    return tables
 
 
 _LANE_SHIFT = _zeros(LANE)
@@ -39,14 +44,14 @@ _LANE_SHIFT = _zeros(LANE)
 def _register(words: np.ndarray) -> np.ndarray:
     """Registers, from zero, over the 16-bit words of each row; the row length is a multiple of four words."""
     columns = np.ascontiguousarray(words.T)
-    reg = np.zeros(words.shape[0], dtype=np.uint32)
+    reg = np.zeros(words.shape[0], dtype="<u4")
     for at in range(0, len(columns), 4):
-        reg = (
-            _T[3][columns[at] ^ (reg & 0xFFFF)]
-            ^ _T[2][columns[at + 1] ^ (reg >> 16)]
-            ^ _T[1][columns[at + 2]]
-            ^ _T[0][columns[at + 3]]
-        )
+        halves = reg.view("<u2").reshape(-1, 2)
+        low, high = columns[at] ^ halves[:, 0], columns[at + 1] ^ halves[:, 1]
+        reg = _T[3].take(low)
+        reg ^= _T[2].take(high)
+        reg ^= _T[1].take(columns[at + 2])
+        reg ^= _T[0].take(columns[at + 3])
     return reg
 
 
@@ -63,7 +68,7 @@ def _equal_width(rows: list, width: int) -> np.ndarray:
     lanes = _register(grid.reshape(-1, LANE).view("<u2")).reshape(len(rows), -1)
     reg = lanes[:, 0]
     for lane in range(1, lanes.shape[1]):
-        reg = _LANE_SHIFT[0][reg & 0xFFFF] ^ _LANE_SHIFT[1][reg >> 16] ^ lanes[:, lane]
+        reg = _advance(_LANE_SHIFT, reg) ^ lanes[:, lane]
     return ~reg
 
 

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import struct
-from array import array
 
-# Fixed values of the wire format: key bytes of "field 1..3, length-delimited", and "field 1, varint".
-LEN1, LEN2, LEN3, VARINT1, FLOAT1 = 0x0A, 0x12, 0x1A, 0x08, 0x0D
+# Fixed values of the wire format: key bytes of "field 1..3, length-delimited", and the value kinds by field number.
+LEN1, LEN2, LEN3 = 0x0A, 0x12, 0x1A
 KINDS = {1: "bytes", 2: "float", 3: "int"}
 
 
@@ -19,23 +18,36 @@ def _varint(value: int) -> bytes:
     return bytes(out)
 
 
-def _delimited(key: int, body: bytes) -> bytes:
-    return bytes((key,)) + _varint(len(body)) + body
+def _wrap(key: int, parts: list[bytes], size: int) -> int:
+    """Put the key and length of a message of ``size`` bytes in front of its parts; returns the new size."""
+    head = bytes((key,)) + _varint(size)
+    parts.insert(0, head)
+    return size + len(head)
 
 
 def encode(features: list[tuple[str, str, list]]) -> bytes:
-    """Serialize ``(name, kind, values)`` features."""
-    entries = []
+    """Serialize ``(name, kind, values)`` features. Parts are joined once, so large values are copied once."""
+    out: list[bytes] = []
+    total = 0
     for name, kind, values in features:
         if kind == "bytes":
-            body = _delimited(LEN1, b"".join(_delimited(LEN1, v) for v in values))
-        elif kind == "float":
-            body = _delimited(LEN2, _delimited(LEN1, struct.pack(f"<{len(values)}f", *values)))
+            parts = [p for v in values for p in (bytes((LEN1,)) + _varint(len(v)), v)]
+            size = _wrap(LEN1, parts, sum(map(len, parts)))
         else:
-            packed = b"".join(_varint(v & 0xFFFFFFFFFFFFFFFF) for v in values)
-            body = _delimited(LEN3, _delimited(LEN1, packed))
-        entries.append(_delimited(LEN1, _delimited(LEN1, name.encode()) + _delimited(LEN2, body)))
-    return _delimited(LEN1, b"".join(entries))
+            if kind == "float":
+                packed = struct.pack(f"<{len(values)}f", *values)
+            else:
+                packed = b"".join(_varint(v & 0xFFFFFFFFFFFFFFFF) for v in values)
+            parts = [packed]
+            size = _wrap(LEN1, parts, len(packed))
+            size = _wrap(LEN2 if kind == "float" else LEN3, parts, size)
+        size = _wrap(LEN2, parts, size)
+        text = name.encode()
+        parts.insert(0, bytes((LEN1,)) + _varint(len(text)) + text)
+        total += _wrap(LEN1, parts, size + len(parts[0]))
+        out += parts
+    _wrap(LEN1, out, total)
+    return b"".join(out)
 
 
 def _read_varint(buf, at: int) -> tuple[int, int]:
@@ -49,26 +61,34 @@ def _read_varint(buf, at: int) -> tuple[int, int]:
         shift += 7
 
 
-def _fields(buf, at: int, end: int):
-    """(field number, wire type, start, end or value) of each field."""
+def _fields(buf, at: int, end: int) -> list[tuple]:
+    """(field number, wire type, start, end) of each field; a plain integer has its value for a start."""
+    out = []
     while at < end:
-        key, at = _read_varint(buf, at)
+        key = buf[at]
+        at += 1
+        if key > 0x7F:
+            key, at = _read_varint(buf, at - 1)
         wire = key & 7
         if wire == 2:
-            size, at = _read_varint(buf, at)
+            size = buf[at]
+            at += 1
+            if size > 0x7F:
+                size, at = _read_varint(buf, at - 1)
             if at + size > end:
                 raise ValueError("truncated message")
-            yield key >> 3, wire, at, at + size
+            out.append((key >> 3, wire, at, at + size))
             at += size
         elif wire == 0:
             value, at = _read_varint(buf, at)
-            yield key >> 3, wire, value, None
+            out.append((key >> 3, wire, value, None))
         elif wire in (1, 5):
             width = 8 if wire == 1 else 4
-            yield key >> 3, wire, at, at + width
+            out.append((key >> 3, wire, at, at + width))
             at += width
         else:
             raise ValueError(f"unsupported wire type {wire}")
+    return out
 
 
 def _signed(value: int) -> int:
@@ -83,7 +103,7 @@ def _values(buf, kind: str, start: int, end: int) -> list:
         if kind == "bytes":
             out.append(bytes(buf[a:b]))
         elif kind == "float":
-            out.extend(array("f", bytes(buf[a:b])))
+            out.extend(struct.unpack(f"<{(b - a) // 4}f", buf[a:b]))
         elif wire == 0:
             out.append(_signed(a))
         else:
@@ -102,17 +122,16 @@ def decode(buf, wanted: set[str] | None = None) -> dict[str, tuple[str | None, l
         for number, _, a, b in _fields(buf, start, end):
             if number != 1:
                 continue
-            name, feature = "", None
-            for number, _, c, d in _fields(buf, a, b):
+            name, c, d = "", 0, 0
+            for number, _, e, f in _fields(buf, a, b):
                 if number == 1:
-                    name = str(buf[c:d], "utf-8")
+                    name = str(buf[e:f], "utf-8")
                 elif number == 2:
-                    feature = (c, d)
-            if wanted is not None and name not in wanted:
-                continue
-            kind, values = None, []
-            for number, _, c, d in _fields(buf, *feature) if feature else ():
-                if number in KINDS:
-                    kind, values = KINDS[number], _values(buf, KINDS[number], c, d)
-            features[name] = (kind, values)
+                    c, d = e, f
+            if wanted is None or name in wanted:
+                kind, values = None, []
+                for number, _, e, f in _fields(buf, c, d):
+                    if number in KINDS:
+                        kind, values = KINDS[number], _values(buf, KINDS[number], e, f)
+                features[name] = (kind, values)
     return features

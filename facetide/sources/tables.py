@@ -18,13 +18,17 @@ def read_meta(spark: SparkSession, path: str, source: str, fmt: str = "parquet",
     )
 
 
-def write_prepared(df: DataFrame, path: str) -> None:
+def write_prepared(df: DataFrame, path: str, n_shards: int, partitioned: bool = False) -> None:
     """Parquet with one folder per split and shard, so later reads open only what they ask for.
 
-    Each row goes to a task by its split and shard first: one file per folder, not one per task and folder. Shards are
-    even, so the tasks are.
+    Each row goes to the task of its shard first: one file per folder, not one per task and folder. Shards are even,
+    so the tasks are. Pass ``partitioned=True`` if the rows are there already and carry image bytes.
     """
-    df.repartition("split", "shard").write.mode("overwrite").partitionBy("split", "shard").parquet(path)
+    if not partitioned:
+        # Test shards come after the training shards.
+        task = F.col("shard") + F.when(F.col("split") == "test", n_shards).otherwise(0)
+        df = df.repartitionById(2 * n_shards, task)
+    df.write.mode("overwrite").partitionBy("split", "shard").parquet(path)
 
 
 def read_prepared(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

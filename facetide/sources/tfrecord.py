@@ -10,7 +10,8 @@ the data checksums, those of the lengths are always checked; ``splitBytes`` cuts
 0 keeps files whole. A schema given by the caller limits reading to its fields.
 
 Write options: ``split`` file name prefix; ``shardColumn`` an integer column naming each row's file (default: the task's
-partition number); ``single`` writes ``<split>.tfrecords``, for one-partition frames.
+partition number); ``single`` writes ``<split>.tfrecords``, for one-partition frames; ``maxBytes`` refuses to let one file
+grow beyond it.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ MAX_LENGTH = 1 << 40
 SPLIT_BYTES = 256 << 20
 BLOCK_BYTES = 16 << 20
 BATCH_ROWS = 10_000
+SINGLE_BYTES = 8 << 30
 
 
 class TFRecordSource(DataSource):
@@ -314,14 +316,19 @@ class TFRecordWriter(DataSourceArrowWriter):
         shard_column = self.options.get("shardcolumn")
         kinds = {f.name: (_kind(f.dataType), isinstance(f.dataType, ArrayType)) for f in self.schema.fields
                  if f.name != shard_column}
-        streams, counts = {}, {}
+        limit = int(self.options.get("maxbytes", 0))
+        streams, counts, sizes = {}, {}, {}
 
         def append(name: str, rows) -> None:
             if name not in streams:
-                streams[name], counts[name] = system.open_output_stream(f"{folder}/{name}"), 0
+                streams[name], counts[name], sizes[name] = system.open_output_stream(f"{folder}/{name}"), 0, 0
             if rows is not None and rows.num_rows:
-                streams[name].write(_framed(rows, kinds))
+                frames = _framed(rows, kinds)
+                streams[name].write(frames)
                 counts[name] += rows.num_rows
+                sizes[name] += len(frames)
+                if limit and sizes[name] > limit:
+                    raise ValueError(f"{name} grows beyond {limit} bytes; write it in shards")
 
         try:
             for batch in iterator:
@@ -461,10 +468,13 @@ def write_shards(df: DataFrame, base: str, split: str, n_shards: int, shard: str
     )
 
 
-def write_single(df: DataFrame, directory: str, name: str) -> None:
-    """Write one ``<name>.tfrecords``. One file is one task by nature: meant for sets that fit one."""
+def write_single(df: DataFrame, directory: str, name: str, max_bytes: int = SINGLE_BYTES) -> None:
+    """Write one ``<name>.tfrecords``.
+
+    One file is the work of one task, so a set larger than ``max_bytes`` is refused: use ``write_shards`` for those.
+    """
     register(df.sparkSession)
     (
-        df.coalesce(1).write.format("tfrecord").mode("append")
-        .option("split", name).option("single", "true").save(directory)
+        df.repartition(1).write.format("tfrecord").mode("append")
+        .option("split", name).option("single", "true").option("maxBytes", str(max_bytes)).save(directory)
     )
