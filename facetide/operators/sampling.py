@@ -1,23 +1,26 @@
 """Seeded order, exact splits, dense numbering, shards, epochs and batches, without a single-task sort.
 
-The seeded order is that of ``md5(seed|key)``. The first four hex digits cut it into 65,536 even buckets, whatever
-the row count. Counting them is a small aggregate, and the counts turn a rank within a bucket into a global position.
+The seeded order is that of ``md5(seed|key)``. Its first four hex digits are even over the key space, so equal ranges of
+them make even tasks, in order. Rows go to the task of their range and are sorted there; a count per task turns the
+row's place in its task into a global position. That is one shuffle, and nothing larger than a number per task comes to
+the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from facetide.functions._util import as_column
 from facetide.session import checkpointed
 
 DIGITS = 4
 MD5_DIGITS = 32
-# Offsets of at most this many (epoch, bucket) pairs are broadcast; more are joined on the window's own partitioning.
-MAX_BROADCAST_OFFSETS = 16 * 16**DIGITS
+# monotonically_increasing_id holds the partition above this bit and the row's place in it below.
+PLACE_BITS = 33
 SPLIT_SEED = 2017
 
 
@@ -31,34 +34,89 @@ def with_row_tie(df: DataFrame, name: str) -> DataFrame:
     return checkpointed(df.withColumn(name, F.monotonically_increasing_id()))
 
 
+# --- the first rows in seeded order ------------------------------------------------------------------------------
+
+
+def _cut(hashes: DataFrame, size: Callable[[int], int]) -> tuple[str | None, int]:
+    """(cut, total): a row is among the first ``size(total)`` if its hash starts with the cut or something lower.
+
+    Digits are added to the cut, four per pass over the hashes, until it falls between two rows. A pass brings at most
+    65,536 counts to the driver.
+    """
+    prefix, need, total = "", None, 0
+    while True:
+        rows = hashes.filter(F.col("h").startswith(prefix)) if prefix else hashes
+        digits = F.substring("h", len(prefix) + 1, DIGITS).alias("d")
+        counts = sorted((r["d"], r["n"]) for r in rows.groupBy(digits).agg(F.count(F.lit(1)).alias("n")).collect())
+        if need is None:
+            total = sum(n for _, n in counts)
+            need = size(total)
+            if need == 0:
+                return None, total
+        for d, n in counts:
+            if need <= n:
+                break
+            need -= n
+        prefix += d
+        if need == n:
+            return prefix, total
+        if len(prefix) >= MD5_DIGITS:
+            raise ValueError("the key repeats across the cut; pass unique_key=False")
+
+
+def _up_to(hashed: Column, cut: str | None) -> Column:
+    return F.lit(False) if cut is None else F.substring(hashed, 1, len(cut)) <= F.lit(cut)
+
+
 # --- positions in seeded order ---------------------------------------------------------------------------------
 
 
-def _ranked(df: DataFrame, hashed: Column, key: Sequence[str], group: Sequence[str], limit: int | None,
-            max_groups: int) -> DataFrame:
-    """Add ``pos`` (from 0, within ``group``) in hash order, and ``total``, the group's row count."""
-    bucket = "_bucket"
-    rows = df.withColumn("_hash", hashed).withColumn(bucket, F.substring("_hash", 1, DIGITS))
-    in_group = Window.partitionBy(*(group or [F.lit(0)]))
-    counts = rows.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        *group,
-        bucket,
-        (F.sum("_n").over(in_group.orderBy(bucket)) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(in_group).alias("total"),
-    )
+def _place() -> Column:
+    return F.monotonically_increasing_id().bitwiseAND(2**PLACE_BITS - 1)
+
+
+def _table(numbers: Sequence[int]) -> Column:
+    """A constant array, one number per task."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+
+
+def _ranked(df: DataFrame, hashed: Column, key: Sequence[str], groups: int = 1, group: str | None = None,
+            limit: int | None = None) -> DataFrame:
+    """Add ``pos`` (from 0, within ``group``, a column of 0..groups-1) in hash order, and ``total``, its row count."""
+    setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(-(-setting // groups), 16**DIGITS))
+    digits = F.conv(F.substring("_hex", 1, DIGITS), 16, 10).cast("int")
+    task = F.shiftright(digits * F.lit(tasks).cast("long"), 4 * DIGITS).cast("int")
+    if group is not None:
+        task = F.col(group) * tasks + task
+    total = None
     if limit is not None:
-        # Buckets wholly past the limit drop out before the shuffle.
-        offsets = offsets.filter(F.col("_before") < limit)
-    if max_groups * 16**DIGITS <= MAX_BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
-    within = Window.partitionBy(*group, bucket).orderBy("_hash", *key)
-    out = (
-        rows.join(offsets, [*group, bucket])
-        .withColumn("pos", F.col("_before") + F.row_number().over(within) - 1)
-        .drop(bucket, "_hash", "_before")
+        # Rows past the limit drop out before the shuffle.
+        cut, total = _cut(df.select(hashed.alias("h")), lambda n: min(n, limit))
+        df = df.filter(_up_to(hashed, cut))
+    rows = df.withColumn("_hex", hashed).withColumn("_task", task)
+
+    counts = [0] * (tasks * groups)
+    for r in rows.groupBy("_task").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r["_task"]] = r["n"]
+    before = []
+    for g in range(groups):
+        before += accumulate(counts[g * tasks:(g + 1) * tasks - 1], initial=0)
+    if total is None:
+        total = sum(counts[:tasks])
+
+    # Half the bytes of the digits, in the same order.
+    placed = (
+        rows.withColumn("_hash", F.unhex("_hex")).drop("_hex")
+        .repartitionById(tasks * groups, "_task")
+        .sortWithinPartitions("_hash", *key)
+        .withColumn("_place", _place())
     )
-    return out if limit is None else out.filter(F.col("pos") < limit)
+    # Were two tasks ever read as one, the last row of the second would be out of its range.
+    pos = F.when(
+        F.col("_place") < F.get(_table(counts), "_task"), F.get(_table(before), "_task") + F.col("_place")
+    ).otherwise(F.raise_error(F.lit("tasks were merged while numbering rows")))
+    return placed.withColumn("pos", pos).withColumn("total", F.lit(total).cast("long")).drop("_hash", "_task", "_place")
 
 
 def _keyed(df: DataFrame, key: str | Sequence[str], unique_key: bool) -> tuple[DataFrame, list[str]]:
@@ -73,7 +131,7 @@ def number_shuffled(df: DataFrame, key: str | Sequence[str], seed: int = SPLIT_S
     Set ``unique_key=False`` if keys repeat: copies then get hashes of their own and spread over the buckets.
     """
     df, keys = _keyed(df, key, unique_key)
-    return _ranked(df, order_hash(seed, *keys), keys, [], limit, 1).drop("_tie")
+    return _ranked(df, order_hash(seed, *keys), keys, limit=limit).drop("_tie")
 
 
 # --- exact split ------------------------------------------------------------------------------------------------
@@ -99,32 +157,13 @@ def split_exact(df: DataFrame, key: str | Sequence[str], test_size: float | int
                 unique_key: bool = True) -> tuple[DataFrame, DataFrame]:
     """Exactly sized (train, test): the first rows in seeded order are the test set.
 
-    Only bucket counts come to the driver (at most 65,536 per pass, one pass per four digits needed); both results
-    are plain filters of ``df`` against a literal cut, with no shuffle. Set ``unique_key=False`` if keys repeat.
+    Both results are plain filters of ``df`` against a literal cut, with no shuffle. Set ``unique_key=False`` if keys
+    repeat.
     """
     df, keys = _keyed(df, key, unique_key)
     hashed = order_hash(seed, *keys)
-    hashes = df.select(hashed.alias("h"))
-    prefix, cut, need = "", None, None
-    while cut is None:
-        rows = hashes.filter(F.col("h").startswith(prefix)) if prefix else hashes
-        digits = F.substring("h", len(prefix) + 1, DIGITS).alias("d")
-        counts = sorted((r.d, r.n) for r in rows.groupBy(digits).agg(F.count(F.lit(1)).alias("n")).collect())
-        if need is None:
-            _, need = split_sizes(sum(n for _, n in counts), test_size, train_size)
-            if need == 0:
-                cut = ""
-                break
-        for d, n in counts:
-            if need <= n:
-                break
-            need -= n
-        prefix += d
-        if need == n:
-            cut = prefix
-        elif len(prefix) >= MD5_DIGITS:
-            raise ValueError(f"key {keys} repeats across the cut; pass unique_key=False")
-    in_test = F.substring(hashed, 1, len(cut)) <= F.lit(cut) if cut else F.lit(False)
+    cut, _ = _cut(df.select(hashed.alias("h")), lambda n: split_sizes(n, test_size, train_size)[1])
+    in_test = _up_to(hashed, cut)
     return df.filter(~in_test).drop("_tie"), df.filter(in_test).drop("_tie")
 
 
@@ -135,8 +174,8 @@ def number_rows(df: DataFrame, order_by: Sequence[Column | str], unique: bool =
                 num_partitions: int | None = None) -> DataFrame:
     """Dense positions ``pos`` 0..n-1 in the given order and the ``total`` n.
 
-    One range shuffle, sorted per task and checkpointed, so that the counts and the numbers see the same
-    partitions even if executors are lost between. The row's place in its partition then needs no second shuffle.
+    One range shuffle, sorted per task and checkpointed with each row's place in its task: range borders come from a
+    sample, so the counts and the numbers must see one and the same outcome, even if executors are lost between.
     With ``unique=False`` equal rows get a tie-breaker first, which also lets copies spread over tasks.
     """
     order = [as_column(c) for c in order_by]
@@ -144,24 +183,17 @@ def number_rows(df: DataFrame, order_by: Sequence[Column | str], unique: bool =
         df = with_row_tie(df, "_tie")
         order.append(F.col("_tie"))
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    fixed = checkpointed(ranged.sortWithinPartitions(*order)).withColumn("_id", F.monotonically_increasing_id())
-    # The id holds the partition above bit 33 and the row's place in it below.
-    fixed = fixed.withColumn("_part", F.shiftright("_id", 33))
-    everything = Window.partitionBy(F.lit(0))
-    offsets = (
-        fixed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_part",
-            (F.sum("_n").over(everything.orderBy("_part")) - F.col("_n")).alias("_before"),
-            F.sum("_n").over(everything).alias("total"),
-        )
-    )
-    # One row per partition: bounded by the number of tasks.
+    fixed = checkpointed(
+        ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    ).select("*", F.shiftright("_id", PLACE_BITS).alias("_part"))
+    sizes = {r["_part"]: r["n"] for r in fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = [sizes.get(p, 0) for p in range(max(sizes, default=-1) + 1)]
+    before = list(accumulate(counts, initial=0))
     return (
-        fixed.join(F.broadcast(offsets), "_part")
-        .withColumn("pos", F.col("_before") + F.col("_id").bitwiseAND(2**33 - 1))
-        .drop("_id", "_part", "_before", "_tie")
+        fixed.withColumn("pos", F.get(_table(before), F.col("_part").cast("int"))
+                         + F.col("_id").bitwiseAND(2**PLACE_BITS - 1))
+        .withColumn("total", F.lit(before[-1]).cast("long"))
+        .drop("_id", "_part", "_tie")
     )
 
 
@@ -191,13 +223,15 @@ def shuffle_epochs(df: DataFrame, key: str | Sequence[str], n: int, seed: int =
                    limit: int | None = None, unique_key: bool = True) -> DataFrame:
     """``n`` epochs, each in its own seeded order, numbered through: ``pos`` runs on from one epoch to the next.
 
-    ``total`` is the length of the whole stream. With ``limit`` only the first rows of each epoch are kept.
+    ``total`` is the length of the whole stream. A ``limit`` keeps the first rows of a single epoch only.
     """
+    if limit is not None and n != 1:
+        raise ValueError("a limit needs a single epoch")
     df, keys = _keyed(df, key, unique_key)
     hashed = F.md5(
         F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"), *(F.col(k).cast("string") for k in keys))
     )
-    ranked = _ranked(repeat_epochs(df, n), hashed, keys, ["epoch"], limit, n).drop("_tie")
+    ranked = _ranked(repeat_epochs(df, n), hashed, keys, n, "epoch", limit).drop("_tie")
     return ranked.withColumn("pos", F.col("epoch") * F.col("total") + F.col("pos")).withColumn(
         "total", F.col("total") * n
     )

@@ -72,7 +72,7 @@ def test_split_of_copies(spark):
     assert train.unionByName(test).filter("k = -1").count() == 300
     numbered = s.number_shuffled(df, "k", unique_key=False)
     assert sorted(r["pos"] for r in numbered.collect()) == list(range(900))
-    assert numbered.columns == ["k", "total", "pos"]
+    assert numbered.columns == ["k", "pos", "total"]
 
 
 @few
@@ -142,10 +142,20 @@ def test_capped_batches_are_the_first_ones(spark, steps):
     assert sorted((r["batch_id"], r["epoch"], r["id"]) for r in capped.collect()) == want
 
 
-def test_offsets_beyond_the_broadcast_bound_are_joined(spark, monkeypatch):
-    monkeypatch.setattr(s, "MAX_BROADCAST_OFFSETS", 0)
-    rows = s.shuffle_epochs(ids(spark, 60), "id", 2).collect()
-    assert sorted(r["pos"] for r in rows) == list(range(120))
+def test_numbering_shuffles_once_and_sorts_per_task(spark):
+    plan = s.number_shuffled(ids(spark, 1000), "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "Sort [_hash" in plan
+
+
+def test_numbers_survive_unions_and_joins(spark):
+    """The place in a task is taken where the rows are sorted, whatever is done with them later."""
+    a, b = s.number_shuffled(ids(spark, 300), "id"), s.number_rows(ids(spark, 300), ["id"])
+    both = a.unionByName(b).unionByName(s.number_shuffled(ids(spark, 300), "id", seed=5))
+    assert Counter(r["pos"] for r in both.collect()) == {p: 3 for p in range(300)}
+    joined = a.join(b.withColumnRenamed("pos", "q"), "id").orderBy("q").select("id", "pos", "q").collect()
+    assert [r["q"] for r in joined] == list(range(300))
+    assert [r["id"] for r in sorted(joined, key=lambda r: r["pos"])] == md5_order(300)
+    assert a.repartition(3).groupBy().agg(F.sum("pos")).first()[0] == 300 * 299 // 2
 
 
 def test_endless_repetition_is_refused(spark):
