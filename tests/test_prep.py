@@ -194,3 +194,36 @@ def test_read_meta_formats(spark, tmp_path):
     assert counts == {"imdb": 5, "wiki": 5}
     report = prep.prep_report(both.withColumn("missing", F.col("gender") == 1), ["source"]).collect()
     assert {(r["source"], r["missing"], r["valid"]) for r in report} == {("imdb", 2, 3), ("wiki", 2, 3)}
+
+
+def hooks(name):
+    """Functions made here travel to the tasks by value; a user's module would be sent along with ``--py-files``."""
+    def thirds():
+        return lambda x: x.reshape(len(x), 3, -1).mean(axis=2)
+
+    return {"thirds": thirds, "face": lambda data: [(data * 76800)[:76800]], None: None}[name]
+
+
+def test_command_line(spark, pictures, tmp_path, monkeypatch, capsys):
+    """All four modes, one after another, on images that a hook turns into records and features."""
+    from facetide.__main__ import main
+
+    monkeypatch.setattr("facetide.__main__.hook", hooks)
+    out, model = str(tmp_path / "out"), str(tmp_path / "model")
+    metadata(spark).write.parquet(str(tmp_path / "meta"))
+    main(["prepare", "--imdb", str(tmp_path / "meta"), "--base_path", pictures, "--out", out, "--test_size", "0.25",
+          "--nworks", "2", "--detect", "face"])
+    n_test = read_records(spark, f"{out}/test").count()
+    main(["train", "--path", f"{out}/train", "--model", model, "--featurize", "thirds", "--batch_size", "8", "--epochs",
+          "1", "--log_path", str(tmp_path / "log")])
+    main(["infer", "--path", f"{out}/test", "--model", model, "--featurize", "thirds", "--output", str(tmp_path / "text"),
+          "--num-partitions", "2"])
+    assert spark.read.text(str(tmp_path / "text")).count() == n_test
+    main(["evaluate", "--path", f"{out}/test", "--model", model, "--featurize", "thirds"])
+    main(["evaluate", "--path", f"{out}/test", "--model", model, "--featurize", "thirds", "--choose_best"])
+    shown = capsys.readouterr().out
+    assert "mean_error_age" in shown and "best_gender_acc" in shown
+    with pytest.raises(SystemExit, match="at least one"):
+        main(["prepare"])
+    with pytest.raises(FileNotFoundError):
+        main(["evaluate", "--path", f"{out}/test", "--model", str(tmp_path / "none"), "--featurize", "thirds"])
