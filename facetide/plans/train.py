@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, FloatType
 
-from facetide.functions import image_tensor
+from facetide.functions import image_features
 from facetide.functions.images import IMAGE_SHAPE
-from facetide.operators.models import TwoHeadModel, save_model, score
+from facetide.operators.models import TwoHeadModel, save_model
 from facetide.operators.trace import log_metrics
 from facetide.operators.training import train_sgd, train_two_head
 from facetide.session import scratch_path
@@ -20,18 +19,14 @@ def features_table(records: DataFrame, featurize: Callable | None = None, path:
                    shape: Sequence[int] = IMAGE_SHAPE, batch_size: int = 64) -> DataFrame:
     """``key, features, age, gender`` of labelled records, computed once and written to ``path``.
 
-    ``featurize`` makes a function from a batch of image tensors to a batch of feature vectors; a model it loads is
-    loaded once per worker. Without it the records must have a ``features`` list. Training reads the features many times,
+    ``featurize`` makes a function from a batch of image tensors to a batch of feature vectors. Without it the records must have a ``features`` list. Training reads the features many times,
     so they are stored, which also fixes the row keys.
     """
     spark = records.sparkSession
     path = path or scratch_path(spark, "features")
     if featurize is not None:
-        size = 1
-        for n in shape:
-            size *= n
-        tensors = records.select("age", "gender", image_tensor("image_raw", shape).alias("tensor"))
-        records = score(tensors, featurize, "tensor", ArrayType(FloatType()), batch_size, "features", [[size]])
+        vectors = image_features("image_raw", featurize, shape, batch_size)
+        records = records.select("age", "gender", vectors.alias("features"))
     (
         records.select("features", "age", "gender").withColumn("key", F.monotonically_increasing_id())
         .write.mode("overwrite").parquet(path)

@@ -107,6 +107,14 @@ def test_images_decode_reverse_and_standardize(spark):
         x = p.reshape(shape)[:, :, ::-1].ravel().astype(float)
         np.testing.assert_allclose(r["t"], (x - x.mean()) / max(x.std(), 1 / math.sqrt(60)), atol=1e-5)
     assert got[8]["d"] is None and got[8]["t"] is None
+
+    def make():
+        return lambda x: np.stack([x[:, 0, 0, 0], x.sum(axis=(1, 2, 3)), x[:, -1, -1, 2]], axis=1)
+
+    vectors = {r["i"]: r["v"] for r in df.select("i", fn.image_features("b", make, shape, 3).alias("v")).collect()}
+    for r in got[:8]:
+        np.testing.assert_allclose(vectors[r["i"]], [r["t"][0], sum(r["t"]), r["t"][-1]], atol=1e-4)
+    assert vectors[8] is None
     with pytest.raises(Exception, match="image has 3 bytes, not 60"):
         spark.createDataFrame([(bytearray(b"abc"),)], "b binary").select(fn.decode_raw("b", shape)).collect()
 

@@ -198,10 +198,10 @@ def test_read_meta_formats(spark, tmp_path):
 
 def hooks(name):
     """Functions made here travel to the tasks by value; a user's module would be sent along with ``--py-files``."""
-    def thirds():
-        return lambda x: x.reshape(len(x), 3, -1).mean(axis=2)
+    def quarters():
+        return lambda x: x.reshape(len(x), 4, -1).mean(axis=2)
 
-    return {"thirds": thirds, "face": lambda data: [(data * 76800)[:76800]], None: None}[name]
+    return {"quarters": quarters, "face": lambda data: [(data * 76800)[:76800]], None: None}[name]
 
 
 def test_command_line(spark, pictures, tmp_path, monkeypatch, capsys):
@@ -214,16 +214,16 @@ def test_command_line(spark, pictures, tmp_path, monkeypatch, capsys):
     main(["prepare", "--imdb", str(tmp_path / "meta"), "--base_path", pictures, "--out", out, "--test_size", "0.25",
           "--nworks", "2", "--detect", "face"])
     n_test = read_records(spark, f"{out}/test").count()
-    main(["train", "--path", f"{out}/train", "--model", model, "--featurize", "thirds", "--batch_size", "8", "--epochs",
+    main(["train", "--path", f"{out}/train", "--model", model, "--featurize", "quarters", "--batch_size", "8", "--epochs",
           "1", "--log_path", str(tmp_path / "log")])
-    main(["infer", "--path", f"{out}/test", "--model", model, "--featurize", "thirds", "--output", str(tmp_path / "text"),
+    main(["infer", "--path", f"{out}/test", "--model", model, "--featurize", "quarters", "--output", str(tmp_path / "text"),
           "--num-partitions", "2"])
     assert spark.read.text(str(tmp_path / "text")).count() == n_test
-    main(["evaluate", "--path", f"{out}/test", "--model", model, "--featurize", "thirds"])
-    main(["evaluate", "--path", f"{out}/test", "--model", model, "--featurize", "thirds", "--choose_best"])
+    main(["evaluate", "--path", f"{out}/test", "--model", model, "--featurize", "quarters"])
+    main(["evaluate", "--path", f"{out}/test", "--model", model, "--featurize", "quarters", "--choose_best"])
     shown = capsys.readouterr().out
     assert "mean_error_age" in shown and "best_gender_acc" in shown
     with pytest.raises(SystemExit, match="at least one"):
         main(["prepare"])
     with pytest.raises(FileNotFoundError):
-        main(["evaluate", "--path", f"{out}/test", "--model", str(tmp_path / "none"), "--featurize", "thirds"])
+        main(["evaluate", "--path", f"{out}/test", "--model", str(tmp_path / "none"), "--featurize", "quarters"])
