@@ -24,11 +24,14 @@ def attach_files(meta: DataFrame, listing: DataFrame, on: str = "path") -> DataF
     return meta.join(listing, on)
 
 
-def attach_bytes(meta: DataFrame, path: str = "path", num_partitions: int | None = None) -> DataFrame:
+def attach_bytes(meta: DataFrame, path: str = "path", num_partitions: int | None = None,
+                 detect: Callable | None = None) -> DataFrame:
     """Add ``image_raw`` by opening each row's file in the task that holds the row; null if there is none.
 
     No directory is listed and no image bytes are shuffled. Metadata is small next to the images, so pass
-    ``num_partitions`` (or partition by shard first) to have enough tasks for the reading.
+    ``num_partitions`` (or partition by shard first) to have enough tasks for the reading. With ``detect`` (see
+    ``map_images``) the image is what it finds, and rows with no face or several drop out at once, before the
+    bytes leave the Python worker.
     """
     ship(meta.sparkSession)
     if num_partitions:
@@ -38,31 +41,39 @@ def attach_bytes(meta: DataFrame, path: str = "path", num_partitions: int | None
     def read(batches):
         from concurrent.futures import ThreadPoolExecutor
 
-        import pyarrow as pa
-
         from facetide.sources.files import read_bytes
 
         with ThreadPoolExecutor(READERS_PER_TASK) as pool:
             for batch in batches:
                 paths = batch.column(batch.schema.get_field_index(path)).to_pylist()
-                start, size, images = 0, 0, []
-                # A window of files is in flight, never the whole batch.
+                rows, images, size = [], [], 0
+                # A few files are in flight, never the whole batch.
                 for at in range(0, len(paths), READERS_PER_TASK):
-                    for data in pool.map(read_bytes, paths[at:at + READERS_PER_TASK]):
+                    for row, data in enumerate(pool.map(read_bytes, paths[at:at + READERS_PER_TASK]), at):
+                        if data is not None and detect is not None:
+                            found = detect(data)
+                            if len(found) != 1:
+                                continue
+                            data = found[0]
+                        rows.append(row)
                         images.append(data)
                         size += len(data or b"")
                     if size >= BATCH_BYTES:
-                        yield _with_images(pa, batch.slice(start, len(images)), images)
-                        start, size, images = start + len(images), 0, []
-                if images:
-                    yield _with_images(pa, batch.slice(start, len(images)), images)
+                        yield _with_images(batch, rows, images)
+                        rows, images, size = [], [], 0
+                if rows:
+                    yield _with_images(batch, rows, images)
 
     return meta.mapInArrow(read, schema)
 
 
-def _with_images(pa, batch, images):
-    column = pa.array(images, pa.binary())
-    return pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "image_raw"])
+def _with_images(batch, rows: list[int], images: list):
+    import pyarrow as pa
+
+    kept = batch.take(pa.array(rows, pa.int64()))
+    return pa.RecordBatch.from_arrays(
+        [*kept.columns, pa.array(images, pa.binary())], names=[*kept.schema.names, "image_raw"]
+    )
 
 
 def map_records(df: DataFrame, fn: Callable[[Iterator], Iterator], schema) -> DataFrame:

@@ -110,6 +110,13 @@ def exactly_one(df: DataFrame, detections: DataFrame, key: str) -> DataFrame:
     return df.join(checkpointed(single), key, "left_semi")
 
 
+def require(df: DataFrame, *columns: str) -> DataFrame:
+    """A null in one of the columns is an error."""
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"missing {c}")).cast(df.schema[c].dataType)) for c in columns}
+    )
+
+
 def to_example(df: DataFrame, *extra: str) -> DataFrame:
     """Record fields: 64-bit labels, and those of image bytes and file name that are there."""
     fields = [F.col("age").cast("long").alias("age"), F.col("gender").cast("long").alias("gender")]

@@ -68,16 +68,19 @@ def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age:
     """Synchronous data-parallel Adam over shuffled batches, up to ``steps``; returns the model and its trace.
 
     Each step is one Spark job: every task sums the gradient of its share of the batch, and only sums of the heads' size
-    reach the driver. The rows of a batch lie spread over all partitions, so ``batch_size`` can grow with the
-    cluster. With ``model_dir`` a checkpoint is saved every ``save_every`` steps and at the end, and a later call
+    reach the driver. Only keys are put in order; the features move once, by key, whatever the number of epochs, which
+    also spreads the rows of a batch over all tasks, so ``batch_size`` can grow with the cluster. With ``model_dir`` a checkpoint is saved every ``save_every`` steps and at the end, and a later call
     goes on from the newest one at the batch it stopped before, as if there had been no stop.
     """
     spark = df.sparkSession
     ship(spark)
     rows = df.select(F.col(key).alias("key"), F.col(features).cast("array<double>").alias("x"),
                      F.col(age).cast("long").alias("age"), F.col(gender).cast("long").alias("gender"))
+    if not rows.groupBy("key").count().filter("count > 1").isEmpty():
+        raise ValueError("the key must be unique; features_table gives rows one")
+    order = training_batches(rows.select("key"), "key", epochs, batch_size, steps, seed).select("key", "batch_id")
     batches = (
-        training_batches(rows, "key", epochs, batch_size, steps, seed)
+        rows.join(order, "key")
         .select("batch_id", "x", "age", "gender")
         .sortWithinPartitions("batch_id")
         .persist(StorageLevel.MEMORY_AND_DISK)

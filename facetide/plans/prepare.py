@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from facetide.functions import corpus_dir, image_path
 from facetide.functions.text import CORPUS_FOLDERS
-from facetide.operators.images import attach_bytes, map_images
+from facetide.operators.images import attach_bytes
 from facetide.operators.prep import clean, to_example, with_age
 from facetide.operators.sampling import SPLIT_SEED, assign_shards, n_test_shards, number_shuffled, split_exact
 from facetide.sources.tfrecord import write_shards
@@ -46,13 +46,12 @@ def prepare(meta: DataFrame, base: str, out: str, test_size: float = TEST_SIZE,
     for split, (rows, k) in sharded(meta, key, test_size, n_shards, seed, second_face).items():
         located = rows.withColumn("path", image_path(corpus_dir(base, "source", folders), "file_name"))
         read, written = Observation(), Observation()
-        attached = attach_bytes(located.repartitionById(k, "shard")).observe(
+        attached = attach_bytes(located.repartitionById(k, "shard"), detect=detect).observe(
             read, F.count_if(F.col("image_raw").isNull()).alias("missing")
         )
-        records = attached.filter(F.col("image_raw").isNotNull())
-        if detect is not None:
-            records = map_images(records, detect)
-        records = to_example(records, "shard").observe(written, F.count(F.lit(1)).alias("valid"))
+        records = to_example(attached.filter(F.col("image_raw").isNotNull()), "shard").observe(
+            written, F.count(F.lit(1)).alias("valid")
+        )
         write_shards(records, out, split, k, partitioned=True)
         counts.append((split, read.get["missing"], written.get["valid"]))
     return meta.sparkSession.createDataFrame(counts, "split string, missing long, valid long")

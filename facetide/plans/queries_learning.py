@@ -56,6 +56,60 @@ def best_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best
 
 
+# Weights of the two heads are mean vectors per label and per parity of the label; no bias.
+_CENTROIDS = """
+with v as (select vec_id, label, label % 2 as parity, unnest(range(64)) as i, cast(unnest(embedding) as double) as x
+           from embeddings),
+wa as (select label as k, i, avg(x) as w from v group by 1, 2),
+wg as (select parity as k, i, avg(x) as w from v group by 1, 2),
+za as (select vec_id, label, k, sum(x * w) as z from v join wa using (i) group by 1, 2, 3),
+zg as (select vec_id, parity, k, sum(x * w) as z from v join wg using (i) group by 1, 2, 3),
+ea as (select *, exp(z - max(z) over (partition by vec_id)) as e from za),
+eg as (select *, exp(z - max(z) over (partition by vec_id)) as e from zg),
+pa as (select vec_id, any_value(label) as label, sum(e * k) / sum(e) as pred_age,
+         ln(sum(e)) - ln(sum(case when k = label then e end)) as age_xent from ea group by 1),
+pg as (select vec_id, any_value(parity) as parity, cast(arg_max(k, z) as int) as pred_gender,
+         ln(sum(e)) - ln(sum(case when k = parity then e end)) as gender_xent from eg group by 1),
+p as (select * from pa join pg using (vec_id)),
+penalty as (select 1e-5 / 2 * ((select sum(w * w) from wa) + (select sum(w * w) from wg)) as penalty)
+"""
+
+
+def _centroid_model(rows: DataFrame) -> models.TwoHeadModel:
+    """A model from one mean vector per class: what reaches the driver is the size of the heads."""
+    import numpy as np
+
+    heads = []
+    for label in ("age", "gender"):
+        means = [F.avg(F.col("features")[i].cast("double")).alias(f"x{i}") for i in range(64)]
+        found = sorted(rows.groupBy(label).agg(*means).collect())
+        heads.append(np.column_stack([np.array([r[1:] for r in found]), np.zeros(len(found))]))
+    return models.TwoHeadModel(*heads)
+
+
+@query("predict_model", _CENTROIDS + """
+select vec_id as key, parity as real_gender, label as real_age, pred_gender, round(pred_age, 6) as pred_age from p
+""")
+def predict_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _labelled(spark, sf_dir)
+    return models.predict(rows, _centroid_model(rows)).withColumn("pred_age", F.round("pred_age", 6))
+
+
+@query("evaluate_model", _CENTROIDS + """,
+b as (select *, (row_number() over (order by md5(concat('2017|', cast(vec_id as varchar))), vec_id) - 1) // 32 as batch_id
+      from p),
+m as (select batch_id, avg(age_xent) + avg(gender_xent) + (select penalty from penalty) as loss,
+        avg(abs(pred_age - label)) as mae, avg(case when pred_gender = parity then 1.0 else 0.0 end) as acc
+      from b group by 1)
+select round(avg(mae), 6) as mean_error_age, round(avg(acc), 6) as mean_gender_acc, round(avg(loss), 6) as mean_loss from m
+""")
+def evaluate_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One model on all rows, in shuffled batches of 32, averaged over batches."""
+    rows = _labelled(spark, sf_dir)
+    result = evaluate(rows, _centroid_model(rows))
+    return result.withColumns({c: F.round(c, 6) for c in result.columns})
+
+
 @query("user_model", """
 select vec_id as key, round(cast(list_sum(list_transform(embedding, lambda x: cast(x as double))) as double), 3) as prediction
 from embeddings

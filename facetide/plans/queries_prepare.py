@@ -159,6 +159,14 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("required_features", "select doc_id, lang, source from documents")
+def required_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that must be there: a null would stop the job."""
+    return prep.require(
+        fixtures.table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), "lang", "source"
+    )
+
+
 @query("exactly_one", f"""
 with {FACE_META}, {DETECTIONS}
 select doc_id, file_name from face_meta

@@ -45,7 +45,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application (Python sources and sinks need it)."""
     app = spark.sparkContext.applicationId
-    if app in _shipped:
+    if app in _shipped or not os.path.isdir(_PACKAGE_ROOT):  # in an archive, so sent along already
         return
     staging = tempfile.mkdtemp(prefix="facetide-ship-")
     archive = shutil.make_archive(os.path.join(staging, "facetide"), "zip", _PACKAGE_ROOT, "facetide")

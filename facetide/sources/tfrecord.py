@@ -39,6 +39,7 @@ HEADER, FOOTER = 12, 4
 MAX_LENGTH = 1 << 40
 SPLIT_BYTES = 256 << 20
 BLOCK_BYTES = 16 << 20
+WRITE_BYTES = 16 << 20
 BATCH_ROWS = 10_000
 SINGLE_BYTES = 8 << 30
 
@@ -322,13 +323,17 @@ class TFRecordWriter(DataSourceArrowWriter):
         def append(name: str, rows) -> None:
             if name not in streams:
                 streams[name], counts[name], sizes[name] = system.open_output_stream(f"{folder}/{name}"), 0, 0
-            if rows is not None and rows.num_rows:
-                frames = _framed(rows, kinds)
+            if rows is None or not rows.num_rows:
+                return
+            # Wide rows are turned into frames a few at a time.
+            step = max(1, WRITE_BYTES * rows.num_rows // max(rows.nbytes, 1))
+            for at in range(0, rows.num_rows, step):
+                frames = _framed(rows.slice(at, step), kinds)
                 streams[name].write(frames)
-                counts[name] += rows.num_rows
                 sizes[name] += len(frames)
                 if limit and sizes[name] > limit:
                     raise ValueError(f"{name} grows beyond {limit} bytes; write it in shards")
+            counts[name] += rows.num_rows
 
         try:
             for batch in iterator:

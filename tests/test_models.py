@@ -161,6 +161,11 @@ def test_adam_matches_numpy_and_resumes(spark, clustered, tmp_path):
     assert selection.latest(table).first()["path"] == models.latest_checkpoint(folder)
 
 
+def test_repeated_keys_are_refused(clustered):
+    with pytest.raises(ValueError, match="unique"):
+        training.train_sgd(clustered.withColumn("key", F.col("key") % 7), steps=1)
+
+
 def test_partial_gradients_can_be_combined_by_tasks(spark, clustered, monkeypatch):
     options = dict(epochs=1, batch_size=120, steps=2, lr=0.05, age_classes=6)
     direct, _ = training.train_sgd(clustered, **options)

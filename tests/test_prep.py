@@ -82,6 +82,13 @@ def test_parallel_arrays(spark):
         prep.explode_parallel(bad, ["x", "y"]).collect()
 
 
+def test_required_columns(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    assert prep.require(df.filter("k = 1"), "k", "v").collect() == df.filter("k = 1").collect()
+    with pytest.raises(Exception, match="missing v"):
+        prep.require(df, "v").collect()
+
+
 def test_exactly_one(spark):
     faces = spark.createDataFrame([("a",), ("b",), ("b",), ("x",)], "k string")
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "k string, v int")
