@@ -25,8 +25,9 @@ def score_rows(scored: DataFrame) -> DataFrame:
 
 
 def batch_metrics(scored: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:
-    """Mean losses, age error and gender accuracy of each batch."""
-    return score_rows(scored).groupBy(*by).agg(
+    """Mean losses, age error and gender accuracy of each batch, from logits or from rows already measured."""
+    rows = score_rows(scored) if "age_logits" in scored.columns else scored
+    return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.avg("age_xent").alias("age_xent"),
         F.avg("gender_xent").alias("gender_xent"),

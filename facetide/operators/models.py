@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from facetide.operators.metrics import HEAD_DECAY, score_rows
+from facetide.operators.metrics import HEAD_DECAY
 from facetide.session import ship
 
 # Fixed sizes of the heads: ages 0 to 100, two genders.
@@ -118,23 +119,76 @@ def weights_table(spark: SparkSession, path: str) -> DataFrame:
 # --- scoring ----------------------------------------------------------------------------------------------------
 
 
+def softmax_rows(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities and the log of the sum of exponentials, row by row."""
+    top = logits.max(axis=1, keepdims=True)
+    e = np.exp(logits - top)
+    total = e.sum(axis=1, keepdims=True)
+    return e / total, np.log(total[:, 0]) + top[:, 0]
+
+
+def measures(logits, age: np.ndarray, gender: np.ndarray) -> tuple[dict[str, np.ndarray], list[np.ndarray]]:
+    """Per row what the metrics need, and both heads' probabilities."""
+    n = np.arange(len(age))
+    probs, xents, own = [], [], []
+    for z, label in zip(logits, (age, gender)):
+        if len(label) and (label.min() < 0 or label.max() >= z.shape[1]):
+            raise ValueError(f"label outside 0..{z.shape[1] - 1}")
+        p, log_sum = softmax_rows(z)
+        probs.append(p)
+        own.append(z[n, label])
+        xents.append(log_sum - own[-1])
+    pred_age = probs[0] @ np.arange(probs[0].shape[1])
+    return {
+        "age_xent": xents[0],
+        "gender_xent": xents[1],
+        "pred_age": pred_age,
+        "pred_gender": logits[1].argmax(axis=1).astype(np.int32),
+        "gender_hit": ((logits[1] > own[1][:, None]).sum(axis=1) < 1) & np.isfinite(own[1]),
+        "age_error": np.abs(pred_age - age),
+    }, probs
+
+
+MODEL_FIELDS = [StructField("idx", IntegerType()), StructField("path", StringType()), StructField("penalty", DoubleType())]
+LOGIT_FIELDS = [StructField(f"{head}_logits", ArrayType(DoubleType())) for head in HEADS]
+MEASURE_FIELDS = [
+    *(StructField(n, DoubleType()) for n in ("age_xent", "gender_xent", "pred_age")),
+    StructField("pred_gender", IntegerType()), StructField("gender_hit", BooleanType()),
+    StructField("age_error", DoubleType()),
+]
+
+
 def score_models(df: DataFrame, models: Sequence[tuple[str, TwoHeadModel]], features: str = "features") -> DataFrame:
     """Logits of every model for every row, in one pass over the data.
 
     Adds ``idx, path, penalty, age_logits, gender_logits`` and drops the features. Matrix products run on whole Arrow
     batches; the models travel as one broadcast of checked size per pass.
     """
+    return _each_model(df, models, features, LOGIT_FIELDS, lambda batch, logits: [as_lists(z) for z in logits])
+
+
+def measure_models(df: DataFrame, models: Sequence[tuple[str, TwoHeadModel]], features: str = "features") -> DataFrame:
+    """Like ``score_models``, with losses, predictions and errors in place of the logits.
+
+    For rows with ``age_label`` and ``gender_label``. Six numbers per row and model leave the Python worker, not the
+    logits of all classes.
+    """
+    def columns(batch, logits):
+        import pyarrow as pa
+
+        age, gender = (batch.column(f"{head}_label").to_numpy(zero_copy_only=False) for head in HEADS)
+        values, _ = measures(logits, age, gender)
+        return [pa.array(values[f.name]) for f in MEASURE_FIELDS]
+
+    return _each_model(df, models, features, MEASURE_FIELDS, columns)
+
+
+def _each_model(df: DataFrame, models: Sequence[tuple[str, TwoHeadModel]], features: str, fields: list[StructField],
+                columns: Callable) -> DataFrame:
     spark = df.sparkSession
     ship(spark)
     kept = [f for f in df.schema.fields if f.name != features]
-    schema = StructType([
-        *kept,
-        StructField("idx", IntegerType()),
-        StructField("path", StringType()),
-        StructField("penalty", DoubleType()),
-        StructField("age_logits", ArrayType(DoubleType())),
-        StructField("gender_logits", ArrayType(DoubleType())),
-    ])
+    schema = StructType([*kept, *MODEL_FIELDS, *fields])
     source = df.select(*(f.name for f in kept), features)
     passes: list[list] = [[]]
     size = 0
@@ -144,30 +198,28 @@ def score_models(df: DataFrame, models: Sequence[tuple[str, TwoHeadModel]], feat
             size = 0
         size += model.nbytes
         passes[-1].append((idx, path, model.penalty, TwoHeadModel(model.age, model.gender)))
-    scored = None
-    for group in passes:
-        part = source.mapInArrow(_scorer(spark.sparkContext.broadcast(group), schema), schema)
-        scored = part if scored is None else scored.unionByName(part)
-    return scored
+    parts = [
+        source.mapInArrow(_scorer(spark.sparkContext.broadcast(group), schema, columns), schema) for group in passes
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _scorer(models, schema: StructType) -> Callable:
+def _scorer(models, schema: StructType, columns: Callable) -> Callable:
     def run(batches):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            if not batch.num_rows:
+            n = batch.num_rows
+            if not n:
                 continue
             x = matrix(batch.column(batch.num_columns - 1))
-            rest = batch.columns[:-1]
             for idx, path, penalty, model in models.value:
-                n = batch.num_rows
                 constants = [pa.array([v] * n, t) for v, t in
                              ((idx, pa.int32()), (path, pa.string()), (penalty, pa.float64()))]
                 yield pa.RecordBatch.from_arrays(
-                    [*rest, *constants, *(as_lists(z) for z in model.logits(x))], schema=arrow
+                    [*batch.columns[:-1], *constants, *columns(batch, model.logits(x))], schema=arrow
                 )
 
     return run
@@ -196,7 +248,7 @@ def as_lists(values: np.ndarray):
 def predict(df: DataFrame, model: TwoHeadModel, features: str = "features") -> DataFrame:
     """Add ``pred_gender`` (class) and ``pred_age`` (expected age) to rows with ``age`` and ``gender`` labels."""
     labelled = df.withColumnRenamed("age", "age_label").withColumnRenamed("gender", "gender_label")
-    scored = score_rows(score_models(labelled, [("", model)], features))
+    scored = measure_models(labelled, [("", model)], features)
     return scored.select(
         *(c for c in labelled.columns if c not in (features, "age_label", "gender_label")),
         F.col("gender_label").alias("real_gender"),

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from facetide.functions.schedule import DECAY_RATE, DECAY_STEPS
 from facetide.operators.metrics import HEAD_DECAY
 from facetide.operators.models import (
-    AGE_CLASSES, GENDER_CLASSES, TwoHeadModel, latest_checkpoint, load_model, matrix, n_partials, save_model,
+    AGE_CLASSES, GENDER_CLASSES, TwoHeadModel, latest_checkpoint, load_model, matrix, measures, n_partials,
+    save_model,
 )
 from facetide.operators.sampling import SPLIT_SEED, training_batches
 from facetide.operators.trace import SAVE_EVERY
@@ -140,22 +141,14 @@ def _batch_sums(rows: DataFrame, model: TwoHeadModel, partitions: int) -> np.nda
 
 
 def _sums(model: TwoHeadModel, x: np.ndarray, age: np.ndarray, gender: np.ndarray) -> np.ndarray:
-    n = np.arange(len(x))
+    values, probs = measures(model.logits(x), age, gender)
     inputs = np.column_stack([x, np.ones(len(x))])
-    losses, gradients, probs = [], [], []
-    for logits, label in zip(model.logits(x), (age, gender)):
-        top = logits.max(axis=1, keepdims=True)
-        e = np.exp(logits - top)
-        total = e.sum(axis=1, keepdims=True)
-        losses.append(float((np.log(total[:, 0]) + top[:, 0] - logits[n, label]).sum()))
-        p = e / total
-        probs.append(p)
-        delta = p.copy()
-        delta[n, label] -= 1
-        gradients.append((delta.T @ inputs).ravel())
-    error = np.abs(probs[0] @ np.arange(probs[0].shape[1]) - age).sum()
-    hits = (probs[1] > probs[1][n, gender][:, None]).sum(axis=1) < 1
-    return np.concatenate([[len(x), *losses, error, hits.sum()], *gradients])
+    gradients = []
+    for p, label in zip(probs, (age, gender)):
+        p[np.arange(len(x)), label] -= 1
+        gradients.append((p.T @ inputs).ravel())
+    totals = [values[n].sum() for n in ("age_xent", "gender_xent", "age_error", "gender_hit")]
+    return np.concatenate([[len(x), *totals], *gradients])
 
 
 def _update(model: TwoHeadModel, sums: np.ndarray, rate: float, decay: float):

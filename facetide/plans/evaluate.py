@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from facetide.operators.metrics import evaluate_all
-from facetide.operators.models import TwoHeadModel, checkpoints, load_model, score_models
+from facetide.operators.models import TwoHeadModel, checkpoints, load_model, measure_models
 from facetide.operators.sampling import SPLIT_SEED, assign_batches, number_shuffled
 from facetide.operators.selection import choose_best
 
@@ -30,7 +30,7 @@ def _batched(test: DataFrame, key: str, features: str, batch_size: int, seed: in
 def evaluate_models(test: DataFrame, models: list[tuple[str, TwoHeadModel]], key: str = "key",
                     features: str = "features", batch_size: int = TEST_BATCH, seed: int = SPLIT_SEED) -> DataFrame:
     """One row per model: ``idx, path, mean_error_age, mean_gender_acc, mean_loss``; the data are read once."""
-    scored = score_models(_batched(test, key, features, batch_size, seed), models)
+    scored = measure_models(_batched(test, key, features, batch_size, seed), models)
     by = ["idx", "path", "penalty"]
     return evaluate_all(scored, by, F.col("penalty")).drop("penalty")
 

@@ -191,6 +191,21 @@ def test_models_beyond_the_broadcast_bound_are_scored_in_passes(clustered, monke
     assert sorted(together) == sorted(apart) and len(apart) == 3
 
 
+def test_measures_equal_the_expressions_on_logits(clustered):
+    """Two ways to the same numbers: numpy next to the model, and JVM expressions on a table of logits."""
+    pair = [(f"m{i}", training.initial_model(8, i, 6)) for i in range(2)]
+    rows = clustered.select("key", "features", F.col("age").alias("age_label"), F.col("gender").alias("gender_label"))
+    here = models.measure_models(rows, pair)
+    there = metrics.score_rows(models.score_models(rows, pair))
+    names = sorted(here.columns)
+    assert names == sorted(there.columns)
+    for a, b in zip(*(df.select(*names).orderBy("key", "idx").collect() for df in (here, there))):
+        for n in names:
+            assert a[n] == b[n] or abs(a[n] - b[n]) < 1e-9, n
+    with pytest.raises(Exception, match="label outside 0..5"):
+        models.measure_models(rows.withColumn("age_label", F.lit(6)), pair).collect()
+
+
 def test_ragged_features_are_refused(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0], 1, 1), (1, [1.0], 1, 1), (2, [1.0, 2.0, 3.0], 1, 1)],
                                "key long, features array<double>, age int, gender int").coalesce(1)
