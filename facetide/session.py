@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
-import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +46,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application (Python sources and sinks need it)."""
     app = spark.sparkContext.applicationId
-    if app in _shipped or not os.path.isdir(_PACKAGE_ROOT):  # in an archive, so sent along already
+    package = os.path.join(_PACKAGE_ROOT, "facetide")
+    if app in _shipped or not os.path.isdir(package):  # within an archive it was sent along already
         return
-    staging = tempfile.mkdtemp(prefix="facetide-ship-")
-    archive = shutil.make_archive(os.path.join(staging, "facetide"), "zip", _PACKAGE_ROOT, "facetide")
-    spark.sparkContext.addPyFile(archive)
+    from facetide.sources.files import resolve
+
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, _PACKAGE_ROOT))
+    target = f"{scratch_path(spark, 'package')}/facetide.zip"
+    system, path = resolve(target)
+    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(path) as stream:
+        stream.write(held.getvalue())
+    spark.sparkContext.addPyFile(target)
     _shipped.add(app)

@@ -15,6 +15,7 @@ def resolve(uri: str):
     """(file system, path within it) for a plain path or a URI."""
     from pyarrow import fs
 
+    uri = re.sub("^s3[an]:", "s3:", uri)  # Hadoop's names of the same store
     scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", uri)
     if not scheme or scheme.group(1) == "file":
         return fs.LocalFileSystem(), re.sub(r"^file:/*", "/", uri)
