@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -119,19 +120,44 @@ def _ranked(df: DataFrame, hashed: Column, key: Sequence[str], groups: int = 1,
     return placed.withColumn("pos", pos).withColumn("total", F.lit(total).cast("long")).drop("_hash", "_task", "_place")
 
 
-def _keyed(df: DataFrame, key: str | Sequence[str], unique_key: bool) -> tuple[DataFrame, list[str]]:
+def with_unique_key(df: DataFrame, key: str | Sequence[str], name: str = "_copy") -> tuple[DataFrame, list[str]]:
+    """The frame and the columns that tell its rows apart.
+
+    If keys repeat, their copies are told apart by a further column, which is null for keys that occur once: those hash
+    as if it were not there.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return (df, keys) if unique_key else (with_row_tie(df, "_tie"), [*keys, "_tie"])
+    names = [f"_key{i}" for i in range(len(keys))]
+    repeated = (
+        df.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, names)))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1")
+    )
+    if repeated.isEmpty():
+        return df, keys
+    # Written out, so that the join can split a hot key at run time.
+    repeated, rows = checkpointed(repeated), with_row_tie(df, "_row")
+    same = reduce(lambda a, b: a & b, (rows[k].eqNullSafe(repeated[n]) for k, n in zip(keys, names)))
+    copy = F.when(F.col("_n").isNotNull(), F.col("_row")).alias(name)
+    return rows.join(repeated, same, "left").select(*(rows[c] for c in df.columns), copy), [*keys, name]
+
+
+def _keyed(df: DataFrame, key: str | Sequence[str], unique_key: bool) -> tuple[DataFrame, list[str], list[str]]:
+    """The frame, the columns to hash, and those of them to drop in the end."""
+    if unique_key:
+        return df, [key] if isinstance(key, str) else list(key), []
+    df, keys = with_unique_key(df, key)
+    return df, keys, [k for k in keys if k == "_copy"]
 
 
 def number_shuffled(df: DataFrame, key: str | Sequence[str], seed: int = SPLIT_SEED, limit: int | None = None,
                     unique_key: bool = True) -> DataFrame:
     """Dense positions ``pos`` 0..n-1 in seeded order and the ``total`` n; with ``limit`` only the first ones.
 
-    Set ``unique_key=False`` if keys repeat: copies then get hashes of their own and spread over the buckets.
+    Set ``unique_key=False`` if keys may repeat: copies then get hashes of their own and spread over the tasks.
     """
-    df, keys = _keyed(df, key, unique_key)
-    return _ranked(df, order_hash(seed, *keys), keys, limit=limit).drop("_tie")
+    df, keys, added = _keyed(df, key, unique_key)
+    return _ranked(df, order_hash(seed, *keys), keys, limit=limit).drop(*added)
 
 
 # --- exact split ------------------------------------------------------------------------------------------------
@@ -158,13 +184,13 @@ def split_exact(df: DataFrame, key: str | Sequence[str], test_size: float | int
     """Exactly sized (train, test): the first rows in seeded order are the test set.
 
     Both results are plain filters of ``df`` against a literal cut, with no shuffle. Set ``unique_key=False`` if keys
-    repeat.
+    may repeat.
     """
-    df, keys = _keyed(df, key, unique_key)
+    df, keys, added = _keyed(df, key, unique_key)
     hashed = order_hash(seed, *keys)
     cut, _ = _cut(df.select(hashed.alias("h")), lambda n: split_sizes(n, test_size, train_size)[1])
     in_test = _up_to(hashed, cut)
-    return df.filter(~in_test).drop("_tie"), df.filter(in_test).drop("_tie")
+    return df.filter(~in_test).drop(*added), df.filter(in_test).drop(*added)
 
 
 # --- numbering in a given order ---------------------------------------------------------------------------------
@@ -227,11 +253,11 @@ def shuffle_epochs(df: DataFrame, key: str | Sequence[str], n: int, seed: int =
     """
     if limit is not None and n != 1:
         raise ValueError("a limit needs a single epoch")
-    df, keys = _keyed(df, key, unique_key)
+    df, keys, added = _keyed(df, key, unique_key)
     hashed = F.md5(
         F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"), *(F.col(k).cast("string") for k in keys))
     )
-    ranked = _ranked(repeat_epochs(df, n), hashed, keys, n, "epoch", limit).drop("_tie")
+    ranked = _ranked(repeat_epochs(df, n), hashed, keys, n, "epoch", limit).drop(*added)
     return ranked.withColumn("pos", F.col("epoch") * F.col("total") + F.col("pos")).withColumn(
         "total", F.col("total") * n
     )

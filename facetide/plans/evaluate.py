@@ -23,6 +23,7 @@ def _batched(test: DataFrame, key: str, features: str, batch_size: int, seed: in
         ),
         "key",
         seed,
+        unique_key=False,
     )
     return assign_batches(numbered, batch_size).drop("pos", "total")
 

@@ -10,7 +10,7 @@ from facetide.functions import corpus_dir, image_path
 from facetide.functions.text import CORPUS_FOLDERS
 from facetide.operators.images import attach_bytes
 from facetide.operators.prep import clean, to_example, with_age
-from facetide.operators.sampling import SPLIT_SEED, assign_shards, n_test_shards, number_shuffled, split_exact
+from facetide.operators.sampling import SPLIT_SEED, assign_shards, n_test_shards, number_shuffled, split_exact, with_unique_key
 from facetide.sources.tfrecord import write_shards
 
 TEST_SIZE = 0.01
@@ -23,13 +23,14 @@ def sharded(meta: DataFrame, key: str | Sequence[str] = KEY, test_size: float =
     """Clean metadata rows with their shard, per split, and the number of shards.
 
     The split is exact over all rows; the gates then drop rows, and what is left fills even shards. Only metadata is
-    shuffled.
+    shuffled. The same image may be listed any number of times.
     """
-    train, test = split_exact(with_age(meta), key, test_size=test_size, seed=seed)
+    rows, keys = with_unique_key(with_age(meta), key)
+    train, test = split_exact(rows, keys, test_size=test_size, seed=seed)
     plans = {}
     for split, rows, k in (("train", train, n_shards), ("test", test, n_test_shards(n_shards))):
-        numbered = number_shuffled(clean(rows, second_face), key, seed)
-        plans[split] = (assign_shards(numbered, k).withColumn("split", F.lit(split)).drop("pos", "total"), k)
+        numbered = number_shuffled(clean(rows, second_face), keys, seed)
+        plans[split] = (assign_shards(numbered, k).withColumn("split", F.lit(split)).drop("pos", "total", "_copy"), k)
     return plans
 
 

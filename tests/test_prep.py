@@ -179,6 +179,17 @@ def test_split_is_exact_before_the_gates(spark):
     assert max(sizes) - min(sizes) <= 1
 
 
+def test_images_listed_many_times(spark):
+    """A third of all rows is one image: copies are rows like others and spread over the shards."""
+    meta = metadata(spark, 40).withColumn("source", F.lit("imdb"))
+    copies = meta.filter("file_name = 'p/1.jpg'").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("n")
+    plans = sharded(meta.unionByName(copies), test_size=0.5, n_shards=4)
+    train, test = (plans[s][0].collect() for s in ("train", "test"))
+    assert len(train) + len(test) == 34 + 20 and len(test) <= 30
+    assert sum(r["file_name"] == "p/1.jpg" for r in train + test) == 21
+    assert len({r["shard"] for r in train if r["file_name"] == "p/1.jpg"}) > 1
+
+
 def test_prepared_parquet_prunes_by_split(spark, tmp_path):
     path = str(tmp_path / "p")
     df = spark.range(20).select("id", (F.col("id") % 2).cast("int").alias("shard"),

@@ -73,6 +73,19 @@ def test_split_of_copies(spark):
     numbered = s.number_shuffled(df, "k", unique_key=False)
     assert sorted(r["pos"] for r in numbered.collect()) == list(range(900))
     assert numbered.columns == ["k", "pos", "total"]
+    # Rows that are no copies keep their order.
+    single = [r["k"] for r in sorted(numbered.collect(), key=lambda r: r["pos"]) if r["k"] != -1]
+    assert single == [k for k in md5_order(900) if k % 3]
+    tasks = Counter(r["p"] for r in numbered.select(F.spark_partition_id().alias("p"), "k").collect() if r["k"] == -1)
+    assert max(tasks.values()) < 80
+    nulls = ids(spark, 90).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("k"), (F.col("id") % 2).alias("j"))
+    train, test = s.split_exact(nulls, ["k", "j"], test_size=0.5, unique_key=False)
+    assert (train.count(), test.count()) == (45, 45)
+
+
+def test_unique_keys_need_no_tie(spark):
+    rows = s.number_shuffled(ids(spark, 200), "id", unique_key=False).collect()
+    assert [r["id"] for r in sorted(rows, key=lambda r: r["pos"])] == md5_order(200)
 
 
 @few
