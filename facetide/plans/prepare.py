@@ -10,7 +10,9 @@ from facetide.functions import corpus_dir, image_path
 from facetide.functions.text import CORPUS_FOLDERS
 from facetide.operators.images import attach_bytes
 from facetide.operators.prep import clean, to_example, with_age
-from facetide.operators.sampling import SPLIT_SEED, assign_shards, n_test_shards, number_shuffled, split_exact, with_unique_key
+from facetide.operators.sampling import (
+    SPLIT_SEED, assign_shards, n_test_shards, number_shuffled, split_exact, with_unique_key,
+)
 from facetide.sources.tfrecord import write_shards
 
 TEST_SIZE = 0.01
