@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from facetide.llm import quality
+from facetide.llm import decontaminate, mixing, quality, sharding, similar, tokens
 from facetide.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,78 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(docs, trusted(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "kept", "score")
+
+
+@query("op6_ngram_jaccard_join", r"""
+    with recursive words as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+    shingles as (
+        select distinct doc_id, unnest(case when len(w) >= 5
+            then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+            when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from words),
+    sizes as (select words.doc_id, count(s) as n from words left join shingles using (doc_id) group by 1),
+    shared as (
+        select a.doc_id as x, b.doc_id as y, count(*) as k from shingles a join shingles b using (s)
+        where a.doc_id <> b.doc_id group by 1, 2),
+    links as (
+        select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+        where 100 * k >= 75 * (p.n + q.n - k)),
+    reached as (
+        select doc_id as x, doc_id as y from sizes
+        union select r.x, l.y from reached r join links l on r.y = l.x)
+    select doc_id, n::bigint as n_shingles, min(y) as component_id from sizes join reached on x = doc_id group by 1, 2
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return similar.similar(docs)[0].select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_benchmark_decontamination", r"""
+    with doc as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+    item as (
+        select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+    windows as (
+        select distinct item_id, least(10, len(w)) as size, unnest(list_transform(range(1, greatest(2, len(w) - 8)),
+            lambda i: array_to_string(w[i:i + 9], ' '))) as s from item where len(w) > 0),
+    sizes as (select distinct size from windows),
+    places as (
+        select doc_id, size, unnest(range(1, len(w) - size + 2)) as i, w from doc, sizes where len(w) >= size),
+    hits as (
+        select doc_id, i, p.size, item_id from (select doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') as s
+            from places) p join windows on windows.size = p.size and windows.s = p.s),
+    hit_words as (select doc_id, count(distinct k) as n from (select doc_id, unnest(range(i, i + size)) as k from hits) group by 1),
+    hit_items as (
+        select doc_id, count(*) as n, string_agg(id, ',' order by id) as ids
+        from (select distinct doc_id, item_id::varchar as id from hits) group by 1)
+    select doc_id, len(w)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(t.n, 0)::bigint as n_items,
+        sha256(coalesce(ids, '')) as items_sha256, coalesce(h.n, 0) > 0 as contaminated
+    from doc left join hit_words h using (doc_id) left join hit_items t using (doc_id)
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op2_mixing_sources")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
+@query("op7_sharding")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return sharding.shard(docs).select("doc_id", "n_bytes", "shard", "shard_bytes", "shard_docs")
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))

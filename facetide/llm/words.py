@@ -116,3 +116,19 @@ def joined(hashes: np.ndarray, size: int) -> np.ndarray:
         out *= _JOIN
         out += hashes[k:n + k]
     return mix(out)
+
+
+#: Batches are worked on in pieces of so many bytes of text, or one text if it is longer.
+PIECE_BYTES = 8 << 20
+
+
+def pieces(batch: pa.RecordBatch, text: str, size: int = PIECE_BYTES):
+    """Slices of a batch that hold at most ``size`` bytes of text each, or one row."""
+    if not batch.num_rows:
+        return
+    _, starts = buffers(batch.column(text))
+    at = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(starts, starts[at] + size, "right")) - 1)
+        yield batch.slice(at, upto - at)
+        at = upto
