@@ -7,7 +7,8 @@ documents per source and size; every step is one aggregate with partial sums, fo
 
 Rates become whole copies: floor(rate + u), u a hash of the document in [0, 1). What rounding leaves is taken back by a
 common shift of u per source, found by summing words per digit of the shift at which a document gains a copy, so that a
-source ends within half a document of its target (rows alike in key and text move together).
+source ends within half a document of its target (rows alike in key and text move together); one more or one less copy
+of the document that fits best brings it nearer.
 
 Targets: sources in code-point order, null last, weigh ``weights`` in turn and share ``budget`` times all words; a target
 stops at ``max_copies`` times its source's words, and the excess goes to the others by weight until none is above.
@@ -167,6 +168,31 @@ def _shifted(rows: DataFrame, sources: DataFrame, near: Callable[[DataFrame], Da
         "_s", F.when(with_last, F.col("_cut")).otherwise(F.col("_cut") - 1).alias("_cut"))), "_s")
 
 
+def _copies(max_copies: int) -> Column:
+    least, first, second = _ticks(_rate(F.col("size"), F.col("_mean"), F.col("_dual"), max_copies))
+    more = sum((F.coalesce((t <= F.col("_cut")).cast("long"), F.lit(0)) for t in (first, second)), F.lit(0))
+    return F.when(F.col("target") >= F.col("_cap"), F.lit(max_copies)).otherwise(least + more).cast("long")
+
+
+def _nudged(rows: DataFrame, sources: DataFrame, near: Callable[[DataFrame], DataFrame], copies: Column) -> DataFrame:
+    """Add the one document per source whose next copy more or less brings the source nearest to its target."""
+    held = rows.join(near(sources), "_s").select("_s", "size", "_u", "target", copies.alias("_copies"))
+    short = stored(held.groupBy("_s").agg(
+        (F.first("target") - F.sum(F.col("_copies") * F.col("size"))).alias("_short")), "short")
+    by = F.when(F.col("_short") > 0, F.lit(1)).otherwise(F.lit(-1))
+    open_to = F.when(by > 0, F.col("_copies") < MAX_COPIES).otherwise(F.col("_copies") > 0)
+    left = F.abs(F.col("_short") - by * F.col("size"))
+    best = stored(
+        held.join(near(short), "_s").where(open_to & (left < F.abs("_short")))
+        .groupBy("_s").agg(F.min(F.struct(left.alias("left"), "size", "_u", by.alias("by"))).alias("b"))
+        .select("_s", F.col("b.size").alias("_size"), F.col("b._u").alias("_at"), F.col("b.by").alias("_by")), "nudges")
+    # Rows alike would all move.
+    alone = (
+        rows.join(near(best), "_s").where((F.col("size") == F.col("_size")) & (F.col("_u") == F.col("_at")))
+        .groupBy("_s").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("_s"))
+    return stored(sources.join(near(best.join(near(alone), "_s", "left_semi")), "_s", "left"), "nudged")
+
+
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, max_copies: int = MAX_COPIES) -> DataFrame:
     """Add ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (copies times size)."""
@@ -187,9 +213,10 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     hist = stored(rows.where("size > 0").groupBy("_s", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
     solved = stored(_solve(hist, sources, near, max_copies), "solved")
     solved = stored(_shifted(rows, solved, near, max_copies), "cuts")
-    facts = near(solved.select("_s", "source_size", "target", "_mean", "_dual", "_cap", "_cut"))
-    least, first, second = _ticks(_rate(F.col("size"), F.col("_mean"), F.col("_dual"), max_copies))
-    more = sum((F.coalesce((t <= F.col("_cut")).cast("long"), F.lit(0)) for t in (first, second)), F.lit(0))
-    copies = F.when(F.col("target") >= F.col("_cap"), F.lit(max_copies)).otherwise(least + more).cast("long")
-    return sized.join(facts, "_s").select(
-        *kept, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    facts = ["_s", "source_size", "target", "_mean", "_dual", "_cap", "_cut"]
+    copies = _copies(max_copies)
+    solved = _nudged(rows, solved.select(*facts), near, copies)
+    own = F.when((F.col("size") == F.col("_size")) & (F.col("_u") == F.col("_at")), F.col("_by")).otherwise(F.lit(0))
+    return sized.join(near(solved), "_s").select(
+        *kept, "size", "source_size", "target", (copies + own).cast("long").alias("copies"),
+        ((copies + own) * F.col("size")).cast("long").alias("taken"))

@@ -30,10 +30,10 @@ def _prefix(hashed: Column, bits: int) -> Column:
     return F.shiftrightunsigned(hashed, 64 - bits) if bits else F.lit(0).cast("long")
 
 
-def _directory(rows: DataFrame, limit: int, last: bool) -> tuple[list[tuple[int, DataFrame]], DataFrame | None]:
+def _directory(rows: DataFrame, limit: int) -> tuple[list[tuple[int, DataFrame]], DataFrame | None]:
     """For each round its bits and a table cell -> shard; and the cells that no bits can split.
 
-    ``rows``: _hash, n_bytes. In the last directory a bucket of one row fits by definition.
+    ``rows``: _hash, n_bytes. A bucket of one row fits by definition.
     """
     total = rows.agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
     bits, base = min(20, max(4, math.ceil(math.log2(max(1, total / limit))) + 4)), 0
@@ -44,7 +44,7 @@ def _directory(rows: DataFrame, limit: int, last: bool) -> tuple[list[tuple[int,
                 F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("docs")), "cells")
         depths = F.explode(F.sequence(F.lit(base), F.lit(bits))).alias("_depth")
         up = cells.select("_cell", "bytes", "docs", depths).withColumn(
-            "_prefix", F.shiftrightunsigned(F.col("_cell"), (bits - F.col("_depth")).cast("int")))
+            "_prefix", F.expr(f"shiftrightunsigned(_cell, {bits} - _depth)"))
         fits = (F.sum("bytes") <= limit) | (F.sum("docs") == 1)
         whole = up.groupBy("_depth", "_prefix").agg(
             fits.alias("_fits"), F.sum("bytes").alias("shard_bytes"), F.sum("docs").alias("shard_docs"))
@@ -52,8 +52,7 @@ def _directory(rows: DataFrame, limit: int, last: bool) -> tuple[list[tuple[int,
         bucket = (
             up.select("_cell", "_depth", "_prefix").join(whole.where("_fits"), ["_depth", "_prefix"])
             .groupBy("_cell").agg(F.min(F.struct("_depth", "_prefix", "shard_bytes", "shard_docs")).alias("b")))
-        name = F.when(F.col("b._depth") == 0, F.lit("")).otherwise(
-            F.lpad(F.bin("b._prefix"), F.col("b._depth").cast("int"), F.lit("0")))
+        name = F.expr("if(b._depth = 0, '', lpad(bin(b._prefix), b._depth, '0'))")
         table = stored(cells.select("_cell").join(bucket, "_cell", "left").select(
             "_cell", F.when(F.col("b").isNotNull(), name).alias("shard"), "b.shard_bytes", "b.shard_docs"), "directory")
         found.append((bits, table))
@@ -86,7 +85,7 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int =
     sized = held.select(*kept, F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("n_bytes"),
                         F.xxhash64(F.col(key)).alias("_hash"))
     narrow = sized.select("_hash", "n_bytes")
-    first, rest = _directory(narrow, limit, False)
+    first, rest = _directory(narrow, limit)
     blank = [F.lit(None).cast(t).alias(n) for n, t in (("shard", "string"), ("shard_bytes", "long"), ("shard_docs", "long"))]
     out = _placed(sized.select("*", *blank), first, "b")
     if rest is not None:
@@ -94,6 +93,6 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int =
         open_key = F.col("_hash")
         numbered = out.withColumn("_hash", F.when(F.col("shard").isNull(), F.xxhash64(open_key, F.monotonically_increasing_id()))
                                   .otherwise(open_key))
-        second, _ = _directory(numbered.where("shard is null").select("_hash", "n_bytes"), limit, True)
+        second, _ = _directory(numbered.where("shard is null").select("_hash", "n_bytes"), limit)
         out = _placed(numbered, second, "c")
     return out.select(*kept, "n_bytes", "shard", "shard_bytes", "shard_docs")
