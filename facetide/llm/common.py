@@ -50,3 +50,15 @@ def constants(values: Iterable[float], kind: str) -> Column:
 def held_out(key: Column, folds: int = 5) -> Column:
     """Rows of the fold on which models are tested: crc32 of the key as text is divisible; false for a null key."""
     return F.coalesce(F.crc32(key.cast("string")) % folds == 0, F.lit(False))
+
+
+def fenced(df: DataFrame, keep: Iterable[str], made: Iterable[str]) -> DataFrame:
+    """Keep a later filter on ``made`` above the work that makes it.
+
+    Pushed below, a filter takes a copy of every expression that it needs, and of those in them. No filter passes a
+    generator on whose output it depends; of a single element it costs nothing.
+    """
+    made = list(made)
+    one = F.explode(F.array(F.struct(*(F.col(f"`{c}`") for c in made)))).alias("_made")
+    return df.select(*(F.col(f"`{c}`") for c in keep), one).select(
+        *(F.col(f"`{c}`") for c in keep), *(F.col(f"_made.`{c}`").alias(c) for c in made))

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from facetide.functions._util import let
-from facetide.llm.common import BETWEEN_WORDS, WORD, constants, without
+from facetide.llm.common import BETWEEN_WORDS, WORD, constants, fenced, without
 
 BUCKETS = 1 << 14
 #: Letters and digits, or a run of other signs: junk shows in the signs.
@@ -132,14 +132,16 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def judge(docs: DataFrame, log_ratio: list[float], text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """Add the base counts, the ``score`` and ``kept``: the base rules hold and the score is at least ``min_score``."""
-    ruled = base_rules(docs, text)
+    held = without(docs, RESULTS)
+    ruled = base_rules(held, text)
     keep = [F.col(f"`{c}`") for c in ruled.columns]
     step = ruled.select(*keep, _tokens(F.col(text)).alias("_tokens"))
     step = step.select(*keep, buckets(F.col("_tokens")).alias("_buckets"))
     total = F.aggregate("_buckets", F.lit(0.0), lambda a, b: a + F.get(constants(log_ratio, "double"), b))
     score = F.when(F.size("_buckets") > 0, total / F.size("_buckets")).otherwise(F.lit(0.0))
     step = step.select(*keep, score.alias("score"))
-    return step.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= min_score))
+    return fenced(step.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= min_score)),
+                  [c for c in held.columns], RESULTS)
 
 
 def quality(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text",

@@ -278,9 +278,8 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         yield rows()
 
 
-def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """A row per document (key, ``class``, ``n_shingles``, ``component_id``: the least key of its group), and links (a, b)
-    between classes that connect each group."""
+def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A row per document (key, place, class, n); (class, root); and links that connect each group."""
     ship(docs.sparkSession)
     classes = _classes(docs, key, text)
     facts = stored(classes.where("n > 0").groupBy("class").agg(
@@ -292,14 +291,41 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
     apart = _apart(shared, first)
     second = _linked(stored(_searched(apart, facts), "searched"), facts, docs, text)
     links = first.unionByName(second)
-    roots = groups(links)
+    roots = facts.select("class").join(groups(links), "class", "left").select(
+        "class", F.coalesce("root", "class").alias("root"))
+    return classes.select("key", "place", "class", "n"), stored(roots, "roots"), links
+
+
+def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """A row per document (key, ``class``, ``n_shingles``, ``component_id``: the least key of its group), and links (a, b)
+    between classes that connect each group."""
+    rows, roots, links = _components(docs, key, text)
     # The least key of each class, then of each group.
-    names = classes.where("n > 0").groupBy("class").agg(F.min("key").alias("least"))
-    names = stored(names.join(roots, "class", "left").select(
-        "class", F.coalesce("root", "class").alias("root"), "least"), "names")
+    names = stored(rows.where("n > 0").groupBy("class").agg(F.min("key").alias("least")).join(roots, "class"), "names")
     of_root = names.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = stored(names.join(of_root, "root").select("class", "component_id"), "components")
-    out = classes.select("key", "class", F.col("n").alias("n_shingles")).join(of_class, "class", "left").select(
-        F.col("key").alias(key), F.when(F.col("n_shingles") > 0, F.col("class")).alias("class"), "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
+    out = rows.join(of_class, "class", "left").select(
+        F.col("key").alias(key), F.when(F.col("n") > 0, F.col("class")).alias("class"), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
     return out, links
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document with the least key of each group, null keys last, and all documents without words."""
+    rows, roots, _ = _components(docs, key, text)
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "place")).alias("f")
+    held = rows.where("n > 0").groupBy("class").agg(first).join(roots, "class").groupBy("root").agg(
+        F.min("f").alias("f")).select(F.col("f.key").alias("_key"), F.col("f.place").alias("_place"))
+    held = stored(held.unionByName(rows.where("n = 0").select(F.col("key").alias("_key"), F.col("place").alias("_place"))
+                                   .distinct()), "kept")
+    placed = docs.withColumn("_at", F.xxhash64(F.col(text)))
+    same = placed[key].eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_place"))
+    kept = placed.join(bounded(held, CLASS_ROW_BYTES), same, "left_semi")
+    # Rows repeated with key and text: one stays of those with words. Their texts alone are shuffled.
+    again = stored(rows.where("n > 0").groupBy(F.col("key").alias("_key"), F.col("place").alias("_place")).count()
+                   .where("count > 1").drop("count"), "again")
+    if not again.limit(1).count():
+        return kept.drop("_at")
+    again = bounded(again, CLASS_ROW_BYTES)
+    once = kept.join(again, same, "left_anti")
+    return once.unionByName(kept.join(again, same, "left_semi").dropDuplicates([key, "_at"])).drop("_at")
