@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from facetide.llm import decontaminate, mixing, quality, sharding, similar, tokens
-from facetide.llm.common import table
+from facetide.llm import (
+    decontaminate, language, mixing, quality, sharding, similar, tokens, toxicity, urls, warc)
+from facetide.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,3 +112,60 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+         ("block", "net/fr/")]
+
+
+@query("op3_url_filters", r"""
+    with parts as (
+        select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+        from pages),
+    hosts as (select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw from parts),
+    split as (
+        select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+            regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path from hosts),
+    rules(verdict, rule_host, rule_path) as (values ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+        ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+    fits as (
+        select page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+            max_by(verdict, length(rule_host || rule_path)) as verdict
+        from split join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+        group by 1)
+    select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from split left join fits using (page_id)
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages", "page_id", "url"), urls.host_rules(spark, RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"))
+    net = language.fit(docs.where(F.col("doc_id").isNotNull() & ~out))
+    return language.predict(docs.select("doc_id", "text"), net).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_warc_records", r"""
+    with payloads as (select page_id, encode(coalesce(html, '')) as p from pages),
+    sized as (select page_id, octet_length(p)::bigint as n, sha1(p) as d from payloads),
+    kept as (select d, n, max(page_id) as k from sized where n >= 1000 group by 1, 2)
+    select page_id, n as payload_bytes, d as payload_digest,
+        case when k is null or k = page_id then 'response' else 'revisit' end as record_type,
+        case when k <> page_id then k end as refers_to
+    from sized left join kept using (d, n)
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.pages_to_warc(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return warc.read_warc(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    out = held_out(F.col("doc_id"))
+    model = toxicity.fit(docs, labels.where(F.col("doc_id").isNotNull() & ~out))
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")

@@ -398,7 +398,7 @@ class Counter:
         whole = np.concatenate([data[a:b] for a, b in parts])
         place = np.concatenate([np.arange(a, b) for a, b in parts])
         lead = np.flatnonzero((whole & 0xC0) != 0x80)
-        points = _code_points(whole, lead)
+        points = code_points(whole, lead)
         ends = np.cumsum([b - a for a, b in parts])
         last = np.zeros(len(lead), bool)
         last[np.searchsorted(lead, ends, "left") - 1] = True
@@ -429,7 +429,7 @@ class Counter:
             a, window = end, WINDOW_BYTES
 
 
-def _code_points(data: np.ndarray, lead: np.ndarray) -> np.ndarray:
+def code_points(data: np.ndarray, lead: np.ndarray) -> np.ndarray:
     """Decode UTF-8."""
     first = data[lead].astype(np.int64)
     padded = np.concatenate([data, np.zeros(3, np.uint8)])
