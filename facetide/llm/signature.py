@@ -98,8 +98,9 @@ def pairs(a: Tree, b: Tree) -> Iterator[tuple[int, int]]:
     stack = [(len(a.levels), 0, len(b.levels), 0)]
     while stack:
         level_a, node_a, level_b, node_b = stack.pop()
-        # The taller side goes down first.
-        down_a, down_b = level_a >= level_b and level_a > 0, level_b >= level_a and level_b > 0
+        # From the tops, then the taller side goes down first.
+        down_a = level_a == len(a.levels) or level_a >= level_b and level_a > 0
+        down_b = level_b == len(b.levels) or level_b >= level_a and level_b > 0
         x = a.children(level_a, node_a) if down_a else np.array([node_a])
         y = b.children(level_b, node_b) if down_b else np.array([node_b])
         la, lb = level_a - down_a, level_b - down_b
