@@ -87,7 +87,7 @@ def _rate(size: Column, mean: Column, dual: Column, max_copies: int) -> Column:
 def _solve(hist: DataFrame, sources: DataFrame, near: Callable[[DataFrame], DataFrame], max_copies: int) -> DataFrame:
     """Add ``_dual`` to the sources."""
     state = stored(sources.select(
-        "*", F.coalesce(F.log(F.col("target") / F.col("source_size")), F.lit(0.0)).alias("_dual"),
+        "*", F.coalesce(F.log(F.try_divide("target", "source_size")), F.lit(0.0)).alias("_dual"),
         F.lit(float("-inf")).alias("_low"), F.lit(float("inf")).alias("_high"), F.lit(float("inf")).alias("_miss")), "dual")
     capped = F.col("target") >= F.col("_cap")
     names = [c for c in state.columns if c not in ("_dual", "_low", "_high", "_miss")]
@@ -105,7 +105,7 @@ def _solve(hist: DataFrame, sources: DataFrame, near: Callable[[DataFrame], Data
         high = F.when(gap > 0, F.least("_high", "_dual")).otherwise(F.col("_high"))
         wide = F.when(low == float("-inf"), F.col("_dual") - 1 - F.abs("_dual")).when(
             high == float("inf"), F.col("_dual") + 1 + F.abs("_dual")).otherwise((low + high) / 2)
-        step = F.col("_dual") - gap / F.col("_slope")
+        step = F.col("_dual") - F.try_divide(gap, F.col("_slope"))
         miss = F.abs(gap) / F.greatest(F.col("target"), F.lit(1.0))
         good = (F.col("_slope") > 0) & (step > low) & (step < high)
         state = stored(

@@ -109,6 +109,8 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_arc(data: bytes) -> Iterator[tuple[int, str | None, str, str, bytes, bytes]]:
     """(offset, url, ip, date, content type, block) of each record but the version block."""
+    if not data:  # a task without pages writes an empty file
+        return
     at = data.index(b"\n") + 1
     size = int(data[:at].rsplit(b" ", 1)[1])
     version = int(data[at:at + size].split(b" ", 1)[0])
