@@ -70,7 +70,7 @@ def hook(name: str | None):
 
 
 def newest(spark: SparkSession, directory: str):
-    path = latest_checkpoint(directory)
+    path = latest_checkpoint(spark, directory)
     if path is None:
         raise FileNotFoundError(f"no trained model in {directory}")
     return load_model(spark, path)

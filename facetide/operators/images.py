@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from facetide.session import ship
+from facetide.sources.files import default_root
 
 # One Arrow batch of images is passed on when it holds this many bytes.
 BATCH_BYTES = 64 << 20
@@ -38,14 +39,16 @@ def attach_bytes(meta: DataFrame, path: str = "path", num_partitions: int | None
         meta = meta.repartition(num_partitions)
     schema = StructType([*meta.schema.fields, StructField("image_raw", BinaryType(), True)])
 
+    root = default_root(meta.sparkSession)
+
     def read(batches):
         from concurrent.futures import ThreadPoolExecutor
 
-        from facetide.sources.files import read_bytes
+        from facetide.sources.files import qualified_in, read_bytes
 
         with ThreadPoolExecutor(READERS_PER_TASK) as pool:
             for batch in batches:
-                paths = batch.column(batch.schema.get_field_index(path)).to_pylist()
+                paths = [qualified_in(p, root) for p in batch.column(batch.schema.get_field_index(path)).to_pylist()]
                 rows, images, size = [], [], 0
                 # A few files are in flight, never the whole batch.
                 for at in range(0, len(paths), READERS_PER_TASK):

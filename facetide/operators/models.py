@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -50,8 +51,19 @@ class TwoHeadModel:
 
 
 def save_model(spark: SparkSession, model: TwoHeadModel, directory: str, keep: int = KEEP_CHECKPOINTS) -> str:
-    """Save under ``<directory>/step=<n>`` and drop all but the newest ``keep`` checkpoints."""
-    path = f"{directory.rstrip('/')}/step={model.step:09d}"
+    """Save under ``<directory>/save=<k>-step=<n>`` and drop all but the ``keep`` saved last.
+
+    Saves are counted, so the latest checkpoint is the one saved last, whatever its step. Saving the step of the latest one
+    again replaces it.
+    """
+    from facetide.sources.files import qualified, resolve
+
+    if keep < 1:
+        raise ValueError("keep at least the checkpoint that is being saved")
+    directory = qualified(spark, directory).rstrip("/")
+    saved = checkpoints(spark, directory)
+    number = _save(saved[-1]) + (_step(saved[-1]) != model.step) if saved else 1
+    path = f"{directory}/save={number:06d}-step={model.step:09d}"
     zero = [np.zeros_like(model.age), np.zeros_like(model.gender)]
     first, second = model.moments or (zero, zero)
     rows = [
@@ -60,7 +72,9 @@ def save_model(spark: SparkSession, model: TwoHeadModel, directory: str, keep: i
         for k in range(len(w))
     ]
     spark.createDataFrame(rows, WEIGHT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
-    _drop_old(directory, keep)
+    for old in checkpoints(spark, directory)[:-keep]:
+        system, inner = resolve(old)
+        system.delete_dir(inner)
     return path
 
 
@@ -80,33 +94,30 @@ def _step(path: str) -> int:
     return int(path.rstrip("/").rsplit("step=", 1)[1])
 
 
-def checkpoints(directory: str) -> list[str]:
-    """Checkpoint paths of a run, oldest first."""
+def _save(path: str) -> int:
+    return int(path.rstrip("/").rsplit("save=", 1)[1].split("-", 1)[0])
+
+
+def checkpoints(spark: SparkSession, directory: str) -> list[str]:
+    """Checkpoint paths of a run, in the order in which they were saved."""
     from pyarrow import fs
 
-    from facetide.sources.files import resolve
+    from facetide.sources.files import qualified, resolve
 
+    directory = qualified(spark, directory)
     system, root = resolve(directory)
     found = system.get_file_info(fs.FileSelector(root, recursive=False, allow_not_found=True))
-    names = [i.base_name for i in found if i.type == fs.FileType.Directory and i.base_name.startswith("step=")]
-    return [f"{directory.rstrip('/')}/{n}" for n in sorted(names, key=_step)]
-
-
-def latest_checkpoint(directory: str) -> str | None:
-    return (checkpoints(directory) or [None])[-1]
-
+    names = [i.base_name for i in found if i.type == fs.FileType.Directory and re.fullmatch(r"save=\d+-step=\d+", i.base_name)]
+    return [f"{directory.rstrip('/')}/{n}" for n in sorted(names, key=_save)]
 
-def _drop_old(directory: str, keep: int) -> None:
-    from facetide.sources.files import resolve
 
-    for path in checkpoints(directory)[:-keep]:
-        system, inner = resolve(path)
-        system.delete_dir(inner)
+def latest_checkpoint(spark: SparkSession, directory: str) -> str | None:
+    return (checkpoints(spark, directory) or [None])[-1]
 
 
 def registry_table(spark: SparkSession, directory: str, run: str) -> DataFrame:
     """Registry rows ``(run, idx, step, path)`` of a run's checkpoints."""
-    rows = [(run, i, _step(p), p) for i, p in enumerate(checkpoints(directory))]
+    rows = [(run, i, _step(p), p) for i, p in enumerate(checkpoints(spark, directory))]
     return spark.createDataFrame(rows, "run string, idx int, step long, path string")
 
 
@@ -151,6 +162,7 @@ def measures(logits, age: np.ndarray, gender: np.ndarray) -> tuple[dict[str, np.
 
 MODEL_FIELDS = [StructField("idx", IntegerType()), StructField("path", StringType()), StructField("penalty", DoubleType())]
 LOGIT_FIELDS = [StructField(f"{head}_logits", ArrayType(DoubleType())) for head in HEADS]
+PREDICT_FIELDS = [StructField("pred_gender", IntegerType()), StructField("pred_age", DoubleType())]
 MEASURE_FIELDS = [
     *(StructField(n, DoubleType()) for n in ("age_xent", "gender_xent", "pred_age")),
     StructField("pred_gender", IntegerType()), StructField("gender_hit", BooleanType()),
@@ -183,6 +195,55 @@ def measure_models(df: DataFrame, models: Sequence[tuple[str, TwoHeadModel]], fe
     return _each_model(df, models, features, MEASURE_FIELDS, columns)
 
 
+def measure_rows(df: DataFrame, models: Sequence[tuple[str, TwoHeadModel]], features: str = "features") -> DataFrame:
+    """Replace the features by ``measures``, an array with a struct (idx and what ``measure_models`` adds) per model.
+
+    The data are read once: where the models are too many for one broadcast, further passes are maps over the same rows.
+    """
+    ship(df.sparkSession)
+    groups, size = [[]], 0
+    for idx, (_, model) in enumerate(models):
+        if groups[-1] and size + model.nbytes > MAX_MODEL_BYTES:
+            groups.append([])
+            size = 0
+        size += model.nbytes
+        groups[-1].append((idx, TwoHeadModel(model.age, model.gender)))
+    one = ArrayType(StructType([StructField("idx", IntegerType()), *MEASURE_FIELDS]))
+    for i, group in enumerate(groups):
+        schema = StructType([*df.schema.fields, StructField(f"_measures{i}", one)])
+        df = df.mapInArrow(_measurer(df.sparkSession.sparkContext.broadcast(group), schema, features), schema)
+    made = [f"_measures{i}" for i in range(len(groups))]
+    return df.select("*", F.concat(*made).alias("measures")).drop(features, *made)
+
+
+def _measurer(models, schema: StructType, features: str) -> Callable:
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+        kind = arrow.field(len(arrow) - 1).type
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            x = matrix(batch.column(batch.schema.get_field_index(features)))
+            age, gender = (batch.column(batch.schema.get_field_index(f"{head}_label")).to_numpy(zero_copy_only=False)
+                           for head in HEADS)
+            columns = [[] for _ in range(1 + len(MEASURE_FIELDS))]
+            for idx, model in models.value:
+                values, _ = measures(model.logits(x), age, gender)
+                for held, column in zip(columns, (np.full(n, idx, np.int32), *(values[f.name] for f in MEASURE_FIELDS))):
+                    held.append(column)
+            # Row by row, all models of a row together.
+            flat = [pa.array(np.stack(c, axis=1).ravel()).cast(kind.value_type.field(k).type) for k, c in enumerate(columns)]
+            structs = pa.StructArray.from_arrays(flat, fields=list(kind.value_type))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * len(models.value) + 1, len(models.value), dtype=np.int32)), structs)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists.cast(kind)], schema=arrow)
+
+    return run
+
+
 def _each_model(df: DataFrame, models: Sequence[tuple[str, TwoHeadModel]], features: str, fields: list[StructField],
                 columns: Callable) -> DataFrame:
     spark = df.sparkSession
@@ -246,13 +307,18 @@ def as_lists(values: np.ndarray):
 
 
 def predict(df: DataFrame, model: TwoHeadModel, features: str = "features") -> DataFrame:
-    """Add ``pred_gender`` (class) and ``pred_age`` (expected age) to rows with ``age`` and ``gender`` labels."""
-    labelled = df.withColumnRenamed("age", "age_label").withColumnRenamed("gender", "gender_label")
-    scored = measure_models(labelled, [("", model)], features)
+    """Add ``pred_gender`` (class) and ``pred_age`` (expected age); ``age`` and ``gender`` pass through, whatever they hold."""
+    def columns(batch, logits):
+        import pyarrow as pa
+
+        probs, _ = softmax_rows(logits[0])
+        return [pa.array(logits[1].argmax(axis=1).astype(np.int32)), pa.array(probs @ np.arange(probs.shape[1]))]
+
+    scored = _each_model(df, [("", model)], features, PREDICT_FIELDS, columns)
     return scored.select(
-        *(c for c in labelled.columns if c not in (features, "age_label", "gender_label")),
-        F.col("gender_label").alias("real_gender"),
-        F.col("age_label").alias("real_age"),
+        *(c for c in df.columns if c not in (features, "age", "gender")),
+        F.col("gender").alias("real_gender"),
+        F.col("age").alias("real_age"),
         "pred_gender",
         "pred_age",
     )

@@ -23,11 +23,18 @@ MD5_DIGITS = 32
 # monotonically_increasing_id holds the partition above this bit and the row's place in it below.
 PLACE_BITS = 33
 SPLIT_SEED = 2017
+COPY = "_copy"
 
 
 def order_hash(seed: int | Column, *key: Column | str) -> Column:
     first = seed if isinstance(seed, Column) else F.lit(str(seed))
-    return F.md5(F.concat_ws("|", first, *(as_column(k).cast("string") for k in key)))
+    # Separators within a part are escaped and nulls marked, so that different keys differ. A copy's number is left out
+    # where there is none.
+    def part(k: Column | str) -> Column:
+        held = F.regexp_replace(as_column(k).cast("string"), r"([|\\])", r"\\$1")
+        return held if isinstance(k, str) and k == COPY else F.coalesce(held, F.lit("\\N"))
+
+    return F.md5(F.concat_ws("|", first, *map(part, key)))
 
 
 def with_row_tie(df: DataFrame, name: str) -> DataFrame:
@@ -120,7 +127,7 @@ def _ranked(df: DataFrame, hashed: Column, key: Sequence[str], groups: int = 1,
     return placed.withColumn("pos", pos).withColumn("total", F.lit(total).cast("long")).drop("_hash", "_task", "_place")
 
 
-def with_unique_key(df: DataFrame, key: str | Sequence[str], name: str = "_copy") -> tuple[DataFrame, list[str]]:
+def with_unique_key(df: DataFrame, key: str | Sequence[str], name: str = COPY) -> tuple[DataFrame, list[str]]:
     """The frame and the columns that tell its rows apart.
 
     If keys repeat, their copies are told apart by a further column, which is null for keys that occur once: those hash

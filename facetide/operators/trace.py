@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -34,11 +35,15 @@ def step_durations(steps: DataFrame, by: Sequence[str] = (), every: int = LOG_EV
     )
     seconds = (F.unix_micros(F.col("ts").cast("timestamp"))
                - F.unix_micros(F.coalesce("_previous", "_carried").cast("timestamp"))) / F.lit(1e6)
+    # Null-safe: a run without a name is a run.
+    names = [*by, "_block"]
+    ends = ends.select(*(F.col(n).alias(f"_of_{i}") for i, n in enumerate(names)), "_carried")
+    same = reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(f"_of_{i}")) for i, n in enumerate(names)))
     return (
         logged.withColumn("_previous", F.lag("ts").over(in_block))
-        .join(ends, [*by, "_block"])
+        .join(ends, same)
         .withColumn("seconds", seconds)
-        .drop("_block", "_previous", "_carried")
+        .drop("_block", "_previous", "_carried", *(f"_of_{i}" for i in range(len(names))))
     )
 
 

@@ -20,15 +20,13 @@ from facetide.session import ship
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 INIT_STDDEV = 0.01
 TRACE = ("age_cross_entropy", "gender_cross_entropy", "total loss", "train_abs_age_error", "gender_accuracy", "lr")
-# Partial gradients of more tasks than this are combined by tasks first.
-DIRECT_PARTIALS = 64
 
 
 def train_two_head(df: DataFrame, features: str = "features", age: str = "age", gender: str = "gender",
                    reg: float = HEAD_DECAY, max_iter: int = 100) -> TwoHeadModel:
     """Fit both softmax heads on the whole data with MLlib (distributed gradients, quasi-Newton steps).
 
-    The age head has as many classes as the largest label asks for.
+    The heads always have all their classes, also those without a label here.
     """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
@@ -39,11 +37,12 @@ def train_two_head(df: DataFrame, features: str = "features", age: str = "age",
         F.col(gender).cast("double").alias("gender"),
     ).persist(StorageLevel.MEMORY_AND_DISK)
     heads = []
-    for label in ("age", "gender"):
+    for label, classes in (("age", AGE_CLASSES), ("gender", GENDER_CLASSES)):
+        nominal = {"ml_attr": {"type": "nominal", "num_vals": classes}}
         fitted = LogisticRegression(
             featuresCol="x", labelCol=label, family="multinomial", regParam=reg, maxIter=max_iter,
             standardization=False,
-        ).fit(rows)
+        ).fit(rows.withMetadata(label, nominal))
         heads.append(np.column_stack([fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()]))
     rows.unpersist()
     return TwoHeadModel(*heads)
@@ -69,7 +68,7 @@ def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age:
     """Synchronous data-parallel Adam over shuffled batches, up to ``steps``; returns the model and its trace.
 
     Each step is one Spark job: every task sums the gradient of its share of the batch, and only sums of the heads' size
-    reach the driver. Only keys are put in order; the features move once, by key, whatever the number of epochs, which
+    reach the driver. The heads' weights decay by a fixed rate. Only keys are put in order; the features move once, by key, whatever the number of epochs, which
     also spreads the rows of a batch over all tasks, so ``batch_size`` can grow with the cluster. With ``model_dir`` a checkpoint is saved every ``save_every`` steps and at the end, and a later call
     goes on from the newest one at the batch it stopped before, as if there had been no stop.
     """
@@ -89,7 +88,7 @@ def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age:
     extent = batches.agg(F.max("batch_id").alias("last"), F.max(F.size("x")).alias("width")).first()
     if extent["last"] is None:
         raise ValueError("no full batch to train on")
-    saved = latest_checkpoint(model_dir) if model_dir and resume else None
+    saved = latest_checkpoint(spark, model_dir) if model_dir and resume else None
     model = load_model(spark, saved) if saved else initial_model(extent["width"], seed, age_classes)
     partitions = batches.rdd.getNumPartitions()
 
@@ -97,7 +96,7 @@ def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age:
     for step in range(model.step, extent["last"] + 1):
         sums = _batch_sums(batches.filter(F.col("batch_id") == step), model, partitions)
         rate = lr * DECAY_RATE ** (step // DECAY_STEPS)
-        values, model = _update(model, sums, rate, weight_decay)
+        values, model = _update(model, sums, rate)
         trace += [(step, name, float(v)) for name, v in zip(TRACE, values)]
         if model_dir and step % save_every == 0:
             save_model(spark, model, model_dir)
@@ -135,8 +134,7 @@ def _batch_sums(rows: DataFrame, model: TwoHeadModel, partitions: int) -> np.nda
             yield pa.RecordBatch.from_pydict({"sums": [total]}, schema=pa.schema([("sums", pa.list_(pa.float64()))]))
 
     sums = rows.select("x", "age", "gender").mapInArrow(partial, "sums array<double>")
-    if partitions > DIRECT_PARTIALS:
-        sums = sums.repartition(n_partials(partitions)).mapInArrow(combine, "sums array<double>")
+    sums = sums.repartition(n_partials(partitions)).mapInArrow(combine, "sums array<double>")
     return matrix(sums.toArrow().column("sums").combine_chunks()).sum(axis=0)
 
 
@@ -151,7 +149,7 @@ def _sums(model: TwoHeadModel, x: np.ndarray, age: np.ndarray, gender: np.ndarra
     return np.concatenate([[len(x), *totals], *gradients])
 
 
-def _update(model: TwoHeadModel, sums: np.ndarray, rate: float, decay: float):
+def _update(model: TwoHeadModel, sums: np.ndarray, rate: float, decay: float = HEAD_DECAY):
     """One optimizer step from a batch's sums; also the step's trace values, taken before the update."""
     n, age_loss, gender_loss, error, hits = sums[:5]
     weights = [model.age, model.gender]

@@ -10,7 +10,10 @@ from facetide.operators import models, training
 from facetide.plans.evaluate import choose_best_model, evaluate
 from facetide.plans.views import SCORED
 from facetide.session import scratch_path
-from facetide.streaming.score import read_scored, read_stream, score_stream
+from facetide.streaming.score import await_scored, read_scored, read_stream, score_stream
+
+
+BATCH = 64
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,23 +29,22 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-batch training, saved, loaded, and evaluated in batches."""
     rows = _labelled(spark, sf_dir)
-    path = models.save_model(spark, training.train_two_head(rows, max_iter=20), scratch_path(spark, "model"))
+    path = models.save_model(spark, training.train_two_head(rows), scratch_path(spark, "model"))
     return evaluate(rows, models.load_model(spark, path))
 
 
 @query("train_sgd")
 def train_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trace of a few optimizer steps over the whole data."""
+    """The trace of one epoch in full batches."""
     rows = _labelled(spark, sf_dir)
-    size = max(32, rows.count() // 8)
-    _, trace = training.train_sgd(rows, epochs=1, batch_size=size, lr=0.05)
+    _, trace = training.train_sgd(rows, epochs=1, batch_size=BATCH, lr=0.05)
     return trace
 
 
 @query("predict")
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled(spark, sf_dir)
-    return models.predict(rows, training.train_two_head(rows, max_iter=20))
+    return models.predict(rows, training.train_two_head(rows))
 
 
 @query("choose_best_model")
@@ -50,8 +52,7 @@ def best_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checkpoints of one run, all scored in one pass, and the best per metric."""
     rows = _labelled(spark, sf_dir)
     folder = scratch_path(spark, "model")
-    size = max(32, rows.count() // 4)
-    training.train_sgd(rows, epochs=1, batch_size=size, lr=0.05, model_dir=folder, save_every=2)
+    training.train_sgd(rows, epochs=1, batch_size=BATCH, lr=0.05, model_dir=folder, save_every=2)
     best, _ = choose_best_model(rows, folder)
     return best
 
@@ -162,6 +163,18 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("pred_age", F.round("pred_age", 6))
 
 
+@query("stream_capped", _STREAMED)
+def stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that stops at its cap and is run again without one: together all rows, each once."""
+    source = fixtures.table(spark, sf_dir, "embeddings")
+    arriving, out = scratch_path(spark, "arriving"), scratch_path(spark, "scored")
+    source.repartition(4).write.parquet(arriving)
+    stream = read_stream(spark, arriving, source.schema, max_files=1)
+    for cap in (1, None):
+        await_scored(score_stream(stream, _first_model, f"{out}/rows", f"{out}/state", max_batches=cap))
+    return read_scored(spark, f"{out}/rows").withColumn("pred_age", F.round("pred_age", 6))
+
+
 @query("stream_metrics", "select cast(count(*) as bigint) as n_rows, cast(2 as bigint) as n_batches from embeddings")
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics per micro-batch of two files each, four files in all."""

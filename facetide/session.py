@@ -49,7 +49,7 @@ def ship(spark: SparkSession) -> None:
     package = os.path.join(_PACKAGE_ROOT, "facetide")
     if app in _shipped or not os.path.isdir(package):  # within an archive it was sent along already
         return
-    from facetide.sources.files import resolve
+    from facetide.sources.files import qualified, resolve
 
     held = io.BytesIO()
     with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
@@ -58,7 +58,7 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     archive.write(full, os.path.relpath(full, _PACKAGE_ROOT))
-    target = f"{scratch_path(spark, 'package')}/facetide.zip"
+    target = qualified(spark, f"{scratch_path(spark, 'package')}/facetide.zip")
     system, path = resolve(target)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
     with system.open_output_stream(path) as stream:

@@ -28,10 +28,27 @@ def resolve(uri: str):
                 _open_systems[root.group(0)] = system
             return system, path
     # Within an object store the bucket is part of the path; elsewhere the host is not.
-    host, rest = uri.split("://", 1)[1].split("/", 1)
+    host, _, rest = uri.split("://", 1)[1].partition("/")
     return system, f"/{rest}" if scheme.group(1) in ("hdfs", "viewfs") else f"{host}/{rest}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with scheme and host, as Spark itself reads it: without a scheme it is on the default file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toString()
+
+
+def default_root(spark: SparkSession) -> str:
+    """What stands before an absolute path without a scheme, such as ``hdfs://host:8020`` or ``file:``."""
+    return re.sub("/+$", "", qualified(spark, "/"))
+
+
+def qualified_in(path: str | None, root: str) -> str | None:
+    """For tasks: an absolute path below ``root``, as ``default_root`` gives it; a URI stays."""
+    return root + path if path is not None and path.startswith("/") else path
+
+
 def read_bytes(uri: str) -> bytes | None:
     """A whole file, or None if there is no such file. Other errors are raised."""
     if uri is None:

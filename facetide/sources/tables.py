@@ -12,10 +12,14 @@ META_SCHEMA = (
 
 
 def read_meta(spark: SparkSession, path: str, source: str, fmt: str = "parquet", **options) -> DataFrame:
-    """Metadata rows with fixed columns, tagged with their corpus."""
-    return spark.read.schema(META_SCHEMA).format(fmt).options(**options).load(path).withColumn(
-        "source", F.lit(source)
-    )
+    """Metadata rows with fixed columns, tagged with their corpus.
+
+    Parquet keeps types of its own, such as 64-bit years, which are cast; a value that does not fit is null.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    rows = (reader if fmt in ("parquet", "orc") else reader.schema(META_SCHEMA)).load(path)
+    fields = (f.split() for f in META_SCHEMA.split(", "))
+    return rows.select(*(F.col(n).try_cast(t).alias(n) for n, t in fields), F.lit(source).alias("source"))
 
 
 def write_prepared(df: DataFrame, path: str, n_shards: int, partitioned: bool = False) -> None:

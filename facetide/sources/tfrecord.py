@@ -32,6 +32,7 @@ from pyspark.sql.types import (
 )
 
 from facetide.session import ship
+from facetide.sources.files import qualified
 
 SUFFIX = ".tfrecords"
 # Fixed frame layout: length, its masked checksum, data, its masked checksum.
@@ -41,7 +42,7 @@ SPLIT_BYTES = 256 << 20
 BLOCK_BYTES = 16 << 20
 WRITE_BYTES = 16 << 20
 BATCH_ROWS = 10_000
-SINGLE_BYTES = 8 << 30
+FILE_BYTES = 256 << 20
 
 
 class TFRecordSource(DataSource):
@@ -317,22 +318,17 @@ class TFRecordWriter(DataSourceArrowWriter):
         shard_column = self.options.get("shardcolumn")
         kinds = {f.name: (_kind(f.dataType), isinstance(f.dataType, ArrayType)) for f in self.schema.fields
                  if f.name != shard_column}
-        limit = int(self.options.get("maxbytes", 0))
-        streams, counts, sizes = {}, {}, {}
+        streams, counts = {}, {}
 
         def append(name: str, rows) -> None:
             if name not in streams:
-                streams[name], counts[name], sizes[name] = system.open_output_stream(f"{folder}/{name}"), 0, 0
+                streams[name], counts[name] = system.open_output_stream(f"{folder}/{name}"), 0
             if rows is None or not rows.num_rows:
                 return
             # Wide rows are turned into frames a few at a time.
             step = max(1, WRITE_BYTES * rows.num_rows // max(rows.nbytes, 1))
             for at in range(0, rows.num_rows, step):
-                frames = _framed(rows.slice(at, step), kinds)
-                streams[name].write(frames)
-                sizes[name] += len(frames)
-                if limit and sizes[name] > limit:
-                    raise ValueError(f"{name} grows beyond {limit} bytes; write it in shards")
+                streams[name].write(_framed(rows.slice(at, step), kinds))
             counts[name] += rows.num_rows
 
         try:
@@ -372,9 +368,10 @@ class TFRecordWriter(DataSourceArrowWriter):
             self.abort(messages)
             raise FileExistsError(f"{root} already has {sorted(present.keys() & moves.keys())[0]}")
         with ThreadPoolExecutor(16) as pool:
+            # New files first: a failure in between leaves a full set, old or new, under every name.
+            list(pool.map(lambda item: system.move(item[1], f"{root}/{item[0]}"), moves.items()))
             if self.overwrite:
                 list(pool.map(system.delete_file, (p for n, p in present.items() if n not in moves)))
-            list(pool.map(lambda item: system.move(item[1], f"{root}/{item[0]}"), moves.items()))
         self.abort(messages)
 
     def abort(self, messages) -> None:
@@ -442,13 +439,13 @@ def read_records(spark: SparkSession, path: str, binary_features: str = "image_r
     """Records of a file or directory as typed columns, one task per file or part of a large file."""
     register(spark)
     reader = spark.read.format("tfrecord").option("binary_features", binary_features).options(**options)
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    return (reader.schema(schema) if schema is not None else reader).load(qualified(spark, path))
 
 
 def read_raw_records(spark: SparkSession, path: str, **options) -> DataFrame:
     """Records as undecoded bytes in one column, ``value``."""
     register(spark)
-    return spark.read.format("tfrecord").option("recordType", "bytes").options(**options).load(path)
+    return spark.read.format("tfrecord").option("recordType", "bytes").options(**options).load(qualified(spark, path))
 
 
 def infer_record_schema(spark: SparkSession, path: str, binary_features: str = "image_raw") -> StructType:
@@ -469,17 +466,19 @@ def write_shards(df: DataFrame, base: str, split: str, n_shards: int, shard: str
     (
         df.write.format("tfrecord").mode("overwrite")
         .option("split", split).option("shardColumn", shard)
-        .save(f"{base.rstrip('/')}/{split}")
+        .save(qualified(df.sparkSession, f"{base.rstrip('/')}/{split}"))
     )
 
 
-def write_single(df: DataFrame, directory: str, name: str, max_bytes: int = SINGLE_BYTES) -> None:
-    """Write one ``<name>.tfrecords``.
-
-    One file is the work of one task, so a set larger than ``max_bytes`` is refused: use ``write_shards`` for those.
-    """
+def write_single(df: DataFrame, directory: str, name: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write ``<name>.tfrecords``, or ``<name>-000.tfrecords`` and so on if the values come to more than ``file_bytes``:
+    a file is the work of one task."""
     register(df.sparkSession)
+    sizes = (F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, (StringType, BinaryType)) else F.lit(8)
+             for f in df.schema.fields)
+    total = df.agg(F.sum(sum(sizes, F.lit(0)).cast("long")).alias("n")).first()["n"] or 0
+    files = max(1, -(-total // file_bytes))
     (
-        df.repartition(1).write.format("tfrecord").mode("append")
-        .option("split", name).option("single", "true").option("maxBytes", str(max_bytes)).save(directory)
+        df.repartition(files).write.format("tfrecord").mode("append")
+        .option("split", name).option("single", str(files == 1).lower()).save(qualified(df.sparkSession, directory))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -20,6 +21,9 @@ def read_stream(spark: SparkSession, path: str, schema, max_files: int | None =
     return reader.load(path)
 
 
+CAP = "the cap on micro-batches is reached"
+
+
 def score_stream(rows: DataFrame, logits: Callable[[DataFrame], DataFrame], out: str, state: str,
                  metrics: str | None = None, max_batches: int | None = None,
                  available_now: bool = True) -> StreamingQuery:
@@ -27,13 +31,16 @@ def score_stream(rows: DataFrame, logits: Callable[[DataFrame], DataFrame], out:
 
     ``logits`` turns rows into the columns ``age_label, gender_label, age_logits, gender_logits`` and whatever else to
     keep. Predictions go to ``<out>/batch=<n>``, batch metrics to ``<metrics>/batch=<n>``. A micro-batch that is run
-    again after a failure replaces its own folder. The query ends when the files are used up, or after
-    ``max_batches`` micro-batches; later ones are not scored.
+    again after a failure replaces its own folder. The query ends when the files are used up, or when this
+    run has scored ``max_batches`` micro-batches: the next one fails on purpose before anything of it is committed, and a
+    later run goes on with it. Wait with ``await_scored``.
     """
+    done: set[int] = set()
 
     def write(batch: DataFrame, number: int) -> None:
-        if max_batches is not None and number >= max_batches:
-            return
+        if max_batches is not None and number not in done and len(done) >= max_batches:
+            raise RuntimeError(CAP)
+        done.add(number)
         scored = logits(batch)
         if metrics is not None:
             # Two outputs come from these rows.
@@ -49,6 +56,15 @@ def score_stream(rows: DataFrame, logits: Callable[[DataFrame], DataFrame], out:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def await_scored(query: StreamingQuery) -> None:
+    """Wait until the files are used up or the cap is reached."""
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as error:
+        if CAP not in str(error):
+            raise
+
+
 def read_scored(spark: SparkSession, out: str) -> DataFrame:
     """All predictions written so far."""
     return spark.read.parquet(out).drop("batch")

@@ -8,7 +8,7 @@ from pyspark.sql.types import DoubleType
 from facetide.operators import metrics, models, selection, trace, training
 from facetide.plans.evaluate import choose_best_model, evaluate, evaluate_models
 from facetide.plans.infer import infer
-from facetide.streaming.score import read_scored, read_stream, score_stream
+from facetide.streaming.score import await_scored, read_scored, read_stream, score_stream
 
 
 def softmax(x):
@@ -100,7 +100,10 @@ def clustered(spark):
 
 def test_full_batch_training(spark, clustered, tmp_path):
     model = training.train_two_head(clustered, max_iter=50)
-    assert model.age.shape == (6, 9) and model.gender.shape == (2, 9)
+    assert model.age.shape == (101, 9) and model.gender.shape == (2, 9)
+    # Ages that no training row has can be tested.
+    unseen = clustered.withColumn("age", F.col("age") + 90)
+    assert evaluate(unseen, model).first()["mean_error_age"] > 50
     path = models.save_model(spark, model, str(tmp_path / "m"))
     again = models.load_model(spark, path)
     np.testing.assert_array_equal(again.age, model.age)
@@ -150,15 +153,15 @@ def test_adam_matches_numpy_and_resumes(spark, clustered, tmp_path):
 
     folder = str(tmp_path / "m")
     training.train_sgd(clustered, steps=4, model_dir=folder, save_every=2, **options)
-    assert [p.rsplit("=")[-1] for p in models.checkpoints(folder)] == ["000000001", "000000003", "000000004"]
+    assert [p.rsplit("=")[-1] for p in models.checkpoints(spark, folder)] == ["000000001", "000000003", "000000004"]
     resumed, log = training.train_sgd(clustered, steps=6, model_dir=folder, **options)
     np.testing.assert_allclose(resumed.age, whole.age, atol=1e-12)
     assert min(r["step"] for r in log.collect()) == 4
     best, results = choose_best_model(clustered, folder)
-    assert results.count() == len(models.checkpoints(folder)) == 4
-    assert best.first()["age_model"] == models.latest_checkpoint(folder)
+    assert results.count() == len(models.checkpoints(spark, folder)) == 4
+    assert best.first()["age_model"] == models.latest_checkpoint(spark, folder)
     table = models.registry_table(spark, folder, "r")
-    assert selection.latest(table).first()["path"] == models.latest_checkpoint(folder)
+    assert selection.latest(table).first()["path"] == models.latest_checkpoint(spark, folder)
 
 
 def test_repeated_keys_are_refused(clustered):
@@ -166,19 +169,17 @@ def test_repeated_keys_are_refused(clustered):
         training.train_sgd(clustered.withColumn("key", F.col("key") % 7), steps=1)
 
 
-def test_partial_gradients_can_be_combined_by_tasks(spark, clustered, monkeypatch):
-    options = dict(epochs=1, batch_size=120, steps=2, lr=0.05, age_classes=6)
-    direct, _ = training.train_sgd(clustered, **options)
-    monkeypatch.setattr(training, "DIRECT_PARTIALS", 0)
-    combined, _ = training.train_sgd(clustered, **options)
-    np.testing.assert_allclose(combined.age, direct.age, atol=1e-12)
-
-
 def test_old_checkpoints_are_dropped(spark, tmp_path):
     model = training.initial_model(3, 1, 4)
     for step in range(5):
         models.save_model(spark, models.TwoHeadModel(model.age, model.gender, step), str(tmp_path), keep=2)
-    assert [p[-1] for p in models.checkpoints(str(tmp_path))] == ["3", "4"]
+    assert [p[-1] for p in models.checkpoints(spark, str(tmp_path))] == ["3", "4"]
+    # The latest is the one saved last, also if its step is lower, and it is not dropped.
+    path = models.save_model(spark, models.TwoHeadModel(model.age, model.gender, 0), str(tmp_path), keep=2)
+    assert models.latest_checkpoint(spark, str(tmp_path)) == path and models.load_model(spark, path).step == 0
+    assert models.save_model(spark, models.TwoHeadModel(model.age, model.gender, 0), str(tmp_path), keep=2) == path
+    with pytest.raises(ValueError, match="at least"):
+        models.save_model(spark, model, str(tmp_path), keep=0)
     with pytest.raises(FileNotFoundError):
         choose_best_model(spark.range(1), str(tmp_path / "none"))
 
@@ -257,5 +258,10 @@ def test_stream_equals_batch_and_stops_at_the_cap(spark, clustered, tmp_path):
     again.awaitTermination()
     assert read_scored(spark, str(tmp_path / "out")).count() == 240
 
-    score_stream(rows, stream_logits(model), str(tmp_path / "capped"), str(tmp_path / "state2"), max_batches=1).awaitTermination()
-    assert 70 < read_scored(spark, str(tmp_path / "capped")).count() < 90  # two files of six
+    capped = str(tmp_path / "capped"), str(tmp_path / "state2")
+    await_scored(score_stream(rows, stream_logits(model), *capped, max_batches=1))
+    assert 70 < read_scored(spark, capped[0]).count() < 90  # two files of six
+    # Without the cap the rest comes, and nothing twice.
+    await_scored(score_stream(rows, stream_logits(model), *capped))
+    again = {r["key"]: (r["pred_gender"], round(r["pred_age"], 9)) for r in read_scored(spark, capped[0]).collect()}
+    assert again == want and read_scored(spark, capped[0]).count() == 240

@@ -251,8 +251,12 @@ def test_failed_writes_leave_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="two tasks wrote"):
         tfrecord.write_shards(records(spark).withColumn("shard", F.lit(0)), str(tmp_path), "train", 1, partitioned=True)
     assert not [n for _, _, names in os.walk(tmp_path / "train") for n in names]
-    with pytest.raises(Exception, match="write it in shards"):
-        tfrecord.write_single(records(spark).drop("shard"), str(tmp_path / "one"), "x", max_bytes=500)
+
+
+def test_a_large_single_set_is_cut(spark, tmp_path):
+    tfrecord.write_single(records(spark).drop("shard"), str(tmp_path / "one"), "x", file_bytes=500)
+    assert len([n for n in os.listdir(tmp_path / "one") if n.startswith("x-")]) > 1
+    assert rows_of(tfrecord.read_records(spark, str(tmp_path / "one"))) == rows_of(records(spark))
 
 
 def test_paths_of_all_kinds(tmp_path):
