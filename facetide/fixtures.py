@@ -70,12 +70,12 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def example(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records with 2 x 2 x 3 byte images made from known text."""
+    """Records with 2 x 2 x 3 byte images made from the documents' texts."""
     doc = F.col("doc_id")
     return table(spark, sf_dir, "documents").select(
         (doc % 101).alias("age"),
         (doc % 2).alias("gender"),
-        F.encode(F.substring(F.md5(doc.cast("string")), 1, 12), "UTF-8").alias("image_raw"),
+        F.encode(F.substring(F.md5("text"), 1, 12), "UTF-8").alias("image_raw"),
         file_name(doc).alias("file_name"),
     )
 

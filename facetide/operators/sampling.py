@@ -92,7 +92,8 @@ def _ranked(df: DataFrame, hashed: Column, key: Sequence[str], groups: int = 1,
             limit: int | None = None) -> DataFrame:
     """Add ``pos`` (from 0, within ``group``, a column of 0..groups-1) in hash order, and ``total``, its row count."""
     setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(-(-setting // groups), 16**DIGITS))
+    # Every group is spread over as many tasks as any shuffle.
+    tasks = max(1, min(setting, 16**DIGITS))
     digits = F.conv(F.substring("_hex", 1, DIGITS), 16, 10).cast("int")
     task = F.shiftright(digits * F.lit(tasks).cast("long"), 4 * DIGITS).cast("int")
     if group is not None:

@@ -106,6 +106,21 @@ def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age:
     return model, spark.createDataFrame(trace, "step long, name string, value double")
 
 
+def gradient_norm(df: DataFrame, model: TwoHeadModel, features: str = "features", age: str = "age", gender: str = "gender",
+                  decay: float = HEAD_DECAY) -> float:
+    """Length of the gradient of the mean loss over all rows, with the weights' penalty."""
+    ship(df.sparkSession)
+    rows = df.select(F.col(features).cast("array<double>").alias("x"), F.col(age).cast("long").alias("age"),
+                     F.col(gender).cast("long").alias("gender"))
+    sums = _batch_sums(rows, model, rows.rdd.getNumPartitions())
+    total, cut = 0.0, 5 + model.age.size
+    for w, g in ((model.age, sums[5:cut]), (model.gender, sums[cut:])):
+        g = g.reshape(w.shape) / sums[0]
+        g[:, :-1] += decay * w[:, :-1]
+        total += float(np.square(g).sum())
+    return total ** 0.5
+
+
 def _batch_sums(rows: DataFrame, model: TwoHeadModel, partitions: int) -> np.ndarray:
     """Sums over one batch: row count, both losses, age error, gender hits, then both gradients, flattened."""
     weights = TwoHeadModel(model.age, model.gender)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from facetide import fixtures
 from facetide.catalog import query
 from facetide.operators import models, training
-from facetide.plans.evaluate import choose_best_model, evaluate
+from facetide.plans.evaluate import choose_best_model, evaluate, evaluate_batches
 from facetide.plans.views import SCORED
 from facetide.session import scratch_path
 from facetide.streaming.score import await_scored, read_scored, read_stream, score_stream
@@ -25,12 +25,30 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("train_eval")
+@query("train_eval", """
+select cast(101 as bigint) as age_classes, cast(2 as bigint) as gender_classes, count(*) as n_rows, true as flat, true as better
+from embeddings
+""")
 def train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full-batch training, saved, loaded, and evaluated in batches."""
+    """Full-batch training, saved, loaded and measured on all rows.
+
+    Facts of the fit: its classes, that the mean loss hardly changes along its gradient any more (``flat``), and that it
+    is below that of the best constant model, which is the entropy of the labels (``better``).
+    """
+    import math
+
     rows = _labelled(spark, sf_dir)
     path = models.save_model(spark, training.train_two_head(rows), scratch_path(spark, "model"))
-    return evaluate(rows, models.load_model(spark, path))
+    model = models.load_model(spark, path)
+    shape = {"age_classes": len(model.age), "gender_classes": len(model.gender)}
+    slope = training.gradient_norm(rows, model)
+    counts = [[r["count"] for r in rows.groupBy(c).count().collect()] for c in ("age", "gender")]
+    constant = sum(n / sum(c) * math.log(sum(c) / n) for c in counts for n in c)
+    loss = evaluate_batches(rows, model).agg(
+        F.sum("n_rows").alias("n"), (F.sum((F.col("age_xent") + F.col("gender_xent")) * F.col("n_rows")) / F.sum("n_rows")).alias("loss"))
+    return loss.select(
+        *(F.lit(n).cast("long").alias(c) for c, n in shape.items()), F.col("n").alias("n_rows"), F.lit(slope < 1e-2).alias("flat"),
+        (F.col("loss") < constant).alias("better"))
 
 
 @query("train_sgd")
@@ -175,8 +193,15 @@ def stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_scored(spark, f"{out}/rows").withColumn("pred_age", F.round("pred_age", 6))
 
 
-@query("stream_metrics", "select cast(count(*) as bigint) as n_rows, cast(2 as bigint) as n_batches from embeddings")
+@query("stream_metrics", f"""
+with {SCORED} select cast(count(*) as bigint) as n_rows, cast(2 as bigint) as n_batches, round(avg(age_xent), 6) as age_xent,
+  round(avg(gender_xent), 6) as gender_xent, round(avg(abs(pred_age - age_label)), 6) as age_mae,
+  round(avg(case when gender_hit then 1.0 else 0.0 end), 6) as gender_acc
+from scored where idx = 0
+""")
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics per micro-batch of two files each, four files in all."""
+    """Metrics per micro-batch of two files each, four files in all; their means, weighted by rows."""
     per_batch = spark.read.parquet(_streamed(spark, sf_dir)[1])
-    return per_batch.agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_batches"))
+    rows = F.sum("n_rows")
+    return per_batch.agg(rows.alias("n_rows"), F.count(F.lit(1)).alias("n_batches"), *(
+        F.round(F.sum(F.col(c) * F.col("n_rows")) / rows, 6).alias(c) for c in ("age_xent", "gender_xent", "age_mae", "gender_acc")))

@@ -8,12 +8,21 @@ from facetide import fixtures
 from facetide.catalog import query
 from facetide.functions import age_at, corpus_dir, image_path, serial_to_date
 from facetide.operators import images, prep
-from facetide.plans.views import AGED, CLEAN, DETECTIONS, FACE_META, IMAGE_FILES
+from facetide.plans.views import AGED, CLEAN, DETECTIONS, FACE_META, IMAGE_FILES, SCORES
 from facetide.session import scratch_path, ship
 from facetide.sources.files import list_files
 from facetide.sources.tables import read_meta
 
 
+SCORE_FIELDS = ("gender", "face_score", "second_face_score")
+
+
+def plain_scores(df: DataFrame) -> DataFrame:
+    """NaN and infinity, as engines write them alike."""
+    return df.withColumns({c: F.when(F.isnan(c), F.lit(None)).when(F.abs(c) == float("inf"), F.lit(-999.0)).otherwise(F.col(c))
+                           for c in SCORE_FIELDS})
+
+
 @query("age_from_serial", f"with {AGED} select doc_id, cast(birth as varchar) as birth, age from aged")
 def age_from_serial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.face_meta(spark, sf_dir).select(
@@ -59,18 +68,18 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("explode_parallel", f"""
-with {FACE_META} select source, file_name, dob, photo_taken, doc_id from face_meta
+with {FACE_META} select source, file_name, dob, photo_taken, doc_id, {SCORES} from face_meta
 """)
 def explode_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parallel arrays of up to a hundred rows per source and key range, and back to rows."""
-    fields = ["file_name", "dob", "photo_taken", "doc_id"]
+    fields = ["file_name", "dob", "photo_taken", "doc_id", *SCORE_FIELDS]
     packed = (
         fixtures.face_meta(spark, sf_dir)
         .groupBy("source", F.expr("doc_id div 100").alias("part"))
         .agg(F.collect_list(F.struct(*fields)).alias("rows"))
         .select("source", *(F.col(f"rows.{f}").alias(f) for f in fields))
     )
-    return prep.explode_parallel(packed, fields)
+    return plain_scores(prep.explode_parallel(packed, fields))
 
 
 @query("union_corpora", f"""
@@ -190,7 +199,7 @@ def prep_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("read_meta", f"""
 with {FACE_META}
-select file_name, dob, photo_taken, coalesce(cast(face_score as varchar), '') = '-inf' as no_face,
+select file_name, dob, photo_taken, {SCORES},
   case when doc_id % 2 = 0 then 'even' else 'odd' end as source
 from face_meta
 """)
@@ -204,9 +213,7 @@ def read_meta_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = prep.union_corpora(
         read_meta(spark, even, "even"), read_meta(spark, odd, "odd", "csv", header=True)
     )
-    return both.select(
-        "file_name", "dob", "photo_taken", (F.col("face_score") == F.lit(float("-inf"))).alias("no_face"), "source"
-    )
+    return plain_scores(both.select("file_name", "dob", "photo_taken", *SCORE_FIELDS, "source"))
 
 
 @query("row_counts", """

@@ -144,7 +144,7 @@ def prepare_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("decode_raw", f"""
-with {EXAMPLE}, bytes as (select file_name, substr(md5(cast(doc_id as varchar)), 1, 12) as s from example)
+with {EXAMPLE}, bytes as (select file_name, substr(md5(text), 1, 12) as s from example)
 select file_name, cast(i as int) as i, cast(ascii(substr(s, cast(i as int) + 1, 1)) as smallint) as v
 from bytes, range(12) t(i)
 """)
@@ -155,7 +155,7 @@ def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("image_tensor", f"""
-with {EXAMPLE}, bytes as (select file_name, substr(md5(cast(doc_id as varchar)), 1, 12) as s from example),
+with {EXAMPLE}, bytes as (select file_name, substr(md5(text), 1, 12) as s from example),
 px as (select file_name, i, cast(ascii(substr(s, cast(i // 3 * 3 + 2 - i % 3 as int) + 1, 1)) as double) as x
        from bytes, range(12) t(i)),
 st as (select file_name, avg(x) as mu, greatest(stddev_pop(x), 1 / sqrt(12)) as sd from px group by 1)
@@ -169,8 +169,8 @@ def tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("map_images", f"""
 with {EXAMPLE}
-select file_name, substr(md5(cast(doc_id as varchar)), 2, 3) as crop from example
-where substr(md5(cast(doc_id as varchar)), 1, 1) = '1'
+select file_name, substr(md5(text), 2, 3) as crop from example
+where substr(md5(text), 1, 1) = '1'
 """)
 def mapped_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A detector that reads the number of faces from the first byte and crops the bytes after it."""

@@ -34,14 +34,12 @@ def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("reverse_channels", """
 select vec_id, cast(i as int) as i,
-  round(cast(embedding[cast(i // 3 * 3 + 2 - i % 3 + 1 as int)] as double), 6) as v
-from embeddings, range(63) t(i)
+  round(cast(embedding[cast(i // 4 * 4 + 3 - i % 4 + 1 as int)] as double), 6) as v
+from embeddings, range(64) t(i)
 """)
 def reversed_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups of three over the first 63 of 64 elements: the array stands for an image of 21 pixels."""
-    vectors = fixtures.table(spark, sf_dir, "embeddings").select(
-        "vec_id", reverse_channels(F.slice("embedding", 1, 63), 3).alias("r")
-    )
+    """Groups of four over all 64 elements: the array stands for an image of 16 pixels with four channels."""
+    vectors = fixtures.table(spark, sf_dir, "embeddings").select("vec_id", reverse_channels("embedding", 4).alias("r"))
     return _elements(vectors, ["vec_id"], "r").withColumn("v", F.round(F.col("v").cast("double"), 6))
 
 

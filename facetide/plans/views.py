@@ -24,6 +24,10 @@ kept as (
   select * from aged
   where not (face_score < 0.75) and age between 0 and 100 and gender is not null and not isnan(gender))"""
 
+# NaN and infinity, as engines write them alike.
+PLAIN = "case when isnan({0}) then null when isinf({0}) then -999 else {0} end as {0}"
+SCORES = ", ".join(PLAIN.format(c) for c in ("gender", "face_score", "second_face_score"))
+
 IMAGE_FILES = """image_files as (
   select concat('src/', cast(doc_id as varchar), '.jpg') as path, n_chars as length
   from documents where doc_id % 10 <> 0)"""
@@ -67,6 +71,6 @@ batches as (
 
 EXAMPLE = """example as (
   select doc_id, doc_id % 101 as age, doc_id % 2 as gender,
-    encode(substr(md5(cast(doc_id as varchar)), 1, 12)) as image_raw,
+    encode(substr(md5(text), 1, 12)) as image_raw, text,
     concat('src/', cast(doc_id as varchar), '.jpg') as file_name
   from documents)"""
