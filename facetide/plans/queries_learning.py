@@ -51,30 +51,6 @@ def train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("loss") < constant).alias("better"))
 
 
-@query("train_sgd")
-def train_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trace of one epoch in full batches."""
-    rows = _labelled(spark, sf_dir)
-    _, trace = training.train_sgd(rows, epochs=1, batch_size=BATCH, lr=0.05)
-    return trace
-
-
-@query("predict")
-def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _labelled(spark, sf_dir)
-    return models.predict(rows, training.train_two_head(rows))
-
-
-@query("choose_best_model")
-def best_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoints of one run, all scored in one pass, and the best per metric."""
-    rows = _labelled(spark, sf_dir)
-    folder = scratch_path(spark, "model")
-    training.train_sgd(rows, epochs=1, batch_size=BATCH, lr=0.05, model_dir=folder, save_every=2)
-    best, _ = choose_best_model(rows, folder)
-    return best
-
-
 # Weights of the two heads are mean vectors per label and per parity of the label; no bias.
 _CENTROIDS = """
 with v as (select vec_id, label, label % 2 as parity, unnest(range(64)) as i, cast(unnest(embedding) as double) as x
@@ -106,6 +82,62 @@ def _centroid_model(rows: DataFrame) -> models.TwoHeadModel:
     return models.TwoHeadModel(*heads)
 
 
+@query("train_sgd", f"""
+select name, cast(floor(count / {BATCH}) as bigint) as steps, true as better
+from (select count(*) as count from embeddings), (values ('total loss'), ('age_cross_entropy')) t(name)
+""")
+def train_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One epoch in full batches: steps in the trace per loss, and whether the last one is below the first."""
+    rows = _labelled(spark, sf_dir)
+    _, trace = training.train_sgd(rows, epochs=1, batch_size=BATCH, lr=0.05)
+    return trace.where("name in ('total loss', 'age_cross_entropy')").groupBy("name").agg(
+        F.count(F.lit(1)).alias("steps"), (F.max_by("value", "step") < F.min_by("value", "step")).alias("better"))
+
+
+@query("predict", _CENTROIDS + """
+select vec_id as key, case when vec_id % 7 <> 0 then parity end as real_gender, case when vec_id % 5 <> 0 then label end as real_age,
+  pred_gender, round(pred_age, 6) as pred_age from p
+""")
+def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved model on rows of which some have no label."""
+    rows = _labelled(spark, sf_dir)
+    path = models.save_model(spark, _centroid_model(rows), scratch_path(spark, "model"))
+    unlabelled = rows.withColumns({
+        "gender": F.when(F.col("key") % 7 != 0, F.col("gender")), "age": F.when(F.col("key") % 5 != 0, F.col("age"))})
+    return models.predict(unlabelled, models.load_model(spark, path)).withColumn("pred_age", F.round("pred_age", 6))
+
+
+_SWEEP = _CENTROIDS.replace("""
+penalty as (""", """
+scales(step, f) as (values (1, 0.5::double), (2, 1.0::double), (3, 2.0::double)),
+sa as (select vec_id, label, k, step, z * f as z from za, scales),
+xa as (select *, exp(z - max(z) over (partition by vec_id, step)) as e from sa),
+qa as (select vec_id, step, any_value(label) as label, sum(e * k) / sum(e) as pred_age from xa group by 1, 2),
+penalty as (""")
+
+
+@query("choose_best_model", _SWEEP + """,
+b as (select *, (row_number() over (partition by step order by md5(concat('2017|', cast(vec_id as varchar))), vec_id) - 1) // 32 as batch_id
+      from qa join (select vec_id, pred_gender, parity from pg) using (vec_id)),
+m as (select step, batch_id, avg(abs(pred_age - label)) as mae, avg(case when pred_gender = parity then 1.0 else 0.0 end) as acc
+      from b group by 1, 2),
+r as (select step, avg(mae) as mae, avg(acc) as acc from m group by 1)
+select round((select max(acc) from r), 6) as best_gender_acc, (select step from r order by acc desc, step limit 1) as gender_step,
+  round((select min(mae) from r), 6) as best_age_mae, (select step from r order by mae, step limit 1) as age_step
+""")
+def best_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkpoints of one run (a closed-form model at three scales), all scored in one pass, and the best per metric."""
+    rows = _labelled(spark, sf_dir)
+    folder, model = scratch_path(spark, "model"), _centroid_model(rows)
+    for step, scale in ((1, 0.5), (2, 1.0), (3, 2.0)):
+        models.save_model(spark, models.TwoHeadModel(model.age * scale, model.gender * scale, step), folder)
+    best, _ = choose_best_model(rows, folder)
+    step = lambda c: F.regexp_extract(c, r"step=(\d+)", 1).cast("int")
+    return best.select(
+        F.round("best_gender_acc", 6).alias("best_gender_acc"), step("gender_model").alias("gender_step"),
+        F.round("best_age_mae", 6).alias("best_age_mae"), step("age_model").alias("age_step"))
+
+
 @query("predict_model", _CENTROIDS + """
 select vec_id as key, parity as real_gender, label as real_age, pred_gender, round(pred_age, 6) as pred_age from p
 """)
