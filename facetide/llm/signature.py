@@ -92,8 +92,8 @@ def _open(a: Tree, x: np.ndarray, b: Tree, y: np.ndarray, level_a: int, level_b:
     return x[i], y[j]
 
 
-def pairs(a: Tree, b: Tree) -> Iterator[tuple[int, int]]:
-    """Places of the sets whose pairs cannot be ruled out; each pair of one tree with itself once."""
+def pairs(a: Tree, b: Tree, rng: np.random.Generator) -> Iterator[tuple[int, int]]:
+    """Places of the sets whose pairs cannot be ruled out, in random order; each pair of one tree with itself once."""
     same = a is b
     stack = [(len(a.levels), 0, len(b.levels), 0)]
     while stack:
@@ -108,6 +108,8 @@ def pairs(a: Tree, b: Tree) -> Iterator[tuple[int, int]]:
         if same:
             half = i <= j
             i, j = i[half], j[half]
+        order = rng.permutation(len(i))
+        i, j = i[order], j[order]
         if la == lb == 0:
             for p, q in zip(i.tolist(), j.tolist()):
                 if not same or p != q:
@@ -116,12 +118,13 @@ def pairs(a: Tree, b: Tree) -> Iterator[tuple[int, int]]:
             stack.extend((la, p, lb, q) for p, q in zip(i.tolist(), j.tolist()))
 
 
-def candidates(sizes: np.ndarray, labels: np.ndarray, bits: list[np.ndarray], side: np.ndarray | None = None
-               ) -> Iterator[tuple[int, int]]:
+def candidates(sizes: np.ndarray, labels: np.ndarray, bits: list[np.ndarray], side: np.ndarray | None = None,
+               seed: int = 0) -> Iterator[tuple[int, int]]:
     """Pairs of places that may be linked. With ``side`` (0 or 1), only pairs of both sides.
 
     Linked sizes are within a third of each other, so bitmap widths are equal or neighbours.
     """
+    rng = np.random.default_rng(seed)
     width = np.array([len(b) for b in bits])
     sides = np.zeros(len(width), int) if side is None else side
     groups = {(w, s): np.flatnonzero((width == w) & (sides == s)) for w in set(width.tolist()) for s in set(sides.tolist())}
@@ -133,9 +136,32 @@ def candidates(sizes: np.ndarray, labels: np.ndarray, bits: list[np.ndarray], si
     trees = {k: tree(v, k[0]) for k, v in groups.items()}
     for (w, s), own in trees.items():
         if side is None:
-            yield from pairs(own, own)
+            yield from pairs(own, own, rng)
         elif s == 0 and (w, 1) in trees:
-            yield from pairs(own, trees[(w, 1)])
+            yield from pairs(own, trees[(w, 1)], rng)
         for t in ({0} if side is None else {1 - s}):
             if (2 * w, t) in trees:
-                yield from pairs(own, tree(groups[(2 * w, t)], w))
+                yield from pairs(own, tree(groups[(2 * w, t)], w), rng)
+
+
+def forest(found: Iterator[tuple[int, int]], labels: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Of pairs of places only those that would join groups, were all before them linked: fewer than there are groups."""
+    parent = {label: label for label in labels.tolist()}
+    apart = len(parent)
+    if apart < 2:
+        return
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, j in found:
+        x, y = top(int(labels[i])), top(int(labels[j]))
+        if x != y:
+            parent[y] = x
+            yield i, j
+            apart -= 1
+            if apart == 1:
+                return

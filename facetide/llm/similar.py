@@ -7,7 +7,8 @@
 3. First links: each token's classes are compared with the least class of the token. This joins most copies at once.
 4. Signature trees: for each token whose classes are still apart, a tree over their bitmaps and sizes is searched against
    itself; pairs of nodes are ruled out by their greatest possible overlap, or because all below is one group already.
-   Tokens of many classes are cut into blocks, and pairs of blocks go to different tasks.
+   Tokens of many classes are cut into blocks, and pairs of blocks go to different tasks. The first search gives only
+   pairs that could join groups, fewer than classes; the second, over what is then still apart, gives all.
 5. Pairs that bitmaps cannot rule out are verified on the whole sets. Links become groups by contracting stars.
 
 Nothing is approximate: two sets count as equal, or a shingle as shared, by 64-bit hashes.
@@ -34,6 +35,7 @@ SHINGLE = 5
 #: Frequent shingles, which come last in the order. More or fewer change the work, never the result.
 FREQUENT = 1 << 17
 FREQUENT_IN_PIECE = 3
+COUNTED_BYTES = 8 << 20
 #: Classes of one token that are searched together.
 BLOCK = 4096
 CLASS_ROW_BYTES = 24
@@ -64,7 +66,7 @@ def _frequent(docs: DataFrame, text: str) -> np.ndarray:
     """The most frequent shingles, most frequent last. What repeats within a piece of a batch is counted."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, COUNTED_BYTES):
                 distinct = {_class_of(s): s for s in _sets(piece.column(text))}
                 tokens, n = np.unique(np.concatenate([*distinct.values(), np.zeros(0, np.uint64)]), return_counts=True)
                 many = n >= FREQUENT_IN_PIECE
@@ -229,15 +231,15 @@ def _apart(shared: DataFrame, links: DataFrame) -> DataFrame:
     return stored(rows.join(tokens.where("low != high and many > 2").select("token", "many"), "token"), "apart")
 
 
-def _searched(apart: DataFrame, facts: DataFrame) -> DataFrame:
-    """Pairs of classes of one token, in different groups, that signature trees cannot rule out."""
+def _searched(apart: DataFrame, facts: DataFrame, every: bool) -> DataFrame:
+    """Pairs of classes of one token, in different groups, that signature trees cannot rule out: all, or a forest."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _cells(batches):
             name, sizes, labels, side = (rows[c] for c in ("class", "n", "label", "side"))
             bits = [np.frombuffer(b, np.uint64) for b in rows["bits"]]
-            found = list(signature.candidates(sizes, labels, bits, side if rows["two"] else None))
-            if found:
-                at = np.array(found)
+            found = signature.candidates(sizes, labels, bits, side if rows["two"] else None, rows["seed"])
+            at = np.array(list(found if every else signature.forest(found, labels)))
+            if len(at):
                 a, b = name[at[:, 0]], name[at[:, 1]]
                 yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
@@ -260,7 +262,8 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     def rows() -> dict:
         t = pa.Table.from_batches(held)
         out = {c: t.column(c).to_numpy() for c in ("class", "n", "label", "side")}
-        return out | {"bits": t.column("bits").to_pylist(), "two": cell[1] != cell[2]}
+        return out | {"bits": t.column("bits").to_pylist(), "two": cell[1] != cell[2],
+                      "seed": abs(cell[0])}
 
     for batch in batches:
         if not batch.num_rows:
@@ -288,9 +291,10 @@ def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     least = shared.groupBy("token").agg(F.min("class").alias("a"))
     stars = shared.join(least, "token").where(F.col("a") != F.col("class")).select("a", F.col("class").alias("b")).distinct()
     first = _linked(stored(_possible(stars, facts), "possible"), facts, docs, text)
-    apart = _apart(shared, first)
-    second = _linked(stored(_searched(apart, facts), "searched"), facts, docs, text)
-    links = first.unionByName(second)
+    links = first
+    for every in (False, True):
+        found = stored(_searched(_apart(shared, links), facts, every), "searched")
+        links = stored(links.unionByName(_linked(found, facts, docs, text)), "links")
     roots = facts.select("class").join(groups(links), "class", "left").select(
         "class", F.coalesce("root", "class").alias("root"))
     return classes.select("key", "place", "class", "n"), stored(roots, "roots"), links
