@@ -435,9 +435,15 @@ def register(spark: SparkSession) -> None:
 
 
 def read_records(spark: SparkSession, path: str, binary_features: str = "image_raw", schema=None,
-                 **options) -> DataFrame:
-    """Records of a file or directory as typed columns, one task per file or part of a large file."""
+                 columns: list[str] | None = None, **options) -> DataFrame:
+    """Records of a file or directory as typed columns, one task per file or part of a large file.
+
+    A later ``select`` does not reach this source: name the ``columns``, or give a schema, to decode no more than those.
+    """
     register(spark)
+    if schema is None and columns is not None:
+        known = infer_record_schema(spark, path, binary_features)
+        schema = StructType([known[c] for c in columns])
     reader = spark.read.format("tfrecord").option("binary_features", binary_features).options(**options)
     return (reader.schema(schema) if schema is not None else reader).load(qualified(spark, path))
 

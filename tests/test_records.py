@@ -253,6 +253,28 @@ def test_failed_writes_leave_nothing(spark, tmp_path):
     assert not [n for _, _, names in os.walk(tmp_path / "train") for n in names]
 
 
+def test_named_columns_only(spark, tmp_path):
+    tfrecord.write_single(records(spark).drop("shard"), str(tmp_path), "all")
+    back = tfrecord.read_records(spark, str(tmp_path), columns=["age"])
+    assert back.columns == ["age"] and "image_raw" not in back._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["age"] for r in back.collect()) == sorted(r["age"] for r in records(spark).collect())
+
+
+def test_paths_without_a_scheme_are_on_the_default_file_system(spark, tmp_path):
+    from facetide.sources.files import default_root, qualified, qualified_in
+
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}" and default_root(spark) == "file:"
+    assert qualified_in("/a/b", "hdfs://host:1") == "hdfs://host:1/a/b" and qualified_in("s3://x/y", "file:") == "s3://x/y"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.named.link./here", f"file:{tmp_path}")
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "viewfs://named/")
+        assert qualified(spark, "/here/x") == "viewfs://named/here/x" and default_root(spark) == "viewfs://named"
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
 def test_a_large_single_set_is_cut(spark, tmp_path):
     tfrecord.write_single(records(spark).drop("shard"), str(tmp_path / "one"), "x", file_bytes=500)
     assert len([n for n in os.listdir(tmp_path / "one") if n.startswith("x-")]) > 1
