@@ -265,3 +265,24 @@ def test_stream_equals_batch_and_stops_at_the_cap(spark, clustered, tmp_path):
     await_scored(score_stream(rows, stream_logits(model), *capped))
     again = {r["key"]: (r["pred_gender"], round(r["pred_age"], 9)) for r in read_scored(spark, capped[0]).collect()}
     assert again == want and read_scored(spark, capped[0]).count() == 240
+
+
+def test_only_measures_are_put_in_order(spark, clustered):
+    """No feature vector is below an exchange, for one model or several."""
+    from facetide.plans.evaluate import evaluate_batches
+
+    pair = [(f"m{i}", training.initial_model(8, i, 6)) for i in range(2)]
+    for df in (evaluate_models(clustered, pair[:1]), evaluate_models(clustered, pair), evaluate_batches(clustered, pair[0][1])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "features" not in plan and "MapInArrow" not in plan
+    batches = evaluate_batches(clustered, pair[0][1])
+    assert batches.count() == 8 and batches.agg(F.sum("n_rows")).first()[0] == 240
+
+
+def test_labels_do_not_matter_to_predictions(spark, clustered):
+    model = training.initial_model(8, 1, 6)
+    odd = clustered.withColumns({"age": F.when(F.col("key") % 2 == 0, F.lit(150)), "gender": F.lit(None).cast("int")})
+    want = {r["key"]: (r["pred_gender"], r["pred_age"]) for r in models.predict(clustered, model).collect()}
+    rows = models.predict(odd, model).collect()
+    assert {r["key"]: (r["pred_gender"], r["pred_age"]) for r in rows} == want
+    assert {r["real_age"] for r in rows} == {None, 150}

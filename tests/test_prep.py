@@ -245,3 +245,14 @@ def test_command_line(spark, pictures, tmp_path, monkeypatch, capsys):
         main(["prepare"])
     with pytest.raises(FileNotFoundError):
         main(["evaluate", "--path", f"{out}/test", "--model", str(tmp_path / "none"), "--featurize", "quarters"])
+
+
+def test_wide_types_are_cast(spark, tmp_path):
+    """Years and flags as other writers store them."""
+    rows = spark.createDataFrame(
+        [("a", 711000.5, 2000, 1, 2.5, None), ("b", None, 2**40, None, NAN, 1.0)],
+        "file_name string, dob double, photo_taken long, gender int, face_score double, second_face_score float")
+    rows.write.parquet(str(tmp_path / "meta"))
+    got = {r["file_name"]: r for r in read_meta(spark, str(tmp_path / "meta"), "x").collect()}
+    assert (got["a"]["photo_taken"], got["a"]["gender"], got["a"]["source"]) == (2000, 1.0, "x")
+    assert got["b"]["photo_taken"] is None and got["b"]["second_face_score"] == 1.0

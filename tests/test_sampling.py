@@ -200,3 +200,17 @@ def test_checkpoint_retention(spark):
     assert sorted(r["path"] for r in kept.collect()) == ["a-35", "a-40", "a-45", "b-35", "b-40", "b-45"]
     assert "WindowGroupLimit" in kept._jdf.queryExecution().executedPlan().toString()
     assert {r["path"] for r in selection.latest(df).collect()} == {"a-45", "b-45"}
+
+
+def test_different_keys_have_different_hashes(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a", None), (None, "a"), ("a", "\\N"), ("a\\", "|c"), ("a\\|", "c"), ("", ""), (None, None)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(s.order_hash(1, "x", "y").alias("h")).distinct().count() == len(rows)
+
+
+def test_runs_without_a_name_keep_their_rows(spark):
+    rows = [(None, i, i // 100) for i in range(0, 300, 100)] + [("r", i, i // 50) for i in range(0, 300, 100)]
+    df = spark.createDataFrame(rows, "run string, step long, t long").withColumn("ts", F.timestamp_seconds("t"))
+    got = sorted((r["run"] or "", r["step"], r["seconds"]) for r in trace.step_durations(df, ["run"]).collect() if r["seconds"] is not None)
+    assert got == [("", 100, 1.0), ("", 200, 1.0), ("r", 100, 2.0), ("r", 200, 2.0)]
+    assert trace.step_durations(df, ["run"]).count() == 6
