@@ -2,11 +2,13 @@
 
 1. Lexicon: word beginnings that toxic documents have and others hardly have, counted over a bounded sample of labelled
    documents. Of beginnings that the same documents have, the longest is taken.
+   An entry's misspellings count only if they hardly occur in clean documents.
 2. Matching: the lexicon is a trie. The automaton that accepts what is within one edit of an entry is intersected with it
    and made deterministic as words are read, so a word costs a table look-up per letter and most end after a few. A word
    that begins with an entry is an exact find; a whole word one edit away from an entry is a misspelled one.
 3. Context: finds in a window with a quotation mark on either side are counted apart from open ones.
-4. Score: logistic regression over the finds of a document, weighted by the entries' log odds.
+4. Score: logistic regression over the finds of a document, weighted by the entries' log odds. Labelled documents hardly
+   ever misspell, so each toxic one is learned from a second time with its exact finds taken as misspelled ones.
 
 Scoring is a map over whole texts; only the text is read. Long texts are worked on one at a time.
 
@@ -42,9 +44,11 @@ SHORTEST, LONGEST = 4, 16
 SUPPORT, SHARE = 5, 0.7
 #: Misspellings are looked for of entries of so many letters.
 FUZZY_LETTERS = 5
+#: Clean documents with a misspelling of an entry, at most, for each toxic one with the entry.
+NEAR_SHARE = 0.02
 CONTEXT = 48
 QUOTES = '"“”„«»‹›'
-FEATURES = ("open", "quoted", "misspelled", "misspelled_quoted", "distinct", "density")
+FEATURES = ("open", "quoted", "misspelled", "misspelled_quoted", "strongest", "distinct", "density")
 RESULTS = ("score", "predicted", *FEATURES)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -61,6 +65,7 @@ class Lexicon:
     def __init__(self, entries: dict[str, float]):
         self.names = sorted(entries)
         self.weights = np.array([entries[n] for n in self.names])
+        self.reliable = np.ones(len(self.names), bool)
         self._children: list[dict[int, int]] = [{}]
         self._entry: list[int] = [-1]
         for i, name in enumerate(self.names):
@@ -151,8 +156,8 @@ _IN_WORD[[p for p in range(0x80, 0x3000) if not chr(p).isalnum()]] = False
 _IN_WORD[[p for p in range(0x80) if chr(p).isalnum()] + [ord(c) for c in "@$*#%&"]] = True
 
 
-def features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
-    """A row of FEATURES per text."""
+def _finds(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, ...]:
+    """Of each find the text, the entry, whether it is exact and whether it is quoted; and the words of each text."""
     data, starts = buffers(texts)
     lead = np.flatnonzero((data & 0xC0) != 0x80)
     letters = _lower[code_points(data, lead)]
@@ -162,24 +167,33 @@ def features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     cut = np.zeros(len(inside), bool)
     cut[first] = True
     begin, end = np.flatnonzero(inside & (~before | cut)), np.flatnonzero(before & (~inside | cut))
+    words = np.diff(np.searchsorted(begin, first))
     exact, near = lexicon.find(letters, begin, end)
-    out = np.zeros((len(texts), len(FEATURES)))
     hit = np.flatnonzero((exact >= 0) | (near >= 0))
-    if not len(hit):
-        return out
     text = np.searchsorted(first, begin[hit], "right") - 1
     # A mark in the window before and in the one after, within the text.
     marks = np.concatenate([[0], np.cumsum(np.isin(letters, [ord(c) for c in QUOTES]))])
     left, right = np.maximum(begin[hit] - CONTEXT, first[text]), np.minimum(end[hit] + CONTEXT, first[text + 1])
     quoted = (marks[begin[hit]] > marks[left]) & (marks[right] > marks[end[hit]])
     is_exact = exact[hit] >= 0
-    weight = lexicon.weights[np.where(is_exact, exact[hit], near[hit])]
+    return text, np.where(is_exact, exact[hit], near[hit]), is_exact, quoted, words
+
+
+def features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
+    """A row of FEATURES per text."""
+    text, entry, is_exact, quoted, words = _finds(texts, lexicon)
+    out = np.zeros((len(texts), len(FEATURES)))
+    held = is_exact | lexicon.reliable[entry] if len(entry) else np.zeros(0, bool)
+    text, entry, is_exact, quoted = text[held], entry[held], is_exact[held], quoted[held]
+    if not len(text):
+        return out
+    weight = lexicon.weights[entry]
     np.add.at(out, (text, np.where(is_exact, 0, 2) + quoted), weight)
-    pairs = np.unique(np.stack([text[is_exact], exact[hit][is_exact]]), axis=1)
-    np.add.at(out[:, 4], pairs[0], 1.0)
-    np.add.at(out[:, 5], text, 1.0)
-    words = np.diff(np.searchsorted(begin, first))
-    out[:, 5] /= np.sqrt(np.maximum(words, 1))
+    np.maximum.at(out[:, 4], text[~quoted], weight[~quoted])
+    pairs = np.unique(np.stack([text, entry])[:, ~quoted], axis=1)
+    np.add.at(out[:, 5], pairs[0], 1.0)
+    np.add.at(out[:, 6], text[~quoted], 1.0)
+    out[:, 6] /= np.sqrt(np.maximum(words, 1))
     out[:, :4] = np.log1p(np.maximum(out[:, :4], 0))
     return out
 
@@ -240,6 +254,18 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     clean = {r["start"]: r["n"] for r in known.where("_label = 0").mapInArrow(
         clean_starts, "start string, n long").groupBy("start").agg(F.sum("n").alias("n")).collect()}
     lexicon = Lexicon(_entries(toxic, clean))
+    first = spark.sparkContext.broadcast(lexicon)
+
+    def near_misses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen = first.value, Counter()
+        for batch in batches:
+            for piece in pieces(batch, "_text"):
+                at, entry, is_exact, _, _ = _finds(piece.column("_text"), held)
+                seen.update(e for _, e in set(zip(at[~is_exact].tolist(), entry[~is_exact].tolist())))
+        yield pa.RecordBatch.from_pydict({"entry": pa.array(list(seen), pa.int64()), "n": pa.array(list(seen.values()), pa.int64())})
+
+    for r in known.where("_label = 0").mapInArrow(near_misses, "entry long, n long").groupBy("entry").agg(F.sum("n").alias("n")).collect():
+        lexicon.reliable[r["entry"]] = r["n"] <= NEAR_SHARE * toxic[lexicon.names[r["entry"]]]
     send = spark.sparkContext.broadcast(lexicon)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +285,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         odds = math.log(max(share, 1e-13) / max(1 - share, 1e-13))
         model = Model(None, np.array([odds] + [0.0] * len(FEATURES)), np.zeros(len(FEATURES)), np.ones(len(FEATURES)))
     else:
-        model = _regress(x, y)
+        # What is exact in a toxic document, once more as misspelled.
+        again = x[y == 1].copy()
+        again[:, 2:4] += again[:, :2]
+        again[:, :2] = 0
+        model = _regress(np.vstack([x, again]), np.concatenate([y, np.ones(len(again))]))
     model.lexicon = lexicon
     return model
 
