@@ -119,7 +119,7 @@ def joined(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 #: Batches are worked on in pieces of so many bytes of text, or one text if it is longer.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 
 def pieces(batch: pa.RecordBatch, text: str, size: int = PIECE_BYTES):
@@ -132,3 +132,5 @@ def pieces(batch: pa.RecordBatch, text: str, size: int = PIECE_BYTES):
         upto = max(at + 1, int(np.searchsorted(starts, starts[at] + size, "right")) - 1)
         yield batch.slice(at, upto - at)
         at = upto
+    # What this batch took is not kept for the next task of the worker.
+    pa.default_memory_pool().release_unused()
