@@ -5,7 +5,8 @@ every bit of a that b lacks stands for a token of a that b lacks, so
 
     |a & b| <= n_a - popcount(bits_a & ~bits_b) = (n_a - popcount(bits_a)) + popcount(bits_a & bits_b).
 
-The right side, with the largest slack of a node and the OR of its bitmaps, bounds all sets below it.
+The right side, with the largest slack of a node and the OR of its bitmaps, bounds all sets below it. Nodes use bitmaps of
+about a bit a token; pairs of sets that these leave open are held against bitmaps ``FINE`` times as long.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 
 FANOUT = 16
+FINE = 8
 #: Two sets are linked when 100 * overlap >= PERCENT * union.
 PERCENT = 75
 
@@ -29,10 +31,15 @@ def prefix_length(n: int) -> int:
     return n - (-(-PERCENT * n // 100)) + 1
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """As 64-bit words."""
-    bits = 64
-    while bits < len(tokens):
+def short_length(n: int) -> int:
+    """Of the smaller of two linked sets, the shared token is among so many first ones."""
+    return n - (-(-2 * PERCENT * n // (100 + PERCENT))) + 1
+
+
+def bitmap(tokens: np.ndarray, per_token: int = 1) -> np.ndarray:
+    """As 64-bit words, at least ``per_token`` bits a token."""
+    bits = 64 * per_token
+    while bits < per_token * len(tokens):
         bits *= 2
     at = tokens & np.uint64(bits - 1)
     flags = np.zeros(bits, np.uint8)
@@ -59,11 +66,14 @@ def could_link(n_a: int, bits_a: np.ndarray, n_b: int, bits_b: np.ndarray) -> bo
 class Tree:
     """Levels of nodes over sets of one bitmap width, in order of size; level 0 are the sets."""
 
-    def __init__(self, at: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits: np.ndarray):
+    def __init__(self, at: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits: np.ndarray, fine: bool):
         # Sets of one label lie together, so that nodes of one label need not be compared.
         order = np.lexsort((sizes, labels))
         self.at = at[order]
         sizes, labels, bits = sizes[order], labels[order], bits[order]
+        self.sizes, self.fine = sizes, bits
+        self.fine_slack = sizes - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+        bits = folded(bits, bits.shape[1] // FINE) if fine else bits
         slack = sizes - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
         self.levels = [(bits, sizes, sizes, slack, labels, labels)]
         while len(self.levels[-1][1]) > FANOUT:
@@ -108,6 +118,10 @@ def pairs(a: Tree, b: Tree, rng: np.random.Generator) -> Iterator[tuple[int, int
         if same:
             half = i <= j
             i, j = i[half], j[half]
+        if la == lb == 0 and len(i):
+            both = np.bitwise_count(a.fine[i] & b.fine[j]).sum(axis=1).astype(np.int64)
+            ok = np.minimum(a.fine_slack[i], b.fine_slack[j]) + both >= needed(a.sizes[i], b.sizes[j])
+            i, j = i[ok], j[ok]
         order = rng.permutation(len(i))
         i, j = i[order], j[order]
         if la == lb == 0:
@@ -119,8 +133,8 @@ def pairs(a: Tree, b: Tree, rng: np.random.Generator) -> Iterator[tuple[int, int
 
 
 def candidates(sizes: np.ndarray, labels: np.ndarray, bits: list[np.ndarray], side: np.ndarray | None = None,
-               seed: int = 0) -> Iterator[tuple[int, int]]:
-    """Pairs of places that may be linked. With ``side`` (0 or 1), only pairs of both sides.
+               seed: int = 0, fine: bool = True) -> Iterator[tuple[int, int]]:
+    """Pairs of places that may be linked; ``fine`` says which bitmaps are given. With ``side`` (0 or 1), only pairs of both sides.
 
     Linked sizes are within a third of each other, so bitmap widths are equal or neighbours.
     """
@@ -131,7 +145,7 @@ def candidates(sizes: np.ndarray, labels: np.ndarray, bits: list[np.ndarray], si
     groups = {k: v for k, v in groups.items() if len(v)}
 
     def tree(at: np.ndarray, w: int) -> Tree:
-        return Tree(at, sizes[at], labels[at], folded(np.stack([bits[i] for i in at]), w))
+        return Tree(at, sizes[at], labels[at], folded(np.stack([bits[i] for i in at]), w), fine)
 
     trees = {k: tree(v, k[0]) for k, v in groups.items()}
     for (w, s), own in trees.items():

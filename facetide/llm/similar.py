@@ -1,7 +1,8 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles overlap by three quarters, exactly, and their groups.
 
 1. Each text becomes a set of 64-bit shingle hashes. Equal sets are one class, so copies are compared once.
-2. Prefixes: classes that are linked share a token among the first quarter of their tokens, in any common order. The order
+2. Prefixes: classes that are linked share a token among the first quarter of the larger one's tokens and the first seventh
+   of the smaller one's, in any common order. The order
    puts the frequent shingles last (a table of bounded size, counted over all texts) and the others by hash. Tokens that
    two or more classes share are kept; those below are found per task, the frequent ones go through an aggregate.
 3. First links: each token's classes are compared with the least class of the token. This joins most copies at once.
@@ -80,7 +81,7 @@ def _frequent(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row per document: key, class, set size; for the first of its class in a piece also bitmap and prefix."""
+    """A row per document: key, class, set size; for the first of its class in a piece also bitmaps and prefix."""
     frequent = _frequent(docs, text)
     order = np.argsort(frequent, kind="stable")
     sent = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
@@ -89,15 +90,14 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
         known, rank = sent.value
         for batch in batches:
             for piece in pieces(batch, "_text"):
-                seen, names, sizes, bits, rare, often = set(), [], [], [], [], []
+                seen, names, sizes, bits, fine, rare, often = set(), [], [], [], [], [], []
                 for tokens in _sets(piece.column("_text")):
                     name, n = _class_of(tokens), len(tokens)
                     names.append(name)
                     sizes.append(n)
                     if not n or name in seen:
-                        bits.append(None)
-                        rare.append(None)
-                        often.append(None)
+                        for held in (bits, fine, rare, often):
+                            held.append(None)
                         continue
                     seen.add(name)
                     need = signature.prefix_length(n)
@@ -110,26 +110,33 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
                     else:
                         first, late = tokens[:need], tokens[:0]
                     bits.append(signature.bitmap(tokens).tobytes())
+                    fine.append(signature.bitmap(tokens, signature.FINE).tobytes())
                     rare.append(first.view(np.int64))
                     often.append(late.view(np.int64))
                 yield pa.RecordBatch.from_pydict({
-                    "key": piece.column("key"), "place": piece.column("place"), "class": pa.array(names, pa.int64()),
+                    "short": pa.array([signature.short_length(n) for n in sizes], pa.int32()), "key": piece.column("key"), "place": piece.column("place"), "class": pa.array(names, pa.int64()),
                     "n": pa.array(sizes, pa.int64()), "bits": pa.array(bits, pa.binary()),
-                    "rare": pa.array(rare, pa.list_(pa.int64())), "often": pa.array(often, pa.list_(pa.int64()))})
+                    "fine": pa.array(fine, pa.binary()), "rare": pa.array(rare, pa.list_(pa.int64())),
+                    "often": pa.array(often, pa.list_(pa.int64()))})
 
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("place"), F.col(text).alias("_text"))
     return stored(rows.mapInArrow(
-        make, f"key {kind}, place long, class long, n long, bits binary, rare array<long>, often array<long>"), "classes")
+        make, f"short int, key {kind}, place long, class long, n long, bits binary, fine binary, rare array<long>, "
+        "often array<long>"), "classes")
 
 
 def _shared(classes: DataFrame) -> DataFrame:
-    """(token, class) of prefix tokens that several classes have."""
+    """(token, class) of prefix tokens that several classes have.
+
+    Of linked sets the smaller one has a shared token among its first seventh, so a token counts for a class only if that
+    holds for the class, or for one that is no larger.
+    """
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        held = [tuple(b.column(i).to_numpy() for i in range(3)) for b in batches]
         if not held:
             return
-        token, name = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        token, name, size = (np.concatenate([h[i] for h in held]) for i in range(3))
         del held
         order = np.argsort(token, kind="stable")
         token = token[order]
@@ -137,9 +144,17 @@ def _shared(classes: DataFrame) -> DataFrame:
         same = np.zeros(len(token), bool)
         same[1:] = token[1:] == token[:-1]
         same[:-1] |= same[1:]
-        token, name = token[same], name[order[same]]
+        token, name, size = token[same], name[order[same]], size[order[same]]
+        if not len(token):
+            return
         order = np.lexsort((name, token))
-        token, name = token[order], name[order]
+        token, name, size = token[order], name[order], size[order]
+        begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        least = np.minimum.reduceat(np.where(size & 1, size >> 1, 1 << 30), begin)
+        held = (size >> 1) >= np.repeat(least, np.diff(np.append(begin, len(token))))
+        token, name = token[held], name[held]
+        if not len(token):
+            return
         fresh = np.ones(len(token), bool)
         fresh[1:] = (token[1:] != token[:-1]) | (name[1:] != name[:-1])
         token, name = token[fresh], name[fresh]
@@ -150,9 +165,14 @@ def _shared(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"token": pa.array(token[same]), "class": pa.array(name[same])})
 
     sets = classes.where("bits is not null")
-    rare = sets.select(F.explode("rare").alias("token"), "class").repartition(F.col("token")).mapInArrow(
-        groups, "token long, class long")
-    often = sets.select(F.explode("often").alias("token"), "class").distinct()
+    # The size, and whether the token is among the first seventh, as one number.
+    size = lambda place: (2 * F.col("n") + (place < F.col("short")).cast("int")).cast("int").alias("size")
+    rare = sets.select("class", "n", "short", F.posexplode("rare").alias("at", "token")).select("token", "class", size(F.col("at")))
+    rare = rare.repartition(F.col("token")).mapInArrow(groups, "token long, class long")
+    often = sets.select("class", "n", "short", F.size("rare").alias("before"), F.posexplode("often").alias("at", "token")).select(
+        "token", "class", size(F.col("at") + F.col("before"))).distinct()
+    least = often.where("size % 2 = 1").groupBy("token").agg(F.min(F.shiftright("size", 1)).alias("least"))
+    often = often.join(least, "token").where(F.shiftright("size", 1) >= F.col("least")).select("token", "class")
     return stored(rare.unionByName(often), "shared")
 
 
@@ -237,7 +257,7 @@ def _searched(apart: DataFrame, facts: DataFrame, every: bool) -> DataFrame:
         for rows in _cells(batches):
             name, sizes, labels, side = (rows[c] for c in ("class", "n", "label", "side"))
             bits = [np.frombuffer(b, np.uint64) for b in rows["bits"]]
-            found = signature.candidates(sizes, labels, bits, side if rows["two"] else None, rows["seed"])
+            found = signature.candidates(sizes, labels, bits, side if rows["two"] else None, rows["seed"], every)
             at = np.array(list(found if every else signature.forest(found, labels)))
             if len(at):
                 a, b = name[at[:, 0]], name[at[:, 1]]
@@ -249,7 +269,7 @@ def _searched(apart: DataFrame, facts: DataFrame, every: bool) -> DataFrame:
     cells = apart.select("token", "class", "label", own.alias("own"), other).select(
         "token", "class", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         (F.col("own") > F.col("other")).cast("int").alias("side"))
-    rows = cells.join(facts.select("class", "n", "bits"), "class")
+    rows = cells.join(facts.select("class", "n", F.col("fine" if every else "bits").alias("bits")), "class")
     cell = ["token", "low", "high"]
     return rows.repartition(*cell).sortWithinPartitions(*cell).select(*cell, "class", "label", "side", "n", "bits").mapInArrow(
         search, "a long, b long").distinct()
@@ -285,8 +305,8 @@ def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     """A row per document (key, place, class, n); (class, root); and links that connect each group."""
     ship(docs.sparkSession)
     classes = _classes(docs, key, text)
-    facts = stored(classes.where("n > 0").groupBy("class").agg(
-        F.max("n").alias("n"), F.max("bits").alias("bits"), F.min("place").alias("place")), "facts")
+    facts = stored(classes.where("bits is not null").groupBy("class").agg(
+        F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("fine").alias("fine"), F.min("place").alias("place")), "facts")
     shared = _shared(classes)
     least = shared.groupBy("token").agg(F.min("class").alias("a"))
     stars = shared.join(least, "token").where(F.col("a") != F.col("class")).select("a", F.col("class").alias("b")).distinct()

@@ -116,7 +116,7 @@ def test_trees_lose_no_pair_and_forests_connect():
             s = np.unique(np.concatenate([b[rng.random(len(b)) > rng.random() * 0.3],
                                           rng.integers(0, 2**63, rng.integers(0, 20)).astype(np.uint64)]))
             sets.append(s if len(s) else b)
-        sizes, bits = np.array([len(s) for s in sets]), [signature.bitmap(s) for s in sets]
+        sizes, bits = np.array([len(s) for s in sets]), [signature.bitmap(s, signature.FINE) for s in sets]
         labels = np.arange(len(sets)) if trial % 2 else rng.integers(0, 5, len(sets))
         side = None if trial % 3 else rng.integers(0, 2, len(sets))
         got = [tuple(sorted(p)) for p in signature.candidates(sizes, labels, bits, side, trial)]
@@ -147,3 +147,11 @@ def test_prefixes_of_linked_sets_meet():
             if o <= n:
                 # With o shared tokens, the first shared one is within both prefixes.
                 assert n - o + 1 <= signature.prefix_length(n) and m - o + 1 <= signature.prefix_length(m)
+
+
+def test_the_smaller_set_needs_a_short_prefix_only():
+    for n in range(1, 60):
+        for m in range(n, 80):
+            o = int(signature.needed(n, m))
+            if o <= n:
+                assert n - o + 1 <= signature.short_length(n) <= signature.prefix_length(n)
