@@ -206,14 +206,15 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(((rows - self.mean) / self.scale) @ self.weights[1:] + self.weights[0], -30, 30)))
 
 
-def _regress(rows: np.ndarray, labels: np.ndarray, penalty: float = 1.0) -> Model:
-    """Newton steps of penalised logistic regression."""
-    mean, scale = rows.mean(axis=0), np.maximum(rows.std(axis=0), 1e-6)
+def _regress(rows: np.ndarray, labels: np.ndarray, counts: np.ndarray, penalty: float = 1.0) -> Model:
+    """Newton steps of penalised logistic regression; ``counts`` says how often a row occurs."""
+    mean = np.average(rows, axis=0, weights=counts)
+    scale = np.maximum(np.sqrt(np.average((rows - mean) ** 2, axis=0, weights=counts)), 1e-6)
     x = np.hstack([np.ones((len(rows), 1)), (rows - mean) / scale])
     w, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [penalty] * rows.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (labels - p) - ridge @ w)
+        step = np.linalg.solve((x * (counts * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (counts * (labels - p)) - ridge @ w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -277,11 +278,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                     "y": piece.column("_label"), **{n: pa.array(made[:, i]) for i, n in enumerate(FEATURES)}})
 
     schema = "y int, " + ", ".join(f"{n} double" for n in FEATURES)
-    rows_in = known.mapInArrow(measured, schema).sort("y", *FEATURES).collect()  # numbers of a bounded sample
-    x = np.array([[r[n] for n in FEATURES] for r in rows_in]).reshape(-1, len(FEATURES))
-    y = np.array([r["y"] for r in rows_in], float)
+    # Numbers of a bounded sample, of which most are alike; in order, so that sums are always the same.
+    held = sorted(known.mapInArrow(measured, schema).groupBy("y", *FEATURES).count().collect())
+    x = np.array([r[1:-1] for r in held], float).reshape(-1, len(FEATURES))
+    y, counts = np.array([r["y"] for r in held], float), np.array([r["count"] for r in held], float)
     if not len(y) or y.min() == y.max():
-        share = y.mean() if len(y) else 0.0
+        share = y[0] if len(y) else 0.0
         odds = math.log(max(share, 1e-13) / max(1 - share, 1e-13))
         model = Model(None, np.array([odds] + [0.0] * len(FEATURES)), np.zeros(len(FEATURES)), np.ones(len(FEATURES)))
     else:
@@ -289,7 +291,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         again = x[y == 1].copy()
         again[:, 2:4] += again[:, :2]
         again[:, :2] = 0
-        model = _regress(np.vstack([x, again]), np.concatenate([y, np.ones(len(again))]))
+        model = _regress(np.vstack([x, again]), np.concatenate([y, np.ones(len(again))]), np.concatenate([counts, counts[y == 1]]))
     model.lexicon = lexicon
     return model
 
