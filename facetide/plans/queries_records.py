@@ -36,10 +36,11 @@ def roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("tfrecord_single", f"with {EXAMPLE} select age, gender, md5(image_raw) as digest from example")
 def single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three-feature records in one file, read in parts: the file is cut wherever a task's share ends."""
+    """Three-feature records in one file (several, if they are many), read in parts: a file is cut wherever a task's share
+    ends."""
     base = scratch_path(spark, "records")
     tfrecord.write_single(prep.to_example(fixtures.example(spark, sf_dir).drop("file_name")), base, "train")
-    back = tfrecord.read_records(spark, f"{base}/train.tfrecords", splitBytes=16384)
+    back = tfrecord.read_records(spark, base, splitBytes=16384)
     return back.select("age", "gender", F.md5("image_raw").alias("digest"))
 
 

@@ -281,6 +281,14 @@ def test_a_large_single_set_is_cut(spark, tmp_path):
     assert rows_of(tfrecord.read_records(spark, str(tmp_path / "one"))) == rows_of(records(spark))
 
 
+def test_the_single_file_query_reads_a_set_that_was_cut(spark, sf_dir, monkeypatch):
+    from facetide.plans import queries_records
+
+    whole = sorted(queries_records.single_file(spark, sf_dir).collect())
+    monkeypatch.setattr(tfrecord.write_single, "__defaults__", (500,))
+    assert sorted(queries_records.single_file(spark, sf_dir).collect()) == whole
+
+
 def test_paths_of_all_kinds(tmp_path):
     for uri in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
         system, path = resolve(uri)
