@@ -61,11 +61,12 @@ def initial_model(n_features: int, seed: int, age_classes: int = AGE_CLASSES) ->
 
 
 def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age: str = "age", gender: str = "gender",
-              epochs: int = 6, batch_size: int = 128, steps: int = 1000, lr: float = 1e-3,
+              epochs: int = 6, batch_size: int = 128, steps: int | None = 1000, lr: float = 1e-3,
               weight_decay: float = HEAD_DECAY, seed: int = SPLIT_SEED, age_classes: int = AGE_CLASSES,
               model_dir: str | None = None, save_every: int = SAVE_EVERY, resume: bool = True,
               ) -> tuple[TwoHeadModel, DataFrame]:
-    """Synchronous data-parallel Adam over shuffled batches, up to ``steps``; returns the model and its trace.
+    """Synchronous data-parallel Adam over shuffled batches, up to ``steps`` (None: all full batches); returns
+    the model and its trace.
 
     Each step is one Spark job: every task sums the gradient of its share of the batch, and only sums of the heads' size
     reach the driver. The heads' weights decay by a fixed rate. Only keys are put in order; the features move once, by key, whatever the number of epochs, which

@@ -89,7 +89,7 @@ from (select count(*) as count from embeddings), (values ('total loss'), ('age_c
 def train_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One epoch in full batches: steps in the trace per loss, and whether the last one is below the first."""
     rows = _labelled(spark, sf_dir)
-    _, trace = training.train_sgd(rows, epochs=1, batch_size=BATCH, lr=0.05)
+    _, trace = training.train_sgd(rows, epochs=1, batch_size=BATCH, steps=None, lr=0.05)
     return trace.where("name in ('total loss', 'age_cross_entropy')").groupBy("name").agg(
         F.count(F.lit(1)).alias("steps"), (F.max_by("value", "step") < F.min_by("value", "step")).alias("better"))
 

@@ -164,6 +164,15 @@ def test_adam_matches_numpy_and_resumes(spark, clustered, tmp_path):
     assert selection.latest(table).first()["path"] == models.latest_checkpoint(spark, folder)
 
 
+def test_the_query_trains_on_every_full_batch(spark, sf_dir, monkeypatch):
+    from facetide.plans import queries_learning
+
+    few = tuple(2 if d == 1000 else d for d in training.train_sgd.__defaults__)
+    monkeypatch.setattr(training.train_sgd, "__defaults__", few)  # the default cap is below the table's batches
+    n = spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
+    assert {r["steps"] for r in queries_learning.train_sgd(spark, sf_dir).collect()} == {n // queries_learning.BATCH}
+
+
 def test_repeated_keys_are_refused(clustered):
     with pytest.raises(ValueError, match="unique"):
         training.train_sgd(clustered.withColumn("key", F.col("key") % 7), steps=1)
