@@ -301,13 +301,42 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         yield rows()
 
 
-def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A row per document (key, place, class, n); (class, root); and links that connect each group."""
+def _prepared(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A row per document, a row of facts per class, and (token, class) of shared prefix tokens."""
     ship(docs.sparkSession)
     classes = _classes(docs, key, text)
     facts = stored(classes.where("bits is not null").groupBy("class").agg(
         F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("fine").alias("fine"), F.min("place").alias("place")), "facts")
-    shared = _shared(classes)
+    return classes, facts, _shared(classes)
+
+
+def all_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Every linked pair of classes: a row per document (key, ``class``, ``n_links``: the other documents it is linked
+    with, equal sets among them), and all links (a, b, ``a_rows``, ``b_rows``) with the documents of either class.
+
+    No group is skipped, so a group of many different texts costs its square, which is also the size of its result.
+    """
+    classes, facts, shared = _prepared(docs, key, text)
+    many = shared.groupBy("token").agg(F.count(F.lit(1)).alias("many"))
+    apart = stored(shared.withColumn("label", F.col("class")).join(many, "token"), "apart")
+    pairs = _linked(stored(_searched(apart, facts, True), "searched"), facts, docs, text)
+    rows = stored(classes.where("n > 0").groupBy("class").agg(F.count(F.lit(1)).alias("rows")), "rows")
+    side = lambda x: rows.select(F.col("class").alias(x), F.col("rows").alias(f"{x}_rows"))
+    links = stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_rows", "b_rows"), "all_links")
+    ends = links.select(F.col("a").alias("class"), F.col("b_rows").alias("n")).unionByName(
+        links.select(F.col("b").alias("class"), F.col("a_rows").alias("n")))
+    others = ends.groupBy("class").agg(F.sum("n").alias("others"))
+    counts = rows.join(others, "class", "left").select(
+        "class", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    out = classes.select("key", "n", "class").join(counts, "class", "left").select(
+        F.col("key").alias(key), F.when(F.col("n") > 0, F.col("class")).alias("class"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out, links
+
+
+def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A row per document (key, place, class, n); (class, root); and links that connect each group."""
+    classes, facts, shared = _prepared(docs, key, text)
     least = shared.groupBy("token").agg(F.min("class").alias("a"))
     stars = shared.join(least, "token").where(F.col("a") != F.col("class")).select("a", F.col("class").alias("b")).distinct()
     first = _linked(stored(_possible(stars, facts), "possible"), facts, docs, text)
@@ -322,7 +351,7 @@ def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """A row per document (key, ``class``, ``n_shingles``, ``component_id``: the least key of its group), and links (a, b)
-    between classes that connect each group."""
+    between classes that connect each group; ``all_links`` gives all of them."""
     rows, roots, links = _components(docs, key, text)
     # The least key of each class, then of each group.
     names = stored(rows.where("n > 0").groupBy("class").agg(F.min("key").alias("least")).join(roots, "class"), "names")

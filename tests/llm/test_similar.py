@@ -82,6 +82,24 @@ def test_groups_equal_brute_force(spark, seed, monkeypatch):
         assert 100 * len(a & b) >= 75 * len(a | b)
 
 
+@pytest.mark.parametrize("block", [3, 4096])
+def test_all_links_equal_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(similar, "BLOCK", block)
+    rows = list(enumerate(texts(2, clusters=6)))
+    rows += [(900, ""), (901, None), (902, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out, links = similar.all_links(docs)
+    sets = {k: frozenset(shingles(t)) for k, t in rows}
+    linked = [(i, j) for i, _ in rows for j, _ in rows if i != j and sets[i] and sets[j]
+              and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert {k: r["n_links"] for k, r in got.items()} == {k: sum(i == k for i, _ in linked) for k, _ in rows}
+    want = {tuple(sorted((got[i]["class"], got[j]["class"]))) for i, j in linked if sets[i] != sets[j]}
+    held = [(r["a"], r["b"]) for r in links.collect()]
+    assert len(held) == len(set(held)) and set(held) == want
+    assert similar.similar(docs)[1].distinct().count() < len(want)  # those connect groups only
+
+
 def test_keep_one(spark):
     rows = list(enumerate(texts(3)))
     rows += [(None, rows[0][1]), (5, rows[5][1]), (900, ""), (900, ""), (None, None)]
