@@ -1,11 +1,11 @@
 """Quality rules: counted rules, then a hashed n-gram log-likelihood ratio between trusted and raw text.
 
 Two multinomials over ``BUCKETS`` hash buckets of token unigrams and bigrams are counted over all documents: one from the
-documents that are trusted, one from the whole corpus. A document's score is the mean of log(trusted / raw) over its
+documents that are trusted (all of them), one from the whole corpus. A document's score is the mean of log(trusted / raw) over its
 n-grams, so that its length does not matter. Every document is judged by the same fixed threshold.
 
-All of it is DataFrame functions. Counting sends a bounded table of trusted keys to the texts and shuffles bucket counts;
-judging is a map.
+All of it is DataFrame functions. Counting sends the trusted keys to the texts, in blocks of bounded size with a pass over
+the texts each, and shuffles bucket counts; judging is a map.
 
 Defined cases: a null or empty text has no words, fails the base rules and scores 0. A null key is never trusted. Repeated
 keys in the trusted table count once; repeated documents are judged one by one. Columns of the input with the name of a
@@ -28,9 +28,9 @@ TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
 SMOOTHING = 0.5
 #: A document whose mean log ratio is below this goes.
 MIN_SCORE = -0.2
-#: Trusted documents that are counted at most, chosen by a hash of the key. So the keys can always be sent to all tasks,
-#: and no text is shuffled. The raw counts have no bound.
-TRUSTED_ROWS = 1 << 16
+#: Trusted keys are sent to all tasks in blocks of about so many bytes, so that no text is shuffled. A key counts as its
+#: length and KEY_BYTES.
+BLOCK_BYTES, KEY_BYTES = 16 << 20, 32
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
@@ -55,21 +55,26 @@ def _tokens(text: Column) -> Column:
 
 def fit(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text") -> list[float]:
     """log(trusted / raw) of each bucket, from the texts of all ``docs``; ``trusted`` has the keys of the good ones."""
-    keys = (
-        trusted.select(F.col(key).alias("_good")).where("_good is not null").distinct()
-        .orderBy(F.xxhash64("_good"), "_good").limit(TRUSTED_ROWS).withColumn("_one", F.lit(1)))
+    keys = trusted.select(F.col(key).alias("_good")).where("_good is not null").distinct().withColumn("_one", F.lit(1))
+    size = keys.agg(F.sum(F.octet_length(F.col("_good").cast("string")) + KEY_BYTES).alias("n")).first()["n"] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    flagged = rows.join(F.broadcast(keys), F.col("_key") == F.col("_good"), "left").select(
-        "_text", F.coalesce("_one", F.lit(0)).alias("_one"))
-    counts = (
-        flagged.select("_one", _tokens(F.col("_text")).alias("_tokens"))
-        .select("_one", F.explode(buckets(F.col("_tokens"))).alias("bucket"))
-        .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_one").alias("good"))
-        .collect()  # one row a bucket at most
-    )
     raw, good = [0] * BUCKETS, [0] * BUCKETS
-    for r in counts:
-        raw[r["bucket"]], good[r["bucket"]] = r["raw"], r["good"]
+    # The first pass counts all texts and those of the first block, the others their block's texts only.
+    for block in range(blocks):
+        sent = F.broadcast(keys.where(F.pmod(F.xxhash64("_good", F.lit(blocks)), F.lit(blocks)) == block))
+        flagged = rows.join(sent, F.col("_key") == F.col("_good"), "inner" if block else "left").select(
+            "_text", F.coalesce("_one", F.lit(0)).alias("_one"))
+        counts = (
+            flagged.select("_one", _tokens(F.col("_text")).alias("_tokens"))
+            .select("_one", F.explode(buckets(F.col("_tokens"))).alias("bucket"))
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_one").alias("good"))
+            .collect()  # one row a bucket at most
+        )
+        for r in counts:
+            good[r["bucket"]] += r["good"]
+            if not block:
+                raw[r["bucket"]] = r["raw"]
     all_raw, all_good = sum(raw), sum(good)
     if not all_good:
         return [0.0] * BUCKETS

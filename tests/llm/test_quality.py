@@ -82,6 +82,16 @@ def test_repeated_trusted_keys_count_once(spark, odd):
     assert quality.fit(odd, keys) == quality.fit(odd, keys.distinct())
 
 
+def test_all_trusted_documents_are_counted(spark, monkeypatch):
+    docs = spark.range(70_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
+    # If all are trusted, every bucket is seen alike in both.
+    assert max(map(abs, quality.fit(docs, docs))) < 1e-12
+    few = docs.where("doc_id % 3 = 0")
+    whole = quality.fit(docs, few)
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 400_000)
+    assert quality.fit(docs, few) == whole
+
+
 def test_no_text_is_shuffled(spark, odd):
     plan = quality.judge(odd, [0.0] * quality.BUCKETS)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
