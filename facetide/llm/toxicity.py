@@ -37,7 +37,7 @@ from facetide.session import ship
 
 #: Labelled documents that are learned from at most, chosen by a hash of the key.
 TRAIN_ROWS = 1 << 16
-#: Candidates for the lexicon, and its entries, at most; those in most toxic documents first.
+#: Candidates for the lexicon (of those with SUPPORT and SHARE), and its entries, at most; those in most toxic documents first.
 CANDIDATES, ENTRIES = 20_000, 1_000
 SHORTEST, LONGEST = 4, 16
 #: An entry is in so many toxic documents and in so large a share of them among all that have it.
@@ -51,6 +51,8 @@ QUOTES = '"“”„«»‹›'
 FEATURES = ("open", "quoted", "misspelled", "misspelled_quoted", "strongest", "distinct", "density")
 RESULTS = ("score", "predicted", *FEATURES)
 _WORD = re.compile(r"[^\W_]+")
+#: Word beginnings a task counts before it hands them on.
+HELD_STARTS = 1 << 18
 
 
 def _starts(text: str | None) -> set[str]:
@@ -231,29 +233,26 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .agg(F.max(label).cast("int").alias("_label")).orderBy(F.xxhash64("_key"), "_key").limit(rows))
     known = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(keys), "_key").select("_text", "_label")
 
-    def toxic_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for body, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if y:
-                    seen.update(_starts(body))
-        yield pa.RecordBatch.from_pydict({"start": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
-
-    found = (
-        known.where("_label = 1").mapInArrow(toxic_starts, "start string, n long").groupBy("start").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "start").limit(CANDIDATES).collect())
-    toxic = {r["start"]: r["n"] for r in found}
-    sent = spark.sparkContext.broadcast(frozenset(toxic))
+    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counts() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"start": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
 
-    def clean_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, wanted = Counter(), sent.value
+        seen: Counter = Counter()
         for batch in batches:
             for body in batch.column(0).to_pylist():
-                seen.update(_starts(body) & wanted)
-        yield pa.RecordBatch.from_pydict({"start": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+                seen.update(_starts(body))
+                if len(seen) > HELD_STARTS:
+                    yield counts()
+                    seen.clear()
+        yield counts()
+
+    def counted(label: int, n: str) -> DataFrame:
+        return known.where(F.col("_label") == label).mapInArrow(starts, "start string, n long").groupBy("start").agg(F.sum("n").alias(n))
 
-    clean = {r["start"]: r["n"] for r in known.where("_label = 0").mapInArrow(
-        clean_starts, "start string, n long").groupBy("start").agg(F.sum("n").alias("n")).collect()}
+    found = (
+        counted(1, "n").where(F.col("n") >= SUPPORT).join(counted(0, "clean"), "start", "left").na.fill(0, "clean")
+        .where(F.col("n") >= SHARE * (F.col("n") + F.col("clean"))).orderBy(F.desc("n"), "start").limit(CANDIDATES).collect())
+    toxic, clean = {r["start"]: r["n"] for r in found}, {r["start"]: r["clean"] for r in found}
     lexicon = Lexicon(_entries(toxic, clean))
     first = spark.sparkContext.broadcast(lexicon)
 

@@ -59,6 +59,15 @@ def test_held_out(spark):
     assert sum(r["predicted"] for r in rows if not r["toxic"]) <= 0.02 * len(rows)
 
 
+def test_common_words_do_not_push_a_rare_term_out(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CANDIDATES", 20)
+    common = " ".join(f"common{chr(97 + i)}word" for i in range(20))
+    rows = [(i, common + (" wretch" if i < toxicity.SUPPORT else ""), int(i < 20)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    assert model.lexicon.names == ["wretch"]
+
+
 def test_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (6, 0), (7, 0), (None, 1), (8, None)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)
