@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from facetide.llm import (
-    decontaminate, language, mixing, quality, sharding, similar, tokens, toxicity, urls, warc)
+    bpe, decontaminate, language, mixing, quality, sharding, similar, tokens, toxicity, urls, warc)
 from facetide.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out(F.col("doc_id"))
     model = toxicity.fit(docs, labels.where(F.col("doc_id").isNotNull() & ~out))
     return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@query("op13_bpe_roundtrip")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"))
+    return bpe.decode(encoded, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text"), 256).alias("decoded_sha256"))
