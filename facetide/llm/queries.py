@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from facetide.llm import (
-    bpe, decontaminate, language, mixing, quality, sharding, similar, tokens, toxicity, urls, warc)
+    align, bpe, decontaminate, language, mixing, quality, search, sharding, similar, tokens, toxicity, urls, warc)
 from facetide.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,3 +181,42 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"))
     return bpe.decode(encoded, path).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text"), 256).alias("decoded_sha256"))
+
+
+@query("op11_lexical_search", r"""
+    with doc as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+    item as (
+        select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as t from benchmark),
+    totals as (select count(*) as n_docs, sum(len(w))::bigint as n_terms from doc where len(w) > 0),
+    lengths as (
+        select doc_id, 100 - 90 + (90 * len(w) * n_docs) // n_terms as m from doc, totals where len(w) > 0),
+    counts as (
+        select doc_id, t, count(*) as tf from (select doc_id, unnest(w) as t from doc)
+        where t in (select t from item) group by 1, 2),
+    weights as (
+        select t, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::bigint as wt
+        from counts, totals group by 1),
+    scores as (
+        select item_id, doc_id, sum(wt * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+        from item join counts using (t) join weights using (t) join lengths using (doc_id) group by 1, 2),
+    ranked as (
+        select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score
+        from scores where score > 0)
+    select * from ranked where rank <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return search.search(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    rows, _ = align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                       F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"))
