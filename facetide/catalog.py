@@ -24,6 +24,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules whose queries register themselves."""
-    from facetide.plans import queries_learning, queries_prepare, queries_records, queries_sampling, queries_scoring
+    from facetide.plans import (
+        queries_learning, queries_prepare, queries_records, queries_sampling, queries_scoring, queries_stream)
 
-    del queries_learning, queries_prepare, queries_records, queries_sampling, queries_scoring
+    del queries_learning, queries_prepare, queries_records, queries_sampling, queries_scoring, queries_stream

@@ -98,6 +98,48 @@ def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum("age").alias("ages"))
 
 
+@query("tfrecord_one_shard", f"""
+with r as (
+  select row_number() over (order by md5(concat('2017|src/', cast(doc_id as varchar), '.jpg'))) - 1 as pos,
+    count(*) over () as n, doc_id
+  from documents),
+s as (select cast(((pos + 1) * {SHARDS} - 1) // n as int) as shard, doc_id from r)
+select printf('train-%03d.tfrecords', shard) as file, 'train' as split, shard, doc_id % 101 as age,
+  concat('src/', cast(doc_id as varchar), '.jpg') as file_name
+from s where shard in (1, 3) and shard >= 2
+""")
+def one_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters on shard and split reach the source: of the files, only those that pass are opened."""
+    back = tfrecord.read_records(spark, _written(spark, sf_dir), file_columns=True)
+    chosen = back.where((F.col("split") == "train") & F.col("shard").isin(1, 3) & (F.col("shard") >= 2))
+    return chosen.select("file", "split", "shard", "age", "file_name")
+
+
+@query("record_index", f"""
+with r as (
+  select row_number() over (order by md5(concat('2017|src/', cast(doc_id as varchar), '.jpg'))) - 1 as pos,
+    count(*) over () as n
+  from documents)
+select printf('train-%03d.tfrecords', ((pos + 1) * {SHARDS} - 1) // n) as file, count(*) as records from r group by 1
+""")
+def record_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of each file, counted by walking over the frames' lengths."""
+    return tfrecord.index_records(spark, _written(spark, sf_dir)).select("file", "records")
+
+
+@query("tfrecord_nested", f"with {EXAMPLE} select age, gender, md5(image_raw) as digest, file_name from example")
+def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that hold whole record files, in a file cut into many parts, most of which begin within such a record."""
+    base = scratch_path(spark, "records")
+    files = spark.read.format("binaryFile").load(f"{_written(spark, sf_dir)}/train-*.tfrecords")
+    outer = files.select(F.length("content").alias("age"), F.lit(0).alias("gender"), F.col("content").alias("image_raw"))
+    tfrecord.write_single(outer, base, "outer")
+    back = tfrecord.read_records(spark, base, columns=["image_raw"], splitBytes=16384)
+    inner = tfrecord.unnest_records(back, "image_raw")
+    return tfrecord.decode_records(inner, "age long, gender long, image_raw binary, file_name string").select(
+        "age", "gender", F.md5("image_raw").alias("digest"), "file_name")
+
+
 @query("prepared_parquet", f"""
 with {CLEAN},
 r as (select *, row_number() over (order by md5(concat('2017|', source, '|', file_name))) - 1 as all_pos,

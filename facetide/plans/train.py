@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from facetide.functions import image_features
 from facetide.functions.images import IMAGE_SHAPE
 from facetide.operators.models import TwoHeadModel, save_model
-from facetide.operators.trace import log_metrics
 from facetide.operators.training import train_sgd, train_two_head
 from facetide.session import scratch_path
 from facetide.sources.tfrecord import read_records
@@ -50,7 +49,4 @@ def train(rows: DataFrame, model_dir: str, log_dir: str | None = None, run: str
         model = train_two_head(rows, **options)
         save_model(rows.sparkSession, model, model_dir)
         return model
-    model, trace = train_sgd(rows, model_dir=model_dir, **options)
-    if log_dir is not None:
-        log_metrics(trace.withColumn("run", F.lit(run)), log_dir)
-    return model
+    return train_sgd(rows, model_dir=model_dir, log_dir=log_dir, run=run, **options)[0]

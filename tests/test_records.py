@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, FloatType, LongType, StringType
 
 from facetide.operators import images
 from facetide.sources import crc32c, example, tfrecord
@@ -189,16 +190,87 @@ def frames(rows) -> bytes:
     return out
 
 
-def test_records_within_records_are_not_misread(tmp_path):
-    """A cut may fall into a record that holds record frames itself: that is noticed, never guessed."""
+def cuts(size, n):
+    return [size * i // n for i in range(n + 1)]
+
+
+@pytest.mark.parametrize("indexed", [False, True])
+def test_records_within_records_are_read_alike_however_they_are_cut(tmp_path, indexed, monkeypatch):
+    monkeypatch.setattr(tfrecord, "INDEX_BYTES", 100)
     inner = frames([b"inner record"] * 50)
+    held = [b"first", inner, b"", frames([inner, b"x"]), b"last"]
     path = tmp_path / "f"
-    path.write_bytes(frames([b"first", inner, b"last"]))
+    path.write_bytes(frames(held))
+    if indexed:
+        marks = tfrecord.Marks()
+        for h in held:
+            marks.add([len(h)])
+        assert marks.size == path.stat().st_size and marks.records == 5
+        (tmp_path / "_f.index").write_bytes(marks.text())
+        assert tfrecord.frame_starts(str(path), marks.size) == marks.starts and 1 < len(marks.starts) < 5
     whole = tfrecord._Frames(str(path), path.stat().st_size)
-    half = whole.size // 2
-    with pytest.raises(ValueError, match="splitBytes=0"):
-        list(whole.records(0, half, True))
-    assert [bytes(d) for b in whole.records(0, whole.size, True) for d in b] == [b"first", inner, b"last"]
+    for n in (1, 2, 3, 10, 700):
+        got = [bytes(d) for a, b in zip(cuts(whole.size, n), cuts(whole.size, n)[1:])
+               for block in whole.records(a, b, True) for d in block]
+        assert got == held
+
+
+def test_an_index_of_another_file_is_not_used(tmp_path):
+    path = tmp_path / "f"
+    path.write_bytes(frames([b"a" * 50, b"b" * 70]))
+    (tmp_path / "_f.index").write_bytes(b'{"size": 3, "records": 1, "starts": [0, 99]}')
+    whole = tfrecord._Frames(str(path), path.stat().st_size)
+    assert whole.first(1) == 66 and [bytes(d) for x in whole.records(1, whole.size, True) for d in x] == [b"b" * 70]
+
+
+def test_the_sink_writes_indexes_and_removes_old_ones(spark, tmp_path, monkeypatch):
+    from facetide.sources.files import read_bytes
+
+    base = str(tmp_path / "train")
+    wide = records(spark, 9, 1).withColumn("image_raw", F.encode(F.repeat(F.lit("x"), 700_000), "UTF-8"))
+    tfrecord.write_shards(wide.withColumn("shard", F.lit(0)), str(tmp_path), "train", 1)
+    assert sorted(os.listdir(base)) == ["_train-000.tfrecords.index", "train-000.tfrecords"]
+    held = tfrecord.json.loads(read_bytes(f"{base}/_train-000.tfrecords.index"))
+    assert held["size"] == os.path.getsize(f"{base}/train-000.tfrecords") and held["records"] == 9
+    assert len(held["starts"]) == 2
+    back = tfrecord.read_records(spark, base, columns=["age"], splitBytes=1 << 20)
+    assert back.rdd.getNumPartitions() == 7 and sorted(r["age"] for r in back.collect()) == list(range(9))
+    tfrecord.write_shards(records(spark, 10).withColumn("shard", F.lit(0)), str(tmp_path), "train", 1)
+    assert os.listdir(base) == ["train-000.tfrecords"]
+
+
+def test_index_records_of_files_from_elsewhere(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(1)
+    sizes = {"a": 40, "b": 3, "c": 0}
+    for name, n in sizes.items():
+        (tmp_path / f"{name}.tfrecords").write_bytes(frames([rng.bytes(int(k)) for k in rng.integers(0, 3000, n)]))
+    small = (tmp_path / "a.tfrecords").read_bytes()
+    big = small * 150
+    (tmp_path / "big.tfrecords").write_bytes(big)
+    for _ in range(2):  # the second time by the indexes
+        got = {r["file"]: (r["bytes"], r["records"]) for r in tfrecord.index_records(spark, str(tmp_path)).collect()}
+        assert got == {f"{n}.tfrecords": (os.path.getsize(tmp_path / f"{n}.tfrecords"), k) for n, k in sizes.items()} | {
+            "big.tfrecords": (len(big), 40 * 150)}
+    assert len(big) > tfrecord.INDEX_BYTES and "_big.tfrecords.index" in os.listdir(tmp_path)
+    raw = tfrecord.read_raw_records(spark, str(tmp_path / "big.tfrecords"), splitBytes=1 << 20)
+    assert raw.rdd.getNumPartitions() > 5 and raw.count() == 6000
+
+
+def test_walks_read_heads_only(tmp_path):
+    path = tmp_path / "f"
+    path.write_bytes(frames([b"x" * 50_000] * 20))
+
+    class Counting:
+        def __init__(self, file):
+            self.file, self.read = file, 0
+
+        def read_at(self, n, at):
+            self.read += n
+            return self.file.read_at(n, at)
+
+    whole = tfrecord._Frames(str(path), path.stat().st_size)
+    whole.file = Counting(whole.file)
+    assert whole.first(whole.size - 5) == whole.size and whole.file.read <= 21 * 4096
 
 
 @pytest.mark.parametrize("damage, message", [
@@ -219,6 +291,80 @@ def test_unchecked_data_can_be_asked_for(spark, tmp_path):
     assert tfrecord.read_records(spark, str(tmp_path), schema="age long", verifyData="false").first()["age"] == 7
 
 
+kinds_of = {"i": LongType(), "f": FloatType(), "b": BinaryType(), "s": StringType(), "li": ArrayType(LongType()),
+            "lf": ArrayType(FloatType())}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.permutations(["i", "f", "b", "s", "li", "lf", "other"]), st.integers(-(2**63), 2**63 - 1),
+                          st.floats(width=32, allow_nan=False), st.binary(max_size=300), st.text(max_size=5),
+                          st.lists(st.integers(-(2**63), 2**63 - 1), max_size=4),
+                          st.lists(st.floats(width=32, allow_nan=False), max_size=4), st.integers(0, 6)), min_size=1, max_size=12))
+def test_blocks_decode_as_single_messages_do(rows):
+    """Features in any order, some missing, some of another kind or number: the same values, or the same error."""
+    import pyarrow as pa
+
+    messages = []
+    for order, i, f, b, s, li, lf, odd in rows:
+        values = {"i": ("int", [i]), "f": ("float", [f]), "b": ("bytes", [b]), "s": ("bytes", [s.encode()]), "li": ("int", li),
+                  "lf": ("float", lf), "other": ("bytes", [b"x", b""])}
+        if odd == 1:
+            del values["b"]
+        messages.append(example.encode([(n, *values[n]) for n in order if n in values]))
+    fields = [(name, kind, False) for name, kind in kinds_of.items()]
+    kinds = [pa.int64(), pa.float32(), pa.binary(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.float32())]
+    ends = np.cumsum([len(m) for m in messages]).tolist()
+    got = tfrecord.decoded(memoryview(b"".join(messages)), [0, *ends[:-1]], ends, fields, kinds)
+    for (name, kind, required), column in zip(fields, got):
+        one = [tfrecord._cell(example.decode(m).get(name), name, kind, required) for m in messages]
+        assert column.to_pylist() == tfrecord._column(pa, one, column.type).to_pylist()
+
+
+def test_odd_messages_are_left_to_the_parser_of_single_ones():
+    import pyarrow as pa
+
+    entry = b"\x0a\x01a\x12\x06\x1a\x04\x08\x01\x08\x02"  # unpacked integers
+    unpacked = b"\x0a" + bytes([len(entry) + 2]) + b"\x0a" + bytes([len(entry)]) + entry
+    plain = example.encode([("a", "int", [7])])
+    twice = example.encode([("a", "int", [1]), ("a", "int", [2])])
+    held = [plain, unpacked[:0], twice, plain]
+    ends = np.cumsum([len(h) for h in held]).tolist()
+    field = [("a", LongType(), False)]
+    got = tfrecord.decoded(memoryview(b"".join(held)), [0, *ends[:-1]], ends, field, [pa.int64()])
+    assert got[0].to_pylist() == [7, None, 2, 7]
+    with pytest.raises(ValueError, match="holds 2 values, not one"):
+        tfrecord.decoded(memoryview(unpacked), [0], [len(unpacked)], field, [pa.int64()])
+    with pytest.raises(ValueError, match="truncated|index"):
+        tfrecord.decoded(memoryview(plain[:-2]), [0], [len(plain) - 2], field, [pa.int64()])
+
+
+def test_filters_on_file_columns_choose_the_files(spark, written, tmp_path):
+    back = tfrecord.read_records(spark, written, file_columns=True)
+    assert back.columns[-3:] == ["file", "split", "shard"]
+    assert {(r["file"], r["split"], r["shard"], r["age"] % 4) for r in back.collect()} == {
+        (f"train-{i:03d}.tfrecords", "train", i, i) for i in range(4)}
+    cases = [(F.col("shard") == 2, [2]), (F.col("shard").isin(0, 3), [0, 3]), (~(F.col("shard") >= 1), [0]),
+             (F.col("file") == "train-001.tfrecords", [1]), ((F.col("shard") > 0) & (F.col("split") == "train"), [1, 2, 3]),
+             (F.col("file").endswith("2.tfrecords"), [2]), (F.col("shard").isNull(), []), (F.col("split") == "test", [])]
+    for given, shards in cases:
+        chosen = back.where(given)
+        assert chosen.rdd.getNumPartitions() == max(1, len(shards))
+        assert sorted(r["age"] for r in chosen.collect()) == sorted(a for a in range(60) if a % 4 in shards)
+    mixed = back.where((F.col("shard") == 2) & (F.col("age") < 20))
+    assert mixed.rdd.getNumPartitions() == 1 and sorted(r["age"] for r in mixed.collect()) == [2, 6, 10, 14, 18]
+    (tmp_path / "train" / "train-001.tfrecords").write_bytes(b"broken")
+    assert back.where("shard = 2").count() == 15
+
+
+def test_raw_records_decode_in_place(spark):
+    rows = [(1, example.encode([("a", "int", [5])])), (2, None), (3, example.encode([("b", "int", [1])]))]
+    df = spark.createDataFrame(rows, "k int, value binary")
+    got = tfrecord.decode_records(df, "a long", permissive=True)
+    assert sorted(map(tuple, got.collect())) == [(1, 5), (2, None), (3, None)]
+    with pytest.raises(Exception, match="record lacks the feature a"):
+        tfrecord.decode_records(df, "a long").collect()
+
+
 def test_empty_files_and_directories(spark, tmp_path):
     (tmp_path / "empty.tfrecords").write_bytes(b"")
     (tmp_path / "_SUCCESS").write_bytes(b"x")
