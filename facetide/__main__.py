@@ -43,8 +43,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = modes.add_parser("train", help="train the two heads")
     with_data(p)
     p.add_argument("--learning_rate", "--lr", type=float, default=1e-3)
-    p.add_argument("--weight_decay", type=float, default=1e-5)
-    p.add_argument("--steps", type=int, default=1000, help="maximum number of steps")
+    p.add_argument("--weight_decay", type=float, default=1e-5,
+                   help="accepted, without effect: it is for the network that makes the features; the heads' decay is fixed")
+    p.add_argument("--steps", type=int, default=1000, help="maximum number of steps; 0: every full batch")
     p.add_argument("--epochs", type=int, default=6)
     p.add_argument("--batch_size", type=int, default=128)
     p.add_argument("--log_path", default="train_log", help="metric log")
@@ -96,7 +97,7 @@ def main(argv: list[str] | None = None) -> None:
         training.train(rows, args.model, full_batch=True)
     elif args.mode == "train":
         training.train(
-            rows, args.model, args.log_path, epochs=args.epochs, steps=args.steps, batch_size=args.batch_size,
+            rows, args.model, args.log_path, epochs=args.epochs, steps=args.steps or None, batch_size=args.batch_size,
             lr=args.learning_rate, weight_decay=args.weight_decay,
         )
     elif args.mode == "infer":

@@ -66,3 +66,10 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema("run string, step long, name string, value double")
         .parquet(path)
     )
+
+
+def read_trace(spark: SparkSession, path: str) -> DataFrame:
+    """A training log with the time of each step: a row per run and step. A step that was run again after a stop counts by
+    its last time."""
+    rows = spark.read.schema("run string, step long, name string, value double, ts timestamp").parquet(path)
+    return rows.groupBy("run", "step").agg(F.max("ts").alias("ts"))

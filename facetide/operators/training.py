@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import base64
+import io
+import time
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
@@ -13,12 +18,14 @@ from facetide.operators.models import (
     save_model,
 )
 from facetide.operators.sampling import SPLIT_SEED, training_batches
-from facetide.operators.trace import SAVE_EVERY
+from facetide.operators.trace import SAVE_EVERY, log_metrics
 from facetide.session import ship
 
 # The optimizer's decay rates and epsilon, the spread of initial weights, and the trace's metric names.
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 INIT_STDDEV = 0.01
+#: What tasks send each other in a step, all together: every task's sums go to every task.
+EXCHANGE_BYTES = 64 << 20
 TRACE = ("age_cross_entropy", "gender_cross_entropy", "total loss", "train_abs_age_error", "gender_accuracy", "lr")
 
 
@@ -64,14 +71,21 @@ def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age:
               epochs: int = 6, batch_size: int = 128, steps: int | None = 1000, lr: float = 1e-3,
               weight_decay: float = HEAD_DECAY, seed: int = SPLIT_SEED, age_classes: int = AGE_CLASSES,
               model_dir: str | None = None, save_every: int = SAVE_EVERY, resume: bool = True,
-              ) -> tuple[TwoHeadModel, DataFrame]:
+              log_dir: str | None = None, run: str = "train") -> tuple[TwoHeadModel, DataFrame]:
     """Synchronous data-parallel Adam over shuffled batches, up to ``steps`` (None: all full batches); returns
-    the model and its trace.
+    the model and its trace (``step, name, value, ts``).
+
+    All steps up to the next checkpoint are one Spark job, a barrier stage: each task keeps its share of the rows, in order
+    of their batches, and the weights; in each step it sums the gradient of its rows, the tasks exchange these sums, and
+    all take the same step. The tasks are as many as run at once, or fewer if their sums are large (``EXCHANGE_BYTES``).
+    If one is lost Spark runs the stage again, which gives the same weights. With dynamic allocation, which cannot run such stages,
+    each step is a job of its own.
 
-    Each step is one Spark job: every task sums the gradient of its share of the batch, and only sums of the heads' size
-    reach the driver. The heads' weights decay by a fixed rate. Only keys are put in order; the features move once, by key, whatever the number of epochs, which
-    also spreads the rows of a batch over all tasks, so ``batch_size`` can grow with the cluster. With ``model_dir`` a checkpoint is saved every ``save_every`` steps and at the end, and a later call
-    goes on from the newest one at the batch it stopped before, as if there had been no stop.
+    Only keys are put in order; the features move once, by key, whatever the number of epochs, which also spreads the rows
+    of a batch over all tasks, so ``batch_size`` can grow with the cluster. The heads' weights decay by a fixed rate. With
+    ``model_dir`` a checkpoint is saved every ``save_every`` steps and at the end, and a later call goes on from the newest one
+    at the batch it stopped before, as if there had been no stop. With ``log_dir`` the trace so far is appended there, as
+    ``run``, at each checkpoint, so a run that is killed keeps it.
     """
     spark = df.sparkSession
     ship(spark)
@@ -79,32 +93,127 @@ def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age:
                      F.col(age).cast("long").alias("age"), F.col(gender).cast("long").alias("gender"))
     if not rows.groupBy("key").count().filter("count > 1").isEmpty():
         raise ValueError("the key must be unique; features_table gives rows one")
+    saved = latest_checkpoint(spark, model_dir) if model_dir and resume else None
+    if saved:
+        model = load_model(spark, saved)
+    else:
+        width = rows.agg(F.max(F.size("x")).alias("width")).first()["width"]
+        model = initial_model(width, seed, age_classes) if width else None
     order = training_batches(rows.select("key"), "key", epochs, batch_size, steps, seed).select("key", "batch_id")
+    barrier = spark.conf.get("spark.dynamicAllocation.enabled", "false").lower() != "true"
+    if barrier and model is not None:
+        tasks = _tasks(spark.sparkContext.defaultParallelism, model)
+        rows, order = rows.repartition(tasks, "key"), order.repartition(tasks, "key")
     batches = (
         rows.join(order, "key")
         .select("batch_id", "x", "age", "gender")
         .sortWithinPartitions("batch_id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    extent = batches.agg(F.max("batch_id").alias("last"), F.max(F.size("x")).alias("width")).first()
-    if extent["last"] is None:
+    last = batches.agg(F.max("batch_id").alias("last")).first()["last"]
+    if last is None:
         raise ValueError("no full batch to train on")
-    saved = latest_checkpoint(spark, model_dir) if model_dir and resume else None
-    model = load_model(spark, saved) if saved else initial_model(extent["width"], seed, age_classes)
     partitions = batches.rdd.getNumPartitions()
+    barrier = barrier and partitions <= spark.sparkContext.defaultParallelism
 
-    trace = []
-    for step in range(model.step, extent["last"] + 1):
-        sums = _batch_sums(batches.filter(F.col("batch_id") == step), model, partitions)
-        rate = lr * DECAY_RATE ** (step // DECAY_STEPS)
-        values, model = _update(model, sums, rate)
-        trace += [(step, name, float(v)) for name, v in zip(TRACE, values)]
-        if model_dir and step % save_every == 0:
+    trace: list[tuple] = []
+    while model.step <= last:
+        # Up to the next step after which a checkpoint is saved.
+        upto = min(last, -(-model.step // save_every) * save_every) if model_dir else last
+        if barrier:
+            new, model = _train_job(batches, model, upto, lr)
+        else:
+            new = []
+            for step in range(model.step, upto + 1):
+                sums = _batch_sums(batches.filter(F.col("batch_id") == step), model, partitions)
+                rate = _rate(lr, step)
+                values, model = _update(model, sums, rate)
+                new += [(step, name, float(v), time.time()) for name, v in zip(TRACE, values)]
+        trace += new
+        if model_dir:
             save_model(spark, model, model_dir)
-    if model_dir:
+        if log_dir:
+            log_metrics(_trace(spark, new).withColumn("run", F.lit(run)), log_dir)
+    if model_dir and not trace:
         save_model(spark, model, model_dir)
     batches.unpersist()
-    return model, spark.createDataFrame(trace, "step long, name string, value double")
+    return model, _trace(spark, trace)
+
+
+def _trace(spark, rows: list[tuple]) -> DataFrame:
+    made = spark.createDataFrame(rows, "step long, name string, value double, seconds double")
+    return made.select("step", "name", "value", F.timestamp_seconds("seconds").alias("ts"))
+
+
+def _rate(lr: float, step: int) -> float:
+    return lr * DECAY_RATE ** (step // DECAY_STEPS)
+
+
+def _tasks(slots: int, model: TwoHeadModel) -> int:
+    """Tasks of a barrier stage: each sends its sums, as text, to all."""
+    message = 8 * (5 + model.age.size + model.gender.size) * 4 // 3
+    return max(1, min(slots, int((EXCHANGE_BYTES / message) ** 0.5)))
+
+
+def _train_job(batches: DataFrame, model: TwoHeadModel, last: int, lr: float) -> tuple[list[tuple], TwoHeadModel]:
+    """All steps from the model's to ``last`` in one barrier stage."""
+    first, size = model.step, 5 + model.age.size + model.gender.size
+
+    def run(parts):
+        import pyarrow as pa
+        from pyspark import BarrierTaskContext
+
+        context = BarrierTaskContext.get()
+        mine, now, trace = _by_batch(parts), model, []
+        held = next(mine, None)
+        for step in range(first, last + 1):
+            sums = np.zeros(size)
+            if held is not None and held[0] == step:
+                sums = _sums(now, *held[1:])
+                held = next(mine, None)
+            sent = context.allGather(base64.b64encode(sums.tobytes()).decode())
+            total = np.zeros(size)
+            for message in sent:  # in the order of the tasks, so that all have the same sums to the last bit
+                total += np.frombuffer(base64.b64decode(message))
+            values, now = _update(now, total, _rate(lr, step))
+            trace += [(step, name, float(v), time.time()) for name, v in zip(TRACE, values)]
+        if context.partitionId() == 0:
+            out = io.BytesIO()
+            np.savez(out, age=now.age, gender=now.gender, **{
+                f"m{i}{k}": m for i, moment in enumerate(now.moments) for k, m in enumerate(moment)})
+            trace.append((now.step, None, None, None))
+            columns = list(zip(*trace))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.float64(), pa.float64()))),
+                 pa.array([None] * (len(trace) - 1) + [out.getvalue()], pa.binary())],
+                names=["step", "name", "value", "seconds", "model"])
+
+    rows = batches.where(F.col("batch_id").between(first, last)).mapInArrow(
+        run, "step long, name string, value double, seconds double, model binary", barrier=True).collect()
+    (held,) = (r["model"] for r in rows if r["model"] is not None)
+    found = np.load(io.BytesIO(bytes(held)))
+    moments = tuple([found[f"m{i}{k}"] for k in range(2)] for i in range(2))
+    trace = [(r["step"], r["name"], r["value"], r["seconds"]) for r in rows if r["model"] is None]
+    return trace, TwoHeadModel(found["age"], found["gender"], step=last + 1, moments=moments)
+
+
+def _by_batch(parts) -> Iterator[tuple]:
+    """(batch, features, ages, genders) of rows that come in order of their batches."""
+    held, now = [], None
+    for part in parts:
+        if not part.num_rows:
+            continue
+        ids = part.column("batch_id").to_numpy()
+        cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
+        for a, b in zip(cuts, cuts[1:]):
+            if ids[a] != now and held:
+                yield now, *(np.concatenate(c) for c in zip(*held))
+                held = []
+            now = int(ids[a])
+            rows = part.slice(a, b - a)
+            held.append((matrix(rows.column("x")), rows.column("age").to_numpy(), rows.column("gender").to_numpy()))
+    if held:
+        yield now, *(np.concatenate(c) for c in zip(*held))
 
 
 def gradient_norm(df: DataFrame, model: TwoHeadModel, features: str = "features", age: str = "age", gender: str = "gender",

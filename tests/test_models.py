@@ -164,6 +164,63 @@ def test_adam_matches_numpy_and_resumes(spark, clustered, tmp_path):
     assert selection.latest(table).first()["path"] == models.latest_checkpoint(spark, folder)
 
 
+def test_all_steps_between_checkpoints_are_one_job(spark, clustered, tmp_path):
+    sc = spark.sparkContext
+    options = dict(epochs=2, batch_size=60, lr=0.05, age_classes=6, steps=7)
+    jobs = []
+    for save_every, group in ((1000, "long"), (3, "short")):
+        sc.setJobGroup(group, group)
+        training.train_sgd(clustered, model_dir=str(tmp_path / group), save_every=save_every, resume=False, **options)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(group)))
+    sc.setJobGroup("plain", "plain")
+    plain, _ = training.train_sgd(clustered, **options)
+    jobs.append(len(sc.statusTracker().getJobIdsForGroup("plain")))
+    sc._jsc.clearJobGroup()
+    assert jobs[0] - jobs[2] <= 8 and jobs[1] > jobs[0]
+    tracked = models.load_model(spark, models.latest_checkpoint(spark, str(tmp_path / "short")))
+    np.testing.assert_allclose(tracked.age, plain.age, atol=1e-12)
+    assert [p.rsplit("=")[-1] for p in models.checkpoints(spark, str(tmp_path / "short"))] == [
+        "000000001", "000000004", "000000007"]
+
+
+def test_a_job_for_each_step_gives_the_same_weights(spark, clustered, monkeypatch):
+    options = dict(epochs=2, batch_size=60, lr=0.05, age_classes=6, steps=5)
+    one, log = training.train_sgd(clustered, **options)
+    monkeypatch.setattr(training, "_tasks", lambda slots, model: 50)  # more than run at once
+    other, again = training.train_sgd(clustered, **options)
+    np.testing.assert_allclose(one.age, other.age, atol=1e-12)
+    for a, b in zip(log.orderBy("name", "step").collect(), again.orderBy("name", "step").collect()):
+        assert a[:2] == b[:2] and abs(a["value"] - b["value"]) < 1e-12
+
+
+def test_tasks_are_bounded_by_what_they_exchange():
+    assert training._tasks(1000, training.initial_model(64, 0)) == 30
+    assert training._tasks(1000, training.initial_model(1792, 0)) == 5
+    assert training._tasks(4, training.initial_model(64, 0)) == 4
+    assert training._tasks(4, training.initial_model(10**6, 0)) == 1
+
+
+def test_the_trace_is_kept_while_training(spark, clustered, tmp_path, monkeypatch):
+    """A run that fails after some checkpoints has left its log up to there; the resumed run goes on with it."""
+    from facetide.operators import trace
+
+    options = dict(epochs=2, batch_size=60, lr=0.05, age_classes=6, model_dir=str(tmp_path / "m"), save_every=2,
+                   log_dir=str(tmp_path / "log"), run="r")
+    saved = training.save_model
+    monkeypatch.setattr(training, "save_model", lambda spark, model, folder: (_ for _ in ()).throw(RuntimeError("killed"))
+                        if model.step > 3 else saved(spark, model, folder))
+    with pytest.raises(RuntimeError, match="killed"):
+        training.train_sgd(clustered, steps=7, **options)
+    log = trace.read_trace(spark, str(tmp_path / "log"))
+    assert sorted(r["step"] for r in log.collect()) == [0, 1, 2]
+    monkeypatch.setattr(training, "save_model", saved)
+    training.train_sgd(clustered, steps=7, **options)
+    timed = trace.step_durations(trace.read_trace(spark, str(tmp_path / "log")), ["run"], every=2).orderBy("step").collect()
+    assert [r["step"] for r in timed] == [0, 2, 4, 6] and timed[0]["seconds"] is None
+    assert all(r["seconds"] > 0 for r in timed[1:])
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 7 * len(training.TRACE)
+
+
 def test_the_query_trains_on_every_full_batch(spark, sf_dir, monkeypatch):
     from facetide.plans import queries_learning
 
