@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from facetide.llm.bpe import Encoder, Vocabulary
+from facetide.llm.bpe import Encoder, Numbers, Vocabulary
 from facetide.llm.common import stored, without
 from facetide.llm.words import pieces
 from facetide.session import ship
@@ -39,12 +39,12 @@ RESULTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
 #: Pairs of ids that go out at once.
 BLOCK_PAIRS = 1 << 20
 #: Stretches, links and letters that a task knows by heart, and pairs that it adds up before it puts them out.
-KNOWN = 1 << 18
+KNOWN = 3 << 17
 KNOWN_LINKS = 1 << 22
 KNOWN_LETTERS = 1 << 26
 HELD_PAIRS = 1 << 21
 #: White space after and before which both tokenizers cut as described; texts with other white space are whole stretches.
-_STRETCH = re.compile(r"[ \t\n][ \t\n]+[^ \t\n]*| ?[^ \t\n]+|[ \t\n]")
+_STRETCH = re.compile(r" ?[^ \t\n]+|[ \t\n][ \t\n]+[^ \t\n]*|[ \t\n]")
 _RARE = re.compile(r"[\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _PAIR = 21  # bits of a B id within a pair
 
@@ -67,6 +67,12 @@ def coalesce(a_start: np.ndarray, a_end: np.ndarray, b_start: np.ndarray, b_end:
     return order, np.cumsum(breaks) - 1, a, b
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 class Pieces:
     """Encoder of a sentencepiece model for stretches."""
 
@@ -103,15 +109,20 @@ class Stretches:
         self._a_bytes = [vocabulary.bytes.get(i, b"") for i in range(len(self._a.merges.size))]
         if max(len(self._a_bytes), len(self._b.bytes)) > 1 << _PAIR:
             raise ValueError("the vocabulary is too large")
+        #: Each id with what may stand behind it: the same side, the other side, another group, another stretch.
+        self._marked = [f"{i}{mark}" for i in range(max(len(self._a_bytes), len(self._b.bytes))) for mark in ",|;\n"]
         self.forget()
 
     def forget(self) -> None:
-        self._number: dict[str, int] = {}
+        self._number = Numbers()
         self._letters = 0
         self.groups: list[str] = []
         #: A, B, groups, links, and 1 if a tokenizer does not give the bytes back.
         self.counts = np.zeros((0, 5), np.int64)
         self.pairs, self.end = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        #: Pairs that occur, and for each link the place of its pair among them.
+        self._place = Numbers()
+        self.places = np.zeros(0, np.int64)
 
     def full(self) -> bool:
         return len(self._number) > KNOWN or len(self.pairs) > KNOWN_LINKS or self._letters > KNOWN_LETTERS
@@ -127,12 +138,16 @@ class Stretches:
                 else:
                     parts.append(" " + text)
             last[i + 1] = len(parts)
-        number = self._number
-        new = [p for p in dict.fromkeys(parts) if p not in number]
-        number.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
-        if new:
-            self._add(new)
-        return np.fromiter(map(number.__getitem__, parts), np.int64, len(parts)), last
+        known = self._number
+        known.first, known.new = len(self.groups), []
+        number = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        if known.new:
+            self._add(known.new)
+        return number, last
+
+    def kinds(self) -> np.ndarray:
+        """The pairs that occur, in the order of ``places``."""
+        return np.fromiter(self._place, np.int64, len(self._place))
 
     def _add(self, new: list[str]) -> None:
         raw = [s.encode() for s in new]
@@ -141,12 +156,8 @@ class Stretches:
         a, starts = self._a.encode(new)
         a_many = np.diff(starts)
         b, b_many = self._b.encode(new)
-        bad = np.zeros(len(new), bool)
-        at_a, at_b = starts.tolist(), np.append(0, np.cumsum(b_many)).tolist()
-        a_list, b_list, a_bytes, b_bytes = a.tolist(), b.tolist(), self._a_bytes, self._b.bytes
-        for i, r in enumerate(raw):
-            bad[i] = (b"".join([b_bytes[t] for t in b_list[at_b[i]:at_b[i + 1]]]) != r
-                      or b"".join([a_bytes[t] for t in a_list[at_a[i]:at_a[i + 1]]]) != r)
+        bad = self._differ(raw, size, a, a_many, self._a.merges.size, self._a_bytes)
+        bad |= self._differ(raw, size, b, b_many, self._b.size, self._b.bytes)
         a_of, b_of = (np.repeat(np.arange(len(new)), m) for m in (a_many, b_many))
         if bad.any():
             a, a_of, b, b_of = a[~bad[a_of]], a_of[~bad[a_of]], b[~bad[b_of]], b_of[~bad[b_of]]
@@ -160,9 +171,8 @@ class Stretches:
         by = np.lexsort((np.arange(len(order)), side, group))
         side, of, group, token = side[by], of[by], group[by], token[by]
         between = np.select([of[1:] != of[:-1], group[1:] != group[:-1], side[1:] != side[:-1]], [3, 2, 1], 0)
-        marks = [",", "|", ";", "\n"]
-        held = "".join(chain.from_iterable(zip(map(str, token.tolist()), [marks[k] for k in between.tolist()] + [""])))
-        names = iter(held.split("\n") if held else ())
+        held = "".join(map(self._marked.__getitem__, (token << 2 | np.append(between, 3)[:len(token)]).tolist()))
+        names = iter(held.split("\n"))
         self.groups += ["" if w else next(names) for w in bad.tolist()]
 
         firsts = np.append(True, group[1:] != group[:-1])[:len(group)]
@@ -170,10 +180,28 @@ class Stretches:
         links = np.bincount(a_of[x], minlength=n)
         self.counts = np.concatenate([self.counts, np.stack([
             np.bincount(a_of, minlength=n), np.bincount(b_of, minlength=n), np.bincount(of[firsts], minlength=n), links, bad], axis=1)])
-        self.pairs = np.concatenate([self.pairs, a[x] << _PAIR | b[y]])
+        pairs = a[x] << _PAIR | b[y]
+        kinds = distinct(pairs)
+        self._place.first, self._place.new = len(self._place), []
+        places = np.fromiter(map(self._place.__getitem__, kinds.tolist()), np.int64, len(kinds))
+        self.places = np.concatenate([self.places, places[np.searchsorted(kinds, pairs)]])
+        self.pairs = np.concatenate([self.pairs, pairs])
         self.end = np.concatenate([self.end, self.end[-1] + np.cumsum(links)])
 
 
+    @staticmethod
+    def _differ(raw: list[bytes], size: np.ndarray, ids: np.ndarray, many: np.ndarray, sizes: np.ndarray, of: list[bytes]) -> np.ndarray:
+        """Which strings their tokens do not give back."""
+        held = ids.tolist()
+        ends = np.append(0, np.cumsum(sizes[ids]))
+        last = np.append(0, np.cumsum(many))
+        bad = ends[last[1:]] - ends[last[:-1]] != size
+        if bad.any() or b"".join(map(of.__getitem__, held)) != b"".join(raw):
+            last = last.tolist()
+            bad = np.array([b"".join(map(of.__getitem__, held[a:b])) != r for a, b, r in zip(last, last[1:], raw)])
+        return bad
+
+
 class Read:
     """A batch of texts: whose texts have tokens, and the stretches of those."""
 
@@ -207,14 +235,15 @@ def _linked(table: Stretches, texts: list[str | None]) -> tuple[np.ndarray, np.n
     """(pair, how many of the texts hold it linked)."""
     read = Read(table, texts)
     # A stretch counts once for each text, then a pair once for each text.
-    seen = np.unique(read.of << 40 | read.number)
+    seen = distinct(read.of << 40 | read.number)
     of, number = seen >> 40, seen & (1 << 40) - 1
     begin, many = table.end[number], table.end[number + 1] - table.end[number]
     ends = np.cumsum(many)
-    pairs = table.pairs[np.repeat(begin - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)]
-    kinds, which = np.unique(pairs, return_inverse=True)
-    once = np.unique(np.repeat(of, many) * max(1, len(kinds)) + which) % max(1, len(kinds))
-    return kinds, np.bincount(once, minlength=len(kinds))
+    places = table.places[np.repeat(begin - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)]
+    once = distinct(np.repeat(of, many) << 40 | places) & (1 << 40) - 1
+    n = np.bincount(once)
+    held = np.flatnonzero(n)
+    return table.kinds()[held], n[held]
 
 
 def _pairs(docs: DataFrame, files) -> DataFrame:
@@ -223,8 +252,12 @@ def _pairs(docs: DataFrame, files) -> DataFrame:
         table, held = _table(*files.value), []
 
         def added() -> list[tuple[np.ndarray, np.ndarray]]:
-            pairs, which = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            return [(pairs, np.bincount(which, np.concatenate([h[1] for h in held])).astype(np.int64))] if len(pairs) else []
+            pairs, n = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            if not len(pairs):
+                return []
+            order = np.argsort(pairs, kind="stable")
+            first = np.flatnonzero(np.append(True, np.diff(pairs[order]) != 0))
+            return [(pairs[order][first], np.add.reduceat(n[order], first))]
 
         for batch in batches:
             for piece in pieces(batch, "text"):

@@ -31,6 +31,7 @@ import codecs
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -318,6 +319,12 @@ class Encoder:
                 out.append(run.finish())
                 return begin
 
+    def _plain(self, texts: list[str | None]) -> bool:
+        if None in texts or not texts or max(map(len, texts)) > WINDOW:
+            return False
+        joined = "".join(texts)
+        return not _BEYOND.search(joined) and not (self._specials and self._specials.search(joined))
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids begin, with the end at last."""
         if len(self._number) > KNOWN or len(self._ids) > KNOWN_IDS:
@@ -325,6 +332,12 @@ class Encoder:
         parts: list = []
         own: list[int] = []  # which parts are ids already
         last = np.zeros(len(texts) + 1, np.int64)
+        if self._plain(texts):
+            # Nothing but short texts of Latin letters, as most batches are.
+            lists = list(map(self._latin.findall, texts))
+            np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)), out=last[1:])
+            parts = list(chain.from_iterable(lists))
+            texts = []
         for i, text in enumerate(texts):
             if text:
                 begin = 0
