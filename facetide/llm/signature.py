@@ -55,25 +55,19 @@ def folded(words: np.ndarray, width: int) -> np.ndarray:
     return words
 
 
-def could_link(n_a: int, bits_a: np.ndarray, n_b: int, bits_b: np.ndarray) -> bool:
-    width = min(len(bits_a), len(bits_b))
-    a, b = folded(bits_a, width), folded(bits_b, width)
-    both = int(np.bitwise_count(a & b).sum())
-    slack_a, slack_b = n_a - int(np.bitwise_count(a).sum()), n_b - int(np.bitwise_count(b).sum())
-    return min(slack_a, slack_b) + both >= needed(n_a, n_b)
-
-
 class Tree:
-    """Levels of nodes over sets of one bitmap width, in order of size; level 0 are the sets."""
+    """Levels of nodes over sets of one bitmap width; level 0 are the sets."""
 
-    def __init__(self, at: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits: np.ndarray, fine: bool):
-        # Sets of one label lie together, so that nodes of one label need not be compared.
-        order = np.lexsort((sizes, labels))
+    def __init__(self, at: np.ndarray, sizes: np.ndarray, labels: np.ndarray, least: np.ndarray, bits: np.ndarray):
+        # Sets of one label lie together, so that nodes of one label need not be compared; within it sets with the same
+        # least token, as sets that are alike often have. Labels of single sets say nothing.
+        _, of, many = np.unique(labels, return_inverse=True, return_counts=True)
+        order = np.lexsort((sizes, least, np.where(many[of] > 1, of, -1)))
         self.at = at[order]
         sizes, labels, bits = sizes[order], labels[order], bits[order]
         self.sizes, self.fine = sizes, bits
         self.fine_slack = sizes - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-        bits = folded(bits, bits.shape[1] // FINE) if fine else bits
+        bits = folded(bits, bits.shape[1] // FINE)
         slack = sizes - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
         self.levels = [(bits, sizes, sizes, slack, labels, labels)]
         while len(self.levels[-1][1]) > FANOUT:
@@ -132,20 +126,21 @@ def pairs(a: Tree, b: Tree, rng: np.random.Generator) -> Iterator[tuple[int, int
             stack.extend((la, p, lb, q) for p, q in zip(i.tolist(), j.tolist()))
 
 
-def candidates(sizes: np.ndarray, labels: np.ndarray, bits: list[np.ndarray], side: np.ndarray | None = None,
-               seed: int = 0, fine: bool = True) -> Iterator[tuple[int, int]]:
-    """Pairs of places that may be linked; ``fine`` says which bitmaps are given. With ``side`` (0 or 1), only pairs of both sides.
+def candidates(sets: list[np.ndarray], labels: np.ndarray, side: np.ndarray | None = None, seed: int = 0) -> Iterator[tuple[int, int]]:
+    """Pairs of places of sorted sets, of different labels, that may be linked. With ``side`` (0 or 1), only pairs of both sides.
 
     Linked sizes are within a third of each other, so bitmap widths are equal or neighbours.
     """
     rng = np.random.default_rng(seed)
+    sizes, least = np.array([len(s) for s in sets]), np.array([s[0] for s in sets])
+    bits = [bitmap(s, FINE) for s in sets]
     width = np.array([len(b) for b in bits])
     sides = np.zeros(len(width), int) if side is None else side
     groups = {(w, s): np.flatnonzero((width == w) & (sides == s)) for w in set(width.tolist()) for s in set(sides.tolist())}
     groups = {k: v for k, v in groups.items() if len(v)}
 
     def tree(at: np.ndarray, w: int) -> Tree:
-        return Tree(at, sizes[at], labels[at], folded(np.stack([bits[i] for i in at]), w), fine)
+        return Tree(at, sizes[at], labels[at], least[at], folded(np.stack([bits[i] for i in at]), w))
 
     trees = {k: tree(v, k[0]) for k, v in groups.items()}
     for (w, s), own in trees.items():
@@ -158,8 +153,25 @@ def candidates(sizes: np.ndarray, labels: np.ndarray, bits: list[np.ndarray], si
                 yield from pairs(own, tree(groups[(2 * w, t)], w), rng)
 
 
-def forest(found: Iterator[tuple[int, int]], labels: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Of pairs of places only those that would join groups, were all before them linked: fewer than there are groups."""
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets are linked, by all their tokens."""
+    both = np.concatenate([a, b])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= PERCENT * (len(both) - shared)
+
+
+def links(labels: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None, seed: int = 0,
+          every: bool = False) -> Iterator[tuple[int, int]]:
+    """Places of linked sets of different labels, verified: all, or only those that join groups that were apart."""
+    found = candidates(sets, labels, side, seed)
+    if every:
+        return ((i, j) for i, j in found if linked(sets[i], sets[j]))
+    return forest(found, labels, lambda i, j: linked(sets[i], sets[j]))
+
+
+def forest(found: Iterator[tuple[int, int]], labels: np.ndarray, holds=lambda i, j: True) -> Iterator[tuple[int, int]]:
+    """Of pairs of places for which ``holds`` is true only those that join groups: fewer than there are groups."""
     parent = {label: label for label in labels.tolist()}
     apart = len(parent)
     if apart < 2:
@@ -173,7 +185,7 @@ def forest(found: Iterator[tuple[int, int]], labels: np.ndarray) -> Iterator[tup
 
     for i, j in found:
         x, y = top(int(labels[i])), top(int(labels[j]))
-        if x != y:
+        if x != y and holds(i, j):
             parent[y] = x
             yield i, j
             apart -= 1

@@ -5,12 +5,15 @@
    of the smaller one's, in any common order. The order
    puts the frequent shingles last (a table of bounded size, counted over all texts) and the others by hash. Tokens that
    two or more classes share are kept; those below are found per task, the frequent ones go through an aggregate.
-3. First links: each token's classes are compared with the least class of the token. This joins most copies at once.
-4. Signature trees: for each token whose classes are still apart, a tree over their bitmaps and sizes is searched against
-   itself; pairs of nodes are ruled out by their greatest possible overlap, or because all below is one group already.
-   Tokens of many classes are cut into blocks, and pairs of blocks go to different tasks. The first search gives only
-   pairs that could join groups, fewer than classes; the second, over what is then still apart, gives all.
-5. Pairs that bitmaps cannot rule out are verified on the whole sets. Links become groups by contracting stars.
+3. Blocks: classes joined by shared tokens, directly or through others, are one block. Each class is in one block, so its
+   set travels once however many tokens it shares. A block above ``PART_BYTES`` or ``PART_CLASSES`` is cut by bands of size,
+   of which only neighbours can hold linked sets, and each band by hash. A part, or a pair of parts, is a cell.
+4. Signature trees: the bitmaps and sizes of a cell's sets are a tree, or one for each side, searched against itself or the
+   other; pairs of nodes are ruled out by their greatest possible overlap, or because all below is one group already. What is left
+   is verified there, on the whole sets. A cell gives only links that join two of its groups, so fewer than it has classes.
+   First each part is searched by itself. What was cut is then searched in a ring of parts, which joins a large group, and
+   at last in all pairs of parts, where a large group has parts of its own: two parts of one group are no cell.
+5. Links become groups by contracting stars.
 
 Nothing is approximate: two sets count as equal, or a shingle as shared, by 64-bit hashes.
 
@@ -37,12 +40,14 @@ SHINGLE = 5
 FREQUENT = 1 << 17
 FREQUENT_IN_PIECE = 3
 COUNTED_BYTES = 8 << 20
-#: Classes of one token that are searched together.
-BLOCK = 4096
-CLASS_ROW_BYTES = 24
+#: Bytes of the sets, and classes, of a part of a block; two parts are searched together.
+PART_BYTES, PART_CLASSES = 16 << 20, 4096
+#: Bytes of a token in a set.
+TOKEN_BYTES = 8
+CLASS_ROW_BYTES = 96
 
 
-def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
+def _shingles(texts: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     words = Words(texts, SPACE)
     runs = joined(words.hash, SHINGLE)
@@ -68,7 +73,7 @@ def _frequent(docs: DataFrame, text: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, text, COUNTED_BYTES):
-                distinct = {_class_of(s): s for s in _sets(piece.column(text))}
+                distinct = {_class_of(s): s for s in _shingles(piece.column(text))}
                 tokens, n = np.unique(np.concatenate([*distinct.values(), np.zeros(0, np.uint64)]), return_counts=True)
                 many = n >= FREQUENT_IN_PIECE
                 yield pa.RecordBatch.from_pydict({
@@ -81,7 +86,7 @@ def _frequent(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row per document: key, class, set size; for the first of its class in a piece also bitmaps and prefix."""
+    """A row per document: key, class, set size; for the first of its class in a piece also the prefix."""
     frequent = _frequent(docs, text)
     order = np.argsort(frequent, kind="stable")
     sent = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
@@ -90,14 +95,14 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
         known, rank = sent.value
         for batch in batches:
             for piece in pieces(batch, "_text"):
-                seen, names, sizes, bits, fine, rare, often = set(), [], [], [], [], [], []
-                for tokens in _sets(piece.column("_text")):
+                seen, names, sizes, rare, often = set(), [], [], [], []
+                for tokens in _shingles(piece.column("_text")):
                     name, n = _class_of(tokens), len(tokens)
                     names.append(name)
                     sizes.append(n)
                     if not n or name in seen:
-                        for held in (bits, fine, rare, often):
-                            held.append(None)
+                        rare.append(None)
+                        often.append(None)
                         continue
                     seen.add(name)
                     need = signature.prefix_length(n)
@@ -109,21 +114,17 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
                         late = late[np.argsort(rank[at[is_known]])][:need - len(first)]
                     else:
                         first, late = tokens[:need], tokens[:0]
-                    bits.append(signature.bitmap(tokens).tobytes())
-                    fine.append(signature.bitmap(tokens, signature.FINE).tobytes())
                     rare.append(first.view(np.int64))
                     often.append(late.view(np.int64))
                 yield pa.RecordBatch.from_pydict({
-                    "short": pa.array([signature.short_length(n) for n in sizes], pa.int32()), "key": piece.column("key"), "place": piece.column("place"), "class": pa.array(names, pa.int64()),
-                    "n": pa.array(sizes, pa.int64()), "bits": pa.array(bits, pa.binary()),
-                    "fine": pa.array(fine, pa.binary()), "rare": pa.array(rare, pa.list_(pa.int64())),
-                    "often": pa.array(often, pa.list_(pa.int64()))})
+                    "short": pa.array([signature.short_length(n) for n in sizes], pa.int32()), "key": piece.column("key"),
+                    "place": piece.column("place"), "class": pa.array(names, pa.int64()), "n": pa.array(sizes, pa.int64()),
+                    "rare": pa.array(rare, pa.list_(pa.int64())), "often": pa.array(often, pa.list_(pa.int64()))})
 
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("place"), F.col(text).alias("_text"))
     return stored(rows.mapInArrow(
-        make, f"short int, key {kind}, place long, class long, n long, bits binary, fine binary, rare array<long>, "
-        "often array<long>"), "classes")
+        make, f"short int, key {kind}, place long, class long, n long, rare array<long>, often array<long>"), "classes")
 
 
 def _shared(classes: DataFrame) -> DataFrame:
@@ -164,7 +165,7 @@ def _shared(classes: DataFrame) -> DataFrame:
         if same.any():
             yield pa.RecordBatch.from_pydict({"token": pa.array(token[same]), "class": pa.array(name[same])})
 
-    sets = classes.where("bits is not null")
+    sets = classes.where("rare is not null")
     # The size, and whether the token is among the first seventh, as one number.
     size = lambda place: (2 * F.col("n") + (place < F.col("short")).cast("int")).cast("int").alias("size")
     rare = sets.select("class", "n", "short", F.posexplode("rare").alias("at", "token")).select("token", "class", size(F.col("at")))
@@ -176,51 +177,6 @@ def _shared(classes: DataFrame) -> DataFrame:
     return stored(rare.unionByName(often), "shared")
 
 
-def _possible(pairs: DataFrame, facts: DataFrame) -> DataFrame:
-    """Pairs (a, b) that bitmaps do not rule out."""
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c = {n: batch.column(n).to_pylist() for n in ("a_n", "b_n", "a_bits", "b_bits")}
-            ok = [signature.could_link(x, np.frombuffer(p, np.uint64), y, np.frombuffer(q, np.uint64))
-                  for x, y, p, q in zip(c["a_n"], c["b_n"], c["a_bits"], c["b_bits"])]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    side = lambda x: facts.select(F.col("class").alias(x), F.col("n").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits"))
-    near = (100 * F.col("a_n") >= signature.PERCENT * F.col("b_n")) & (100 * F.col("b_n") >= signature.PERCENT * F.col("a_n"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").where(near).select(
-        "a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(check, "a long, b long")
-
-
-def _linked(pairs: DataFrame, facts: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """The pairs that are linked, by their whole sets. Sets are made again from the texts, of these classes only."""
-    def remake(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch, "_text"):
-                sets = [s.tobytes() for s in _sets(piece.column("_text"))]
-                yield pa.RecordBatch.from_pydict({"class": piece.column("class"), "set": pa.array(sets, pa.binary())})
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("a_set"), batch.column("b_set")):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                shared = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(100 * shared >= signature.PERCENT * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    # One text for each class: of equal sets, the text with the least hash.
-    wanted = stored(wanted.join(facts, "class").select("class", "place"), "wanted")
-    texts = docs.select(F.xxhash64(F.col(text)).alias("place"), F.col(text).alias("_text"))
-    sets = (
-        texts.join(bounded(wanted, CLASS_ROW_BYTES), "place").select("class", "_text")
-        .mapInArrow(remake, "class long, set binary"))
-    sets = stored(sets.dropDuplicates(["class"]), "sets")
-    side = lambda x: sets.select(F.col("class").alias(x), F.col("set").alias(f"{x}_set"))
-    return stored(pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_set", "b_set").mapInArrow(
-        verify, "a long, b long"), "links")
-
-
 def groups(links: DataFrame) -> DataFrame:
     """(class, root): the least class reachable by links (a, b), by contracting stars until nothing changes."""
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
@@ -241,73 +197,151 @@ def groups(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _apart(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """Tokens whose classes are not all in one group yet: token, class, label, count of the token's classes."""
-    labels = groups(links)
-    rows = shared.join(labels, "class", "left").select("token", "class", F.coalesce("root", "class").alias("label"))
-    tokens = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                       F.count(F.lit(1)).alias("many"))
-    # Of two classes, the first comparison was the only one.
-    return stored(rows.join(tokens.where("low != high and many > 2").select("token", "many"), "token"), "apart")
-
+def _blocks(shared: DataFrame, facts: DataFrame) -> DataFrame:
+    """The block and the band of each class that shares a token; the band is -1 in blocks that need no cut."""
+    least = shared.groupBy("token").agg(F.min("class").alias("b"))
+    edges = shared.join(least, "token").where(F.col("class") != F.col("b")).select(F.col("class").alias("a"), "b").distinct()
+    rest = groups(edges).withColumnRenamed("root", "block")
+    of_class = rest.unionByName(rest.select(F.col("block").alias("class"), "block").distinct())
+    rows = stored(of_class.join(facts, "class"), "blocks")
+    large = stored(rows.groupBy("block").agg(*_extent()).where("cuts > 1").select("block", F.lit(True).alias("large")), "large")
+    if not large.limit(1).count():
+        return rows.select("class", "n", "place", "block", F.lit(-1).alias("band"))
+    # Linked sizes differ by a third at most, so they are in one band or in neighbours.
+    band = F.floor(F.log("n") / F.log(F.lit(100 / signature.PERCENT))).cast("int")
+    return stored(rows.join(large, "block", "left").select(
+        "class", "n", "place", "block", F.when(F.col("large"), band).otherwise(-1).alias("band")), "bands")
+
+
+def _extent() -> list:
+    """Of a group of classes, how many parts it needs."""
+    by_bytes, by_count = F.sum("n") * TOKEN_BYTES / PART_BYTES, F.count(F.lit(1)) / PART_CLASSES
+    return [F.greatest(F.ceil(by_bytes), F.ceil(by_count)).alias("cuts")]
+
+
+def _parts(blocks: DataFrame, labels: DataFrame, by_label: bool) -> DataFrame:
+    """Add label, ``of`` and ``part``. ``by_label``: a label that would fill a part has parts of its own, named by ``of``."""
+    rows = blocks.join(labels, "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
+    if by_label:
+        own = rows.where("band >= 0").groupBy("block", "band", "label").agg(*_extent(), F.count(F.lit(1)).alias("many")).where(
+            F.col("many") > 1).where((F.col("cuts") > 1) | (F.col("many") > PART_CLASSES // 2)).select(
+            "block", "band", "label", F.col("label").alias("of"))
+        rows = rows.join(own, ["block", "band", "label"], "left")
+    else:
+        rows = rows.withColumn("of", F.lit(None).cast("long"))
+    rows = rows.withColumn("of", F.coalesce("of", F.lit(0).cast("long")))
+    counted = rows.where("band >= 0").groupBy("block", "band", "of").agg(*_extent()).where("cuts > 1")
+    part = F.when(F.col("cuts") > 1, F.pmod(F.xxhash64("class", F.lit(1)), F.col("cuts"))).otherwise(0).cast("int")
+    named = ["block", "band", "of"]
+    return stored(rows.join(counted, named, "left").select(
+        "class", "place", "label", *named, part.alias("part"), F.coalesce("cuts", F.lit(1)).cast("int").alias("cuts")), "parts")
+
+
+_PART = ["block", "band", "of", "part"]
+
+
+def _whole(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*_PART, "cuts").agg(F.min("label").alias("first"), F.max("label").alias("last"))
+
+
+def _own(parts: DataFrame) -> DataFrame:
+    """Cells of single parts that hold different labels: class, place, label, cell, side."""
+    cells = _whole(parts).where("first != last").select(*_PART)
+    return parts.join(cells, _PART).select("class", "place", "label", F.xxhash64(*_PART).alias("cell"), F.lit(0).alias("side"))
+
+
+def _across(parts: DataFrame, ring: bool) -> DataFrame:
+    """Cells of two parts that may hold linked sets of different labels: all, or each part with the next one only. What
+    cannot differ is left out before any row of a cell is made; the parts themselves are few."""
+    whole = stored(_whole(parts).where("band >= 0"), "whole")
+    low, high = (whole.select(*(F.col(c).alias(f"{x}_{c}") for c in whole.columns)) for x in ("low", "high"))
+    step = F.col("high_band") - F.col("low_band")
+    if ring:
+        meet = (step == 0) & (F.col("low_of") == F.col("high_of")) & (
+            F.col("high_part") == (F.col("low_part") + 1) % F.col("low_cuts")) & (
+            (F.col("low_cuts") > 2) | (F.col("low_part") < F.col("high_part")))
+    else:
+        meet = (step == 1) | (step == 0) & (F.struct("low_of", "low_part") < F.struct("high_of", "high_part"))
+    apart = F.least("low_first", "high_first") != F.greatest("low_last", "high_last")
+    cell = F.xxhash64(*(f"{x}_{c}" for x in ("low", "high") for c in _PART)).alias("cell")
+    sides = F.explode(F.array(*(F.struct(F.lit(i).alias("side"), *(F.col(f"{x}_{c}").alias(c) for c in _PART))
+                                for i, x in enumerate(("low", "high"))))).alias("s")
+    pairs = low.join(high, F.col("low_block") == F.col("high_block")).where(meet & apart).select(cell, sides)
+    return parts.join(pairs.select("cell", "s.*"), _PART).select("class", "place", "label", "cell", "side")
+
+
+def _searched(cells: DataFrame, docs: DataFrame, text: str, every: bool) -> DataFrame:
+    """Linked pairs of classes of one cell: all, or those that join the cell's groups. Sets are made again from one text of each
+    class and sent to their cells."""
+    def remake(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for piece in pieces(batch, "_text"):
+                # Of texts that are alike a task sends the first.
+                names, fresh = piece.column("class").to_pylist(), []
+                for i, name in enumerate(names):
+                    if name not in seen:
+                        seen.add(name)
+                        fresh.append(i)
+                piece = piece.take(pa.array(fresh, pa.int64()))
+                cells = piece.column("cells")
+                at = np.repeat(np.arange(piece.num_rows), cells.value_lengths().to_numpy())
+                flat, held = cells.flatten(), [s.tobytes() for s in _shingles(piece.column("_text"))]
+                for first in range(0, len(at), 4096):  # a set that goes to many cells is not held for all at once
+                    now = at[first:first + 4096]
+                    part = flat.slice(first, len(now))
+                    yield pa.RecordBatch.from_pydict({
+                        "cell": part.field("cell"), "side": part.field("side"), "class": piece.column("class").take(pa.array(now)),
+                        "label": piece.column("label").take(pa.array(now)), "set": pa.array([held[k] for k in now.tolist()], pa.binary())})
 
-def _searched(apart: DataFrame, facts: DataFrame, every: bool) -> DataFrame:
-    """Pairs of classes of one token, in different groups, that signature trees cannot rule out: all, or a forest."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _cells(batches):
-            name, sizes, labels, side = (rows[c] for c in ("class", "n", "label", "side"))
-            bits = [np.frombuffer(b, np.uint64) for b in rows["bits"]]
-            found = signature.candidates(sizes, labels, bits, side if rows["two"] else None, rows["seed"], every)
-            at = np.array(list(found if every else signature.forest(found, labels)))
-            if len(at):
-                a, b = name[at[:, 0]], name[at[:, 1]]
-                yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
-
-    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("class", F.lit(1)), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    cells = apart.select("token", "class", "label", own.alias("own"), other).select(
-        "token", "class", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"))
-    rows = cells.join(facts.select("class", "n", F.col("fine" if every else "bits").alias("bits")), "class")
-    cell = ["token", "low", "high"]
-    return rows.repartition(*cell).sortWithinPartitions(*cell).select(*cell, "class", "label", "side", "n", "bits").mapInArrow(
-        search, "a long, b long").distinct()
-
-
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows of one cell together; a cell holds two blocks at most."""
+        for cell, name, label, side, held in _in_cells(batches):
+            if len(np.unique(label)) < 2:
+                continue
+            found = signature.links(label, held, side if side.any() else None, abs(cell) % (1 << 62), every)
+            found = np.array(list(found), np.int64).reshape(-1, 2)
+            a, b = name[found[:, 0]], name[found[:, 1]]
+            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    wanted = stored(cells.groupBy("place", "class", "label").agg(F.collect_list(F.struct("cell", "side")).alias("cells")), "wanted")
+    texts = docs.select(F.xxhash64(F.col(text)).alias("place"), F.col(text).alias("_text"))
+    rows = texts.join(bounded(wanted, CLASS_ROW_BYTES), "place").select("class", "label", "cells", "_text").mapInArrow(
+        remake, "cell long, side int, class long, label long, set binary")
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(search, "a long, b long")
+
+
+def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Cell, and class, label, side and set of its rows, each class once; a cell holds two parts at most."""
     held, cell = [], None
 
-    def rows() -> dict:
+    def rows():
         t = pa.Table.from_batches(held)
-        out = {c: t.column(c).to_numpy() for c in ("class", "n", "label", "side")}
-        return out | {"bits": t.column("bits").to_pylist(), "two": cell[1] != cell[2],
-                      "seed": abs(cell[0])}
+        name, at = np.unique(t.column("class").to_numpy(), return_index=True)
+        label, side = (t.column(c).to_numpy()[at] for c in ("label", "side"))
+        sets = t.column("set").take(pa.array(at))
+        return int(cell), name, label, side, [np.frombuffer(s.as_buffer(), np.uint64) for s in sets]
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("token", "low", "high")])
-        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        keys = batch.column("cell").to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), batch.num_rows]
         for low, high in zip(cuts, cuts[1:]):
-            now = tuple(keys[:, low].tolist())
-            if now != cell:
-                if held:
-                    yield rows()
-                held, cell = [], now
+            if keys[low] != cell and held:
+                yield rows()
+                held = []
+            cell = keys[low]
             held.append(batch.slice(low, high - low))
     if held:
         yield rows()
 
 
 def _prepared(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A row per document, a row of facts per class, and (token, class) of shared prefix tokens."""
+    """A row per document, a row of facts per class, and the blocks of those that share a token."""
     ship(docs.sparkSession)
     classes = _classes(docs, key, text)
-    facts = stored(classes.where("bits is not null").groupBy("class").agg(
-        F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("fine").alias("fine"), F.min("place").alias("place")), "facts")
-    return classes, facts, _shared(classes)
+    facts = stored(classes.where("n > 0").groupBy("class").agg(F.max("n").alias("n"), F.min("place").alias("place")), "facts")
+    return classes, facts, _blocks(_shared(classes), facts)
 
 
 def all_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -316,10 +350,9 @@ def all_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
 
     No group is skipped, so a group of many different texts costs its square, which is also the size of its result.
     """
-    classes, facts, shared = _prepared(docs, key, text)
-    many = shared.groupBy("token").agg(F.count(F.lit(1)).alias("many"))
-    apart = stored(shared.withColumn("label", F.col("class")).join(many, "token"), "apart")
-    pairs = _linked(stored(_searched(apart, facts, True), "searched"), facts, docs, text)
+    classes, facts, blocks = _prepared(docs, key, text)
+    parts = _parts(blocks, facts.select("class", F.col("class").alias("root")), False)
+    pairs = stored(_searched(_own(parts).unionByName(_across(parts, False)), docs, text, True), "searched")
     rows = stored(classes.where("n > 0").groupBy("class").agg(F.count(F.lit(1)).alias("rows")), "rows")
     side = lambda x: rows.select(F.col("class").alias(x), F.col("rows").alias(f"{x}_rows"))
     links = stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_rows", "b_rows"), "all_links")
@@ -336,16 +369,17 @@ def all_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
 
 def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A row per document (key, place, class, n); (class, root); and links that connect each group."""
-    classes, facts, shared = _prepared(docs, key, text)
-    least = shared.groupBy("token").agg(F.min("class").alias("a"))
-    stars = shared.join(least, "token").where(F.col("a") != F.col("class")).select("a", F.col("class").alias("b")).distinct()
-    first = _linked(stored(_possible(stars, facts), "possible"), facts, docs, text)
-    links = first
-    for every in (False, True):
-        found = stored(_searched(_apart(shared, links), facts, every), "searched")
-        links = stored(links.unionByName(_linked(found, facts, docs, text)), "links")
-    roots = facts.select("class").join(groups(links), "class", "left").select(
-        "class", F.coalesce("root", "class").alias("root"))
+    classes, facts, blocks = _prepared(docs, key, text)
+    parts = _parts(blocks, facts.select("class", F.col("class").alias("root")), False)
+    links = stored(_searched(_own(parts), docs, text, False), "links")
+    of_class = groups(links)
+    if blocks.where("band >= 0").limit(1).count():
+        for ring in (True, False):
+            parts = _parts(blocks, of_class, not ring)
+            cells = _across(parts, ring) if ring else _across(parts, ring).unionByName(_own(parts.where("band >= 0")))
+            links = stored(links.unionByName(_searched(cells, docs, text, False)), "links")
+            of_class = groups(links)
+    roots = facts.select("class").join(of_class, "class", "left").select("class", F.coalesce("root", "class").alias("root"))
     return classes.select("key", "place", "class", "n"), stored(roots, "roots"), links
 
 

@@ -66,7 +66,7 @@ def key(row):
 def test_groups_equal_brute_force(spark, seed, monkeypatch):
     if seed:  # frequent shingles change the order of tokens, small blocks split every token
         monkeypatch.setattr(similar, "FREQUENT", 50)
-        monkeypatch.setattr(similar, "BLOCK", 3)
+        monkeypatch.setattr(similar, "PART_CLASSES", 3)
     rows = list(enumerate(texts(seed)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     out, links = similar.similar(docs)
@@ -84,7 +84,7 @@ def test_groups_equal_brute_force(spark, seed, monkeypatch):
 
 @pytest.mark.parametrize("block", [3, 4096])
 def test_all_links_equal_brute_force(spark, block, monkeypatch):
-    monkeypatch.setattr(similar, "BLOCK", block)
+    monkeypatch.setattr(similar, "PART_CLASSES", block)
     rows = list(enumerate(texts(2, clusters=6)))
     rows += [(900, ""), (901, None), (902, rows[0][1])]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
@@ -134,10 +134,9 @@ def test_trees_lose_no_pair_and_forests_connect():
             s = np.unique(np.concatenate([b[rng.random(len(b)) > rng.random() * 0.3],
                                           rng.integers(0, 2**63, rng.integers(0, 20)).astype(np.uint64)]))
             sets.append(s if len(s) else b)
-        sizes, bits = np.array([len(s) for s in sets]), [signature.bitmap(s, signature.FINE) for s in sets]
         labels = np.arange(len(sets)) if trial % 2 else rng.integers(0, 5, len(sets))
         side = None if trial % 3 else rng.integers(0, 2, len(sets))
-        got = [tuple(sorted(p)) for p in signature.candidates(sizes, labels, bits, side, trial)]
+        got = [tuple(sorted(p)) for p in signature.candidates(sets, labels, side, trial)]
         assert len(got) == len(set(got))
         plain = [set(s.tolist()) for s in sets]
         for i in range(len(sets)):
@@ -145,16 +144,18 @@ def test_trees_lose_no_pair_and_forests_connect():
                 o = len(plain[i] & plain[j])
                 if labels[i] != labels[j] and (side is None or side[i] != side[j]) and 100 * o >= 75 * len(plain[i] | plain[j]):
                     assert (i, j) in set(got)
-                    assert signature.could_link(len(sets[i]), bits[i], len(sets[j]), bits[j])
-        few = list(signature.forest(iter(got), labels))
-        assert len(few) < len(set(labels.tolist()))
-        for pairs in (got, few):
+                    assert signature.linked(sets[i], sets[j])
+        true = [(i, j) for i, j in got if signature.linked(sets[i], sets[j])]
+        assert sorted(tuple(sorted(p)) for p in signature.links(labels, sets, side, trial, True)) == sorted(true)
+        few = list(signature.links(labels, sets, side, trial))
+        assert len(few) < len(set(labels.tolist())) and {tuple(sorted(p)) for p in few} <= set(true)
+        for pairs in (true, few):
             top = {x: x for x in labels.tolist()}
             for i, j in pairs:
                 a, b = top[int(labels[i])], top[int(labels[j])]
                 top = {k: a if v == b else v for k, v in top.items()}
             parts = len(set(top.values()))
-            assert pairs is got or parts == whole
+            assert pairs is true or parts == whole
             whole = parts
 
 
