@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -33,6 +33,20 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*(df[f"`{c}`"] for c in df.columns if c.lower() not in taken))
 
 
+def apart(df: DataFrame, results: Iterable[str], columns: Iterable[str], operate: Callable[..., DataFrame]) -> DataFrame:
+    """``operate(df, *columns)`` on columns with names of their own, so that none clashes with a working column of the operator.
+
+    Columns with the name of a result are left out, but for those that are worked on; all get their names back.
+    """
+    lower = {c.lower() for c in columns}
+    held = without(df, {r for r in results if r.lower() not in lower})
+    names = {c.lower(): f"in{i}" for i, c in enumerate(held.columns)}
+    back = dict(zip(names.values(), held.columns))
+    inner = held.select(*(F.col(f"`{c}`").alias(names[c.lower()]) for c in held.columns))
+    out = operate(inner, *(names[c.lower()] for c in columns))
+    return out.select(*(F.col(n).alias(back.get(n, n)) for n in out.columns))
+
+
 def bounded(df: DataFrame, row_bytes: int) -> DataFrame:
     """Mark a stored table for broadcast if its counted rows, at ``row_bytes`` each, stay within the bound."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from facetide.llm.common import stored, without
+from facetide.llm.common import apart, stored
 from facetide.llm.words import buffers, pieces
 from facetide.session import ship
 
@@ -160,7 +160,11 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 def predict(docs: DataFrame, net: Compiled | None, text: str = "text") -> DataFrame:
     """Replace ``text`` by ``lang_pred`` and ``score``; other columns stay."""
     ship(docs.sparkSession)
-    rows = without(docs, set(RESULTS) - {text}).withColumn("_letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    return apart(docs, RESULTS, (text,), lambda *held: _predicted(*held, net))
+
+
+def _predicted(docs: DataFrame, text: str, net: Compiled | None) -> DataFrame:
+    rows = docs.withColumn("_letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     schema = StructType([f for f in rows.schema if f.name not in (text, "_letters")] + [
         StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(net)

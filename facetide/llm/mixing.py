@@ -26,7 +26,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from facetide.llm.common import BETWEEN_WORDS, BROADCAST_BYTES, stored, without
+from facetide.llm.common import BETWEEN_WORDS, BROADCAST_BYTES, apart, stored
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
@@ -198,8 +198,12 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """Add ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (copies times size)."""
     if max_copies != MAX_COPIES:
         raise ValueError("shifts are laid out for two copies")
-    held = without(docs, set(RESULTS) - {key, text, source})
-    kept = [F.col(f"`{c}`") for c in held.columns]
+    return apart(docs, RESULTS, (key, text, source), lambda *held: _mixed(*held, weights, budget, max_copies))
+
+
+def _mixed(held: DataFrame, key: str, text: str, source: str, weights: Sequence[float], budget: float,
+           max_copies: int) -> DataFrame:
+    kept = [F.col(c) for c in held.columns]
     tag = F.when(F.col(source).isNull(), F.lit("")).otherwise(F.concat(F.lit("s"), F.col(source).cast("string")))
     # 53 bits of the hash: equal parts of [0, 1).
     u = F.shiftrightunsigned(F.xxhash64(F.col(key), F.col(text)), 11) / F.lit(float(1 << 53))

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from facetide.functions._util import let
-from facetide.llm.common import BETWEEN_WORDS, WORD, constants, fenced, without
+from facetide.llm.common import BETWEEN_WORDS, WORD, apart, constants, fenced, without
 
 BUCKETS = 1 << 14
 #: Letters and digits, or a run of other signs: junk shows in the signs.
@@ -137,7 +137,10 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def judge(docs: DataFrame, log_ratio: list[float], text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """Add the base counts, the ``score`` and ``kept``: the base rules hold and the score is at least ``min_score``."""
-    held = without(docs, RESULTS)
+    return apart(docs, RESULTS, (text,), lambda *held: _judged(*held, log_ratio, min_score))
+
+
+def _judged(held: DataFrame, text: str, log_ratio: list[float], min_score: float) -> DataFrame:
     ruled = base_rules(held, text)
     keep = [F.col(f"`{c}`") for c in ruled.columns]
     step = ruled.select(*keep, _tokens(F.col(text)).alias("_tokens"))

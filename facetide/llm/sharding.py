@@ -17,7 +17,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from facetide.llm.common import bounded, stored, without
+from facetide.llm.common import apart, bounded, stored
 
 SHARD_BYTES = 32 << 20
 #: Bits of a hash that are used, and bits that a further round adds.
@@ -80,8 +80,11 @@ def _placed(rows: DataFrame, directory: list[tuple[int, DataFrame]], mark: str)
 
 def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = SHARD_BYTES) -> DataFrame:
     """Add ``n_bytes``, ``shard`` (the bits of its prefix), and the bytes and documents of the shard."""
-    held = without(docs, set(RESULTS) - {key, text})
-    kept = [F.col(f"`{c}`") for c in held.columns]
+    return apart(docs, RESULTS, (key, text), lambda *held: _sharded(*held, limit))
+
+
+def _sharded(held: DataFrame, key: str, text: str, limit: int) -> DataFrame:
+    kept = [F.col(c) for c in held.columns]
     sized = held.select(*kept, F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("n_bytes"),
                         F.xxhash64(F.col(key)).alias("_hash"))
     narrow = sized.select("_hash", "n_bytes")
@@ -89,10 +92,11 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int =
     blank = [F.lit(None).cast(t).alias(n) for n, t in (("shard", "string"), ("shard_bytes", "long"), ("shard_docs", "long"))]
     out = _placed(sized.select("*", *blank), first, "b")
     if rest is not None:
-        # Copies of one key: split by a hash of key and place.
-        open_key = F.col("_hash")
-        numbered = out.withColumn("_hash", F.when(F.col("shard").isNull(), F.xxhash64(open_key, F.monotonically_increasing_id()))
-                                  .otherwise(open_key))
-        second, _ = _directory(numbered.where("shard is null").select("_hash", "n_bytes"), limit)
-        out = _placed(numbered, second, "c")
-    return out.select(*kept, "n_bytes", "shard", "shard_bytes", "shard_docs")
+        # Copies of one key: split by a hash of key and place. These rows are written with it, since a place read twice
+        # need not be the same.
+        numbered = stored(out.where("shard is null").withColumn(
+            "_hash", F.xxhash64(F.col("_hash"), F.monotonically_increasing_id())), "copies")
+        second, _ = _directory(numbered.select("_hash", "n_bytes"), limit)
+        out = out.where("shard is not null").unionByName(_placed(numbered, second, "c"))
+    found = F.coalesce("shard", F.raise_error(F.lit("a row's cell is not in the directory"))).alias("shard")
+    return out.select(*kept, "n_bytes", found, "shard_bytes", "shard_docs")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from facetide.llm import signature
-from facetide.llm.common import bounded, stored
+from facetide.llm.common import apart, bounded, stored
 from facetide.llm.words import SPACE, Words, joined, mix, pieces
 from facetide.session import ship
 
@@ -399,6 +399,10 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the least key of each group, null keys last, and all documents without words."""
+    return apart(docs, (), (key, text), _kept)
+
+
+def _kept(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows, roots, _ = _components(docs, key, text)
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "place")).alias("f")
     held = rows.where("n > 0").groupBy("class").agg(first).join(roots, "class").groupBy("root").agg(
