@@ -96,8 +96,9 @@ def _open(a: Tree, x: np.ndarray, b: Tree, y: np.ndarray, level_a: int, level_b:
     return x[i], y[j]
 
 
-def pairs(a: Tree, b: Tree, rng: np.random.Generator) -> Iterator[tuple[int, int]]:
-    """Places of the sets whose pairs cannot be ruled out, in random order; each pair of one tree with itself once."""
+def pairs(a: Tree, b: Tree, rng: np.random.Generator, done: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the sets whose pairs cannot be ruled out, some at a time in random order; each pair of one tree with itself
+    once. With ``done`` pairs of places that both are done are left out where that saves work."""
     same = a is b
     stack = [(len(a.levels), 0, len(b.levels), 0)]
     while stack:
@@ -108,6 +109,8 @@ def pairs(a: Tree, b: Tree, rng: np.random.Generator) -> Iterator[tuple[int, int
         x = a.children(level_a, node_a) if down_a else np.array([node_a])
         y = b.children(level_b, node_b) if down_b else np.array([node_b])
         la, lb = level_a - down_a, level_b - down_b
+        if done is not None and la == lb == 0 and done[a.at[x]].all() and done[b.at[y]].all():
+            continue
         i, j = _open(a, x, b, y, la, lb)
         if same:
             half = i <= j
@@ -115,25 +118,26 @@ def pairs(a: Tree, b: Tree, rng: np.random.Generator) -> Iterator[tuple[int, int
         if la == lb == 0 and len(i):
             both = np.bitwise_count(a.fine[i] & b.fine[j]).sum(axis=1).astype(np.int64)
             ok = np.minimum(a.fine_slack[i], b.fine_slack[j]) + both >= needed(a.sizes[i], b.sizes[j])
+            if same:
+                ok &= i != j
             i, j = i[ok], j[ok]
         order = rng.permutation(len(i))
         i, j = i[order], j[order]
         if la == lb == 0:
-            for p, q in zip(i.tolist(), j.tolist()):
-                if not same or p != q:
-                    yield int(a.at[p]), int(b.at[q])
+            if len(i):
+                yield a.at[i], b.at[j]
         else:
             stack.extend((la, p, lb, q) for p, q in zip(i.tolist(), j.tolist()))
 
 
-def candidates(sets: list[np.ndarray], labels: np.ndarray, side: np.ndarray | None = None, seed: int = 0) -> Iterator[tuple[int, int]]:
-    """Pairs of places of sorted sets, of different labels, that may be linked. With ``side`` (0 or 1), only pairs of both sides.
+def candidates(sizes: np.ndarray, least: np.ndarray, bits: list[np.ndarray], labels: np.ndarray, side: np.ndarray | None = None,
+               seed: int = 0, done: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of sets, of different labels, that may be linked, by sizes, least tokens and ``FINE`` bitmaps. With ``side``
+    (0 or 1), only pairs of both sides.
 
     Linked sizes are within a third of each other, so bitmap widths are equal or neighbours.
     """
     rng = np.random.default_rng(seed)
-    sizes, least = np.array([len(s) for s in sets]), np.array([s[0] for s in sets])
-    bits = [bitmap(s, FINE) for s in sets]
     width = np.array([len(b) for b in bits])
     sides = np.zeros(len(width), int) if side is None else side
     groups = {(w, s): np.flatnonzero((width == w) & (sides == s)) for w in set(width.tolist()) for s in set(sides.tolist())}
@@ -145,12 +149,22 @@ def candidates(sets: list[np.ndarray], labels: np.ndarray, side: np.ndarray | No
     trees = {k: tree(v, k[0]) for k, v in groups.items()}
     for (w, s), own in trees.items():
         if side is None:
-            yield from pairs(own, own, rng)
+            yield from pairs(own, own, rng, done)
         elif s == 0 and (w, 1) in trees:
-            yield from pairs(own, trees[(w, 1)], rng)
+            yield from pairs(own, trees[(w, 1)], rng, done)
         for t in ({0} if side is None else {1 - s}):
             if (2 * w, t) in trees:
-                yield from pairs(own, tree(groups[(2 * w, t)], w), rng)
+                yield from pairs(own, tree(groups[(2 * w, t)], w), rng, done)
+
+
+def may_link(sizes: np.ndarray, least: np.ndarray, bits: list[np.ndarray], labels: np.ndarray,
+             side: np.ndarray | None = None) -> np.ndarray:
+    """Which sets may be linked with one of another label at all."""
+    found = np.zeros(len(sizes), bool)
+    for i, j in candidates(sizes, least, bits, labels, side, 0, found):
+        found[i] = True
+        found[j] = True
+    return found
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -164,7 +178,9 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 def links(labels: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None, seed: int = 0,
           every: bool = False) -> Iterator[tuple[int, int]]:
     """Places of linked sets of different labels, verified: all, or only those that join groups that were apart."""
-    found = candidates(sets, labels, side, seed)
+    sizes, least = np.array([len(s) for s in sets]), np.array([s[0] for s in sets])
+    some = candidates(sizes, least, [bitmap(s, FINE) for s in sets], labels, side, seed)
+    found = ((i, j) for x, y in some for i, j in zip(x.tolist(), y.tolist()))
     if every:
         return ((i, j) for i, j in found if linked(sets[i], sets[j]))
     return forest(found, labels, lambda i, j: linked(sets[i], sets[j]))

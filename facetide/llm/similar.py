@@ -5,14 +5,16 @@
    of the smaller one's, in any common order. The order
    puts the frequent shingles last (a table of bounded size, counted over all texts) and the others by hash. Tokens that
    two or more classes share are kept; those below are found per task, the frequent ones go through an aggregate.
-3. Blocks: classes joined by shared tokens, directly or through others, are one block. Each class is in one block, so its
-   set travels once however many tokens it shares. A block above ``PART_BYTES`` or ``PART_CLASSES`` is cut by bands of size,
+3. Blocks: the tokens whose least class is the same are one block, which holds all classes of these tokens. So a class goes
+   to few blocks however many tokens it shares. A block above ``PART_BYTES`` or ``PART_CLASSES`` is cut by bands of size,
    of which only neighbours can hold linked sets, and each band by hash. A part, or a pair of parts, is a cell.
 4. Signature trees: the bitmaps and sizes of a cell's sets are a tree, or one for each side, searched against itself or the
-   other; pairs of nodes are ruled out by their greatest possible overlap, or because all below is one group already. What is left
-   is verified there, on the whole sets. A cell gives only links that join two of its groups, so fewer than it has classes.
-   First each part is searched by itself. What was cut is then searched in a ring of parts, which joins a large group, and
-   at last in all pairs of parts, where a large group has parts of its own: two parts of one group are no cell.
+   other; pairs of nodes are ruled out by their greatest possible overlap, or because all below is one group already. First
+   only bitmaps go to the cells, and the classes that may be linked at all come out. Then the sets of these go there, are
+   searched again, and what is left is verified on the whole sets. A cell gives only links that join two of its groups, so
+   fewer than it has classes. First each part is searched by itself. What was cut is then searched in a ring of parts, which
+   joins a large group, and at last in all pairs of parts, where a large group has parts of its own: two parts of one group
+   are no cell.
 5. Links become groups by contracting stars.
 
 Nothing is approximate: two sets count as equal, or a shingle as shared, by 64-bit hashes.
@@ -95,14 +97,14 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
         known, rank = sent.value
         for batch in batches:
             for piece in pieces(batch, "_text"):
-                seen, names, sizes, rare, often = set(), [], [], [], []
+                seen, names, sizes, fine, least, rare, often = set(), [], [], [], [], [], []
                 for tokens in _shingles(piece.column("_text")):
                     name, n = _class_of(tokens), len(tokens)
                     names.append(name)
                     sizes.append(n)
                     if not n or name in seen:
-                        rare.append(None)
-                        often.append(None)
+                        for held in (fine, least, rare, often):
+                            held.append(None)
                         continue
                     seen.add(name)
                     need = signature.prefix_length(n)
@@ -114,17 +116,20 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
                         late = late[np.argsort(rank[at[is_known]])][:need - len(first)]
                     else:
                         first, late = tokens[:need], tokens[:0]
+                    fine.append(signature.bitmap(tokens, signature.FINE).tobytes())
+                    least.append(int(tokens[:1].view(np.int64)[0]))
                     rare.append(first.view(np.int64))
                     often.append(late.view(np.int64))
                 yield pa.RecordBatch.from_pydict({
                     "short": pa.array([signature.short_length(n) for n in sizes], pa.int32()), "key": piece.column("key"),
                     "place": piece.column("place"), "class": pa.array(names, pa.int64()), "n": pa.array(sizes, pa.int64()),
+                    "fine": pa.array(fine, pa.binary()), "least": pa.array(least, pa.int64()),
                     "rare": pa.array(rare, pa.list_(pa.int64())), "often": pa.array(often, pa.list_(pa.int64()))})
 
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("place"), F.col(text).alias("_text"))
     return stored(rows.mapInArrow(
-        make, f"short int, key {kind}, place long, class long, n long, rare array<long>, often array<long>"), "classes")
+        make, f"short int, key {kind}, place long, class long, n long, fine binary, least long, rare array<long>, often array<long>"), "classes")
 
 
 def _shared(classes: DataFrame) -> DataFrame:
@@ -198,12 +203,10 @@ def groups(links: DataFrame) -> DataFrame:
 
 
 def _blocks(shared: DataFrame, facts: DataFrame) -> DataFrame:
-    """The block and the band of each class that shares a token; the band is -1 in blocks that need no cut."""
-    least = shared.groupBy("token").agg(F.min("class").alias("b"))
-    edges = shared.join(least, "token").where(F.col("class") != F.col("b")).select(F.col("class").alias("a"), "b").distinct()
-    rest = groups(edges).withColumnRenamed("root", "block")
-    of_class = rest.unionByName(rest.select(F.col("block").alias("class"), "block").distinct())
-    rows = stored(of_class.join(facts, "class"), "blocks")
+    """The blocks and bands of each class that shares a token; the band is -1 in blocks that need no cut."""
+    least = shared.groupBy("token").agg(F.min("class").alias("block"))
+    of_class = shared.join(least, "token").select("class", "block").distinct()
+    rows = stored(of_class.join(facts.select("class", "n", "place"), "class"), "blocks")
     large = stored(rows.groupBy("block").agg(*_extent()).where("cuts > 1").select("block", F.lit(True).alias("large")), "large")
     if not large.limit(1).count():
         return rows.select("class", "n", "place", "block", F.lit(-1).alias("band"))
@@ -270,9 +273,26 @@ def _across(parts: DataFrame, ring: bool) -> DataFrame:
     return parts.join(pairs.select("cell", "s.*"), _PART).select("class", "place", "label", "cell", "side")
 
 
-def _searched(cells: DataFrame, docs: DataFrame, text: str, every: bool) -> DataFrame:
+def _open(cells: DataFrame, facts: DataFrame) -> DataFrame:
+    """Of the rows of cells those whose class may be linked with one of another label, by the trees of their bitmaps."""
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, name, label, side, held, more in _in_cells(batches, ("place", "n", "least")):
+            found = signature.may_link(more["n"], more["least"].view(np.uint64), held, label, side if side.any() else None)
+            if found.any():
+                yield pa.RecordBatch.from_pydict({
+                    "class": pa.array(name[found]), "place": pa.array(more["place"][found]), "label": pa.array(label[found]),
+                    "cell": pa.array(np.full(int(found.sum()), cell)), "side": pa.array(side[found].astype(np.int32))})
+
+    rows = cells.join(facts.select("class", "n", "least", F.col("fine").alias("set")), "class")
+    return rows.repartition("cell").sortWithinPartitions("cell").select(
+        "cell", "class", "label", "side", "set", "place", "n", "least").mapInArrow(
+        search, "class long, place long, label long, cell long, side int")
+
+
+def _searched(cells: DataFrame, facts: DataFrame, docs: DataFrame, text: str, every: bool) -> DataFrame:
     """Linked pairs of classes of one cell: all, or those that join the cell's groups. Sets are made again from one text of each
     class and sent to their cells."""
+    cells = _open(cells, facts)
     def remake(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -295,7 +315,7 @@ def _searched(cells: DataFrame, docs: DataFrame, text: str, every: bool) -> Data
                         "label": piece.column("label").take(pa.array(now)), "set": pa.array([held[k] for k in now.tolist()], pa.binary())})
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell, name, label, side, held in _in_cells(batches):
+        for cell, name, label, side, held, _ in _in_cells(batches):
             if len(np.unique(label)) < 2:
                 continue
             found = signature.links(label, held, side if side.any() else None, abs(cell) % (1 << 62), every)
@@ -310,8 +330,8 @@ def _searched(cells: DataFrame, docs: DataFrame, text: str, every: bool) -> Data
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(search, "a long, b long")
 
 
-def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Cell, and class, label, side and set of its rows, each class once; a cell holds two parts at most."""
+def _in_cells(batches: Iterator[pa.RecordBatch], more: tuple[str, ...] = ()) -> Iterator[tuple]:
+    """Cell, and class, label, side, set (or bitmap) and more of its rows, each class once; a cell holds two parts at most."""
     held, cell = [], None
 
     def rows():
@@ -319,7 +339,8 @@ def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         name, at = np.unique(t.column("class").to_numpy(), return_index=True)
         label, side = (t.column(c).to_numpy()[at] for c in ("label", "side"))
         sets = t.column("set").take(pa.array(at))
-        return int(cell), name, label, side, [np.frombuffer(s.as_buffer(), np.uint64) for s in sets]
+        return int(cell), name, label, side, [np.frombuffer(s.as_buffer(), np.uint64) for s in sets], {
+            c: t.column(c).to_numpy()[at] for c in more}
 
     for batch in batches:
         if not batch.num_rows:
@@ -340,7 +361,7 @@ def _prepared(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFram
     """A row per document, a row of facts per class, and the blocks of those that share a token."""
     ship(docs.sparkSession)
     classes = _classes(docs, key, text)
-    facts = stored(classes.where("n > 0").groupBy("class").agg(F.max("n").alias("n"), F.min("place").alias("place")), "facts")
+    facts = stored(classes.where("n > 0").groupBy("class").agg(F.max("n").alias("n"), F.min("place").alias("place"), F.max("fine").alias("fine"), F.max("least").alias("least")), "facts")
     return classes, facts, _blocks(_shared(classes), facts)
 
 
@@ -352,7 +373,8 @@ def all_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
     """
     classes, facts, blocks = _prepared(docs, key, text)
     parts = _parts(blocks, facts.select("class", F.col("class").alias("root")), False)
-    pairs = stored(_searched(_own(parts).unionByName(_across(parts, False)), docs, text, True), "searched")
+    pairs = stored(_searched(
+        _own(parts).unionByName(_across(parts, False)), facts, docs, text, True).distinct(), "searched")
     rows = stored(classes.where("n > 0").groupBy("class").agg(F.count(F.lit(1)).alias("rows")), "rows")
     side = lambda x: rows.select(F.col("class").alias(x), F.col("rows").alias(f"{x}_rows"))
     links = stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_rows", "b_rows"), "all_links")
@@ -371,13 +393,13 @@ def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     """A row per document (key, place, class, n); (class, root); and links that connect each group."""
     classes, facts, blocks = _prepared(docs, key, text)
     parts = _parts(blocks, facts.select("class", F.col("class").alias("root")), False)
-    links = stored(_searched(_own(parts), docs, text, False), "links")
+    links = stored(_searched(_own(parts), facts, docs, text, False), "links")
     of_class = groups(links)
     if blocks.where("band >= 0").limit(1).count():
         for ring in (True, False):
             parts = _parts(blocks, of_class, not ring)
             cells = _across(parts, ring) if ring else _across(parts, ring).unionByName(_own(parts.where("band >= 0")))
-            links = stored(links.unionByName(_searched(cells, docs, text, False)), "links")
+            links = stored(links.unionByName(_searched(cells, facts, docs, text, False)), "links")
             of_class = groups(links)
     roots = facts.select("class").join(of_class, "class", "left").select("class", F.coalesce("root", "class").alias("root"))
     return classes.select("key", "place", "class", "n"), stored(roots, "roots"), links

@@ -136,7 +136,9 @@ def test_trees_lose_no_pair_and_forests_connect():
             sets.append(s if len(s) else b)
         labels = np.arange(len(sets)) if trial % 2 else rng.integers(0, 5, len(sets))
         side = None if trial % 3 else rng.integers(0, 2, len(sets))
-        got = [tuple(sorted(p)) for p in signature.candidates(sets, labels, side, trial)]
+        facts = np.array([len(s) for s in sets]), np.array([s[0] for s in sets]), [signature.bitmap(s, signature.FINE) for s in sets]
+        got = [tuple(sorted(p)) for x, y in signature.candidates(*facts, labels, side, trial) for p in zip(x.tolist(), y.tolist())]
+        assert signature.may_link(*facts, labels, side).nonzero()[0].tolist() == sorted({k for p in got for k in p})
         assert len(got) == len(set(got))
         plain = [set(s.tolist()) for s in sets]
         for i in range(len(sets)):
