@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -54,16 +55,14 @@ def save_model(spark: SparkSession, model: TwoHeadModel, directory: str, keep: i
     """Save under ``<directory>/save=<k>-step=<n>`` and drop all but the ``keep`` saved last.
 
     Saves are counted, so the latest checkpoint is the one saved last, whatever its step. Saving the step of the latest one
-    again replaces it.
+    again replaces it. The weights are written aside and get their name when they are whole. The number is claimed by
+    creating a file that must not exist yet, so two writers never take the same one.
     """
     from facetide.sources.files import qualified, resolve
 
     if keep < 1:
         raise ValueError("keep at least the checkpoint that is being saved")
     directory = qualified(spark, directory).rstrip("/")
-    saved = checkpoints(spark, directory)
-    number = _save(saved[-1]) + (_step(saved[-1]) != model.step) if saved else 1
-    path = f"{directory}/save={number:06d}-step={model.step:09d}"
     zero = [np.zeros_like(model.age), np.zeros_like(model.gender)]
     first, second = model.moments or (zero, zero)
     rows = [
@@ -71,13 +70,52 @@ def save_model(spark: SparkSession, model: TwoHeadModel, directory: str, keep: i
         for head, w, m, v in zip(HEADS, (model.age, model.gender), first, second)
         for k in range(len(w))
     ]
-    spark.createDataFrame(rows, WEIGHT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+    aside = f"{directory}/_saving-{uuid.uuid4().hex}"
+    spark.createDataFrame(rows, WEIGHT_SCHEMA).coalesce(1).write.parquet(aside)
+    system, source = resolve(aside)
+    saved = checkpoints(spark, directory)
+    if saved and _step(saved[-1]) == model.step:
+        path = saved[-1]
+        _delete(path)
+    else:
+        number = _save(saved[-1]) + 1 if saved else 1
+        while not _claimed(spark, directory, number):
+            number += 1
+        path = f"{directory}/save={number:06d}-step={model.step:09d}"
+    system.move(source, resolve(path)[1])
     for old in checkpoints(spark, directory)[:-keep]:
-        system, inner = resolve(old)
-        system.delete_dir(inner)
+        _delete(old)
     return path
 
 
+def _claimed(spark: SparkSession, directory: str, number: int) -> bool:
+    """Create the file that stands for a save number; false if there is one already."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/_claims/{number:06d}")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(place)
+
+
+def _delete(path: str) -> None:
+    """Remove a checkpoint, which another writer may have done already."""
+    from facetide.sources.files import resolve
+
+    system, inner = resolve(path)
+    try:
+        system.delete_dir(inner)
+    except FileNotFoundError:
+        pass
+
+
+def load_models(spark: SparkSession, paths: Sequence[str]) -> list[TwoHeadModel]:
+    """The weights of several checkpoints, without the optimizer's moments, in one job."""
+    rows = spark.read.schema(WEIGHT_SCHEMA).parquet(*paths).select(
+        "head", "class", "weights", F.col("_metadata.file_path").alias("file")).collect()
+    held: dict[str, dict[str, list]] = {}
+    for r in sorted(rows, key=lambda r: r["class"]):
+        held.setdefault(r["file"].rsplit("/", 2)[1], {h: [] for h in HEADS})[r["head"]].append(r["weights"])
+    found = (held[path.rstrip("/").rsplit("/", 1)[1]] for path in paths)
+    return [TwoHeadModel(*(np.array(f[h]) for h in HEADS), step=_step(p)) for p, f in zip(paths, found)]
+
+
 def load_model(spark: SparkSession, path: str) -> TwoHeadModel:
     """Load one checkpoint: a row per class, whatever the data size."""
     rows = sorted(spark.read.schema(WEIGHT_SCHEMA).parquet(path).collect(), key=lambda r: r["class"])

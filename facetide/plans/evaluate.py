@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from facetide.operators.metrics import batch_metrics, evaluate_all
-from facetide.operators.models import TwoHeadModel, checkpoints, load_model, measure_rows
+from facetide.operators.models import TwoHeadModel, checkpoints, load_models, measure_rows
 from facetide.operators.sampling import SPLIT_SEED, assign_batches, number_shuffled
 from facetide.operators.selection import choose_best
 from facetide.session import scratch_path
@@ -55,6 +55,6 @@ def choose_best_model(test: DataFrame, model_dir: str, **options) -> tuple[DataF
     paths = checkpoints(test.sparkSession, model_dir)
     if not paths:
         raise FileNotFoundError(f"no checkpoint below {model_dir}")
-    models = [(path, load_model(test.sparkSession, path)) for path in paths]
+    models = list(zip(paths, load_models(test.sparkSession, paths)))
     results = evaluate_models(test, models, **options)
     return choose_best(results), results

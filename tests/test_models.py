@@ -1,5 +1,7 @@
 """Metrics, model choice, training, evaluation, streaming."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -235,6 +237,35 @@ def test_repeated_keys_are_refused(clustered):
         training.train_sgd(clustered.withColumn("key", F.col("key") % 7), steps=1)
 
 
+def test_two_writers_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    model, folder = training.initial_model(3, 1, 4), str(tmp_path / "m")
+    with ThreadPoolExecutor(6) as pool:
+        paths = list(pool.map(lambda step: models.save_model(
+            spark, models.TwoHeadModel(model.age + step, model.gender, step), folder), range(6)))
+    assert sorted(paths) == models.checkpoints(spark, folder) and len({p.split("save=")[1][:6] for p in paths}) == 6
+    assert [p.rsplit("=", 1)[1] for p in paths] == [f"{k:09d}" for k in range(6)]
+    assert not [n for n in os.listdir(folder) if n.startswith("_saving")]
+    spark.sparkContext.setJobGroup("load", "load")
+    loaded = models.load_models(spark, paths)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("load")) <= 1
+    spark.sparkContext._jsc.clearJobGroup()
+    for step, m in enumerate(loaded):
+        np.testing.assert_array_equal(m.age, model.age + step)
+        assert m.step == step and m.gender.shape == model.gender.shape
+
+
+def test_a_checkpoint_that_was_not_finished_is_not_seen(spark, tmp_path):
+    model, folder = training.initial_model(3, 1, 4), str(tmp_path / "m")
+    models.save_model(spark, model, folder)
+    os.makedirs(f"{folder}/_saving-abc")
+    open(f"{folder}/_claims/000002", "w").close()  # a writer that died after its claim
+    path = models.save_model(spark, models.TwoHeadModel(model.age, model.gender, 5), folder)
+    assert path.endswith("save=000003-step=000000005") and models.latest_checkpoint(spark, folder) == path
+    assert len(models.checkpoints(spark, folder)) == 2
+
+
 def test_old_checkpoints_are_dropped(spark, tmp_path):
     model = training.initial_model(3, 1, 4)
     for step in range(5):
