@@ -6,7 +6,7 @@
    puts the frequent shingles last (a table of bounded size, counted over all texts) and the others by hash. Tokens that
    two or more classes share are kept; those below are found per task, the frequent ones go through an aggregate.
 3. Blocks: the tokens whose least class is the same are one block, which holds all classes of these tokens. So a class goes
-   to few blocks however many tokens it shares. A block above ``PART_BYTES`` or ``PART_CLASSES`` is cut by bands of size,
+   to few blocks however many tokens it shares, and to none in which no other class has about its size. A block above ``PART_BYTES`` or ``PART_CLASSES`` is cut by bands of size,
    of which only neighbours can hold linked sets, and each band by hash. A part, or a pair of parts, is a cell.
 4. Signature trees: the bitmaps and sizes of a cell's sets are a tree, or one for each side, searched against itself or the
    other; pairs of nodes are ruled out by their greatest possible overlap, or because all below is one group already. First
@@ -44,6 +44,8 @@ FREQUENT_IN_PIECE = 3
 COUNTED_BYTES = 8 << 20
 #: Bytes of the sets, and classes, of a part of a block; two parts are searched together.
 PART_BYTES, PART_CLASSES = 16 << 20, 4096
+#: Steps of size within the greatest ratio of linked sizes.
+SIZE_STEPS = 4
 #: Bytes of a token in a set.
 TOKEN_BYTES = 8
 CLASS_ROW_BYTES = 96
@@ -206,7 +208,13 @@ def _blocks(shared: DataFrame, facts: DataFrame) -> DataFrame:
     """The blocks and bands of each class that shares a token; the band is -1 in blocks that need no cut."""
     least = shared.groupBy("token").agg(F.min("class").alias("block"))
     of_class = shared.join(least, "token").select("class", "block").distinct()
-    rows = stored(of_class.join(facts.select("class", "n", "place"), "class"), "blocks")
+    # Linked sizes differ by a third at most: a class without another of about its size in the block is left out.
+    fine = F.floor(SIZE_STEPS * F.log("n") / F.log(F.lit(100 / signature.PERCENT))).cast("int")
+    sized = stored(of_class.join(facts.select("class", "n", "place"), "class").withColumn("step", fine), "sized")
+    near = F.explode(F.sequence(F.col("step") - SIZE_STEPS - 1, F.col("step") + SIZE_STEPS + 1)).alias("step")
+    about = sized.groupBy("block", "step").agg(F.count(F.lit(1)).alias("many")).select("block", near, "many").groupBy(
+        "block", "step").agg(F.sum("many").alias("many")).where("many > 1").select("block", "step")
+    rows = stored(sized.join(about, ["block", "step"]).drop("step"), "blocks")
     large = stored(rows.groupBy("block").agg(*_extent()).where("cuts > 1").select("block", F.lit(True).alias("large")), "large")
     if not large.limit(1).count():
         return rows.select("class", "n", "place", "block", F.lit(-1).alias("band"))
