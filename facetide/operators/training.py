@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import io
+import math
 import time
 from collections.abc import Iterator
 
@@ -26,6 +27,9 @@ BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 INIT_STDDEV = 0.01
 #: What tasks send each other in a step, all together: every task's sums go to every task.
 EXCHANGE_BYTES = 64 << 20
+#: Tasks of a barrier stage ask for each other's sums once a second. A batch whose work (multiply-adds a second) is done
+#: sooner is not shared.
+EXCHANGE_SECONDS, WORK_A_SECOND = 1.0, 1e9
 TRACE = ("age_cross_entropy", "gender_cross_entropy", "total loss", "train_abs_age_error", "gender_accuracy", "lr")
 
 
@@ -75,14 +79,18 @@ def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age:
     """Synchronous data-parallel Adam over shuffled batches, up to ``steps`` (None: all full batches); returns
     the model and its trace (``step, name, value, ts``).
 
-    All steps up to the next checkpoint are one Spark job, a barrier stage: each task keeps its share of the rows, in order
-    of their batches, and the weights; in each step it sums the gradient of its rows, the tasks exchange these sums, and
-    all take the same step. The tasks are as many as run at once, or fewer if their sums are large (``EXCHANGE_BYTES``).
-    If one is lost Spark runs the stage again, which gives the same weights. With dynamic allocation, which cannot run such stages,
-    each step is a job of its own.
-
-    Only keys are put in order; the features move once, by key, whatever the number of epochs, which also spreads the rows
-    of a batch over all tasks, so ``batch_size`` can grow with the cluster. The heads' weights decay by a fixed rate. With
+    A batch that one task works through sooner than tasks exchange their sums is not shared: each task holds a stretch of
+    batches, and the model goes from stretch to stretch, a job for each. So a step costs its work alone, and the jobs are as
+    many as the tasks, whatever the number of steps. Larger batches are shared: all steps up to the next checkpoint are one
+    Spark job, a barrier stage, where each task keeps its share of the rows, in order of their batches, and the weights; in
+    each step it sums the gradient of its rows, the tasks exchange these sums, and all take the same step. These tasks are
+    as many as run at once, or fewer if their sums are large (``EXCHANGE_BYTES``). If a task is lost Spark runs its stage
+    again, which gives the same weights. With dynamic allocation, which cannot run barrier stages, each step of large batches
+    is a job of its own.
+
+    Only keys are put in order; the features move by key once, whatever the number of epochs, and where batches are not shared
+    once more to their stretch. Shared batches are spread over all tasks, so ``batch_size`` can grow with the cluster. The
+    heads' weights decay by a fixed rate. With
     ``model_dir`` a checkpoint is saved every ``save_every`` steps and at the end, and a later call goes on from the newest one
     at the batch it stopped before, as if there had been no stop. With ``log_dir`` the trace so far is appended there, as
     ``run``, at each checkpoint, so a run that is killed keeps it.
@@ -94,34 +102,44 @@ def train_sgd(df: DataFrame, key: str = "key", features: str = "features", age:
     if not rows.groupBy("key").count().filter("count > 1").isEmpty():
         raise ValueError("the key must be unique; features_table gives rows one")
     saved = latest_checkpoint(spark, model_dir) if model_dir and resume else None
+    found = rows.agg(F.max(F.size("x")).alias("width"), F.count(F.lit(1)).alias("n")).first()
     if saved:
         model = load_model(spark, saved)
     else:
-        width = rows.agg(F.max(F.size("x")).alias("width")).first()["width"]
-        model = initial_model(width, seed, age_classes) if width else None
-    order = training_batches(rows.select("key"), "key", epochs, batch_size, steps, seed).select("key", "batch_id")
-    barrier = spark.conf.get("spark.dynamicAllocation.enabled", "false").lower() != "true"
+        model = initial_model(found["width"], seed, age_classes) if found["width"] else None
+    order = training_batches(rows.select("key"), "key", epochs, batch_size, steps, seed).select("key", "pos", "batch_id")
+    slots = spark.sparkContext.defaultParallelism
+    alone = model is not None and _alone(batch_size, model)
+    barrier = spark.conf.get("spark.dynamicAllocation.enabled", "false").lower() != "true" and not alone
     if barrier and model is not None:
-        tasks = _tasks(spark.sparkContext.defaultParallelism, model)
+        tasks = _tasks(slots, model)
         rows, order = rows.repartition(tasks, "key"), order.repartition(tasks, "key")
+    joined = rows.join(order, "key").select("batch_id", "pos", "x", "age", "gender")
+    n_batches = min(found["n"] * epochs // batch_size, math.inf if steps is None else steps)
+    stretch = max(1, -(-n_batches // slots))
+    if alone:
+        joined = joined.repartitionById(slots, F.expr(f"cast(batch_id div {stretch} as int)"))
     batches = (
-        rows.join(order, "key")
-        .select("batch_id", "x", "age", "gender")
-        .sortWithinPartitions("batch_id")
+        joined.sortWithinPartitions("batch_id", "pos").drop("pos")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     last = batches.agg(F.max("batch_id").alias("last")).first()["last"]
     if last is None:
         raise ValueError("no full batch to train on")
     partitions = batches.rdd.getNumPartitions()
-    barrier = barrier and partitions <= spark.sparkContext.defaultParallelism
+    barrier = barrier and partitions <= slots
 
     trace: list[tuple] = []
     while model.step <= last:
         # Up to the next step after which a checkpoint is saved.
         upto = min(last, -(-model.step // save_every) * save_every) if model_dir else last
-        if barrier:
-            new, model = _train_job(batches, model, upto, lr)
+        if alone:
+            new = []
+            while model.step <= upto:
+                made, model = _train_job(batches, model, min(upto, (model.step // stretch + 1) * stretch - 1), lr, False)
+                new += made
+        elif barrier:
+            new, model = _train_job(batches, model, upto, lr, True)
         else:
             new = []
             for step in range(model.step, upto + 1):
@@ -155,29 +173,37 @@ def _tasks(slots: int, model: TwoHeadModel) -> int:
     return max(1, min(slots, int((EXCHANGE_BYTES / message) ** 0.5)))
 
 
-def _train_job(batches: DataFrame, model: TwoHeadModel, last: int, lr: float) -> tuple[list[tuple], TwoHeadModel]:
-    """All steps from the model's to ``last`` in one barrier stage."""
+def _alone(batch_size: int, model: TwoHeadModel) -> bool:
+    """Whether one task is done with a batch before it would hear of the others: scores and gradients take as much work."""
+    return 2 * batch_size * (model.age.size + model.gender.size) < EXCHANGE_SECONDS * WORK_A_SECOND
+
+
+def _train_job(batches: DataFrame, model: TwoHeadModel, last: int, lr: float, shared: bool) -> tuple[list[tuple], TwoHeadModel]:
+    """All steps from the model's to ``last``: shared by the tasks of a barrier stage, or by the one task that has all their rows."""
     first, size = model.step, 5 + model.age.size + model.gender.size
 
     def run(parts):
         import pyarrow as pa
         from pyspark import BarrierTaskContext
 
-        context = BarrierTaskContext.get()
+        context = BarrierTaskContext.get() if shared else None
         mine, now, trace = _by_batch(parts), model, []
         held = next(mine, None)
+        if held is None and not shared:
+            return
         for step in range(first, last + 1):
-            sums = np.zeros(size)
+            total = np.zeros(size)
             if held is not None and held[0] == step:
-                sums = _sums(now, *held[1:])
+                total = _sums(now, *held[1:])
                 held = next(mine, None)
-            sent = context.allGather(base64.b64encode(sums.tobytes()).decode())
-            total = np.zeros(size)
-            for message in sent:  # in the order of the tasks, so that all have the same sums to the last bit
-                total += np.frombuffer(base64.b64decode(message))
+            if shared:
+                sent = context.allGather(base64.b64encode(total.tobytes()).decode())
+                total = np.zeros(size)
+                for message in sent:  # in the order of the tasks, so that all have the same sums to the last bit
+                    total += np.frombuffer(base64.b64decode(message))
             values, now = _update(now, total, _rate(lr, step))
             trace += [(step, name, float(v), time.time()) for name, v in zip(TRACE, values)]
-        if context.partitionId() == 0:
+        if not shared or context.partitionId() == 0:
             out = io.BytesIO()
             np.savez(out, age=now.age, gender=now.gender, **{
                 f"m{i}{k}": m for i, moment in enumerate(now.moments) for k, m in enumerate(moment)})
@@ -189,7 +215,7 @@ def _train_job(batches: DataFrame, model: TwoHeadModel, last: int, lr: float) ->
                 names=["step", "name", "value", "seconds", "model"])
 
     rows = batches.where(F.col("batch_id").between(first, last)).mapInArrow(
-        run, "step long, name string, value double, seconds double, model binary", barrier=True).collect()
+        run, "step long, name string, value double, seconds double, model binary", barrier=shared).collect()
     (held,) = (r["model"] for r in rows if r["model"] is not None)
     found = np.load(io.BytesIO(bytes(held)))
     moments = tuple([found[f"m{i}{k}"] for k in range(2)] for i in range(2))

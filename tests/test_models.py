@@ -195,6 +195,36 @@ def test_a_job_for_each_step_gives_the_same_weights(spark, clustered, monkeypatc
         assert a[:2] == b[:2] and abs(a["value"] - b["value"]) < 1e-12
 
 
+def test_small_batches_wait_for_no_exchange(clustered):
+    """A step of a barrier stage takes a second at least, whatever its work."""
+    model, log = training.train_sgd(clustered, epochs=1, batch_size=4, steps=None, age_classes=6)
+    took = [r["ts"].timestamp() for r in log.select("ts").collect()]
+    assert model.step == 60 and len(took) == 60 * len(training.TRACE)
+    assert max(took) - min(took) < 40
+
+
+def test_shared_and_own_batches_give_the_same_weights(spark, clustered, tmp_path, monkeypatch):
+    """In stretches, in a barrier stage, and in a job for each step; also resumed within a stretch."""
+    assert training._alone(64, training.initial_model(64, 0)) and not training._alone(8192, training.initial_model(1792, 0))
+    options = dict(epochs=2, batch_size=20, lr=0.05, age_classes=6)
+    found = [training.train_sgd(clustered, steps=9, **options)]
+    folder = str(tmp_path / "m")
+    training.train_sgd(clustered, steps=4, model_dir=folder, save_every=3, **options)
+    found.append(training.train_sgd(clustered, steps=9, model_dir=folder, save_every=3, **options))
+    assert min(r["step"] for r in found[1][1].collect()) == 4
+    monkeypatch.setattr(training, "EXCHANGE_SECONDS", 0)
+    found.append(training.train_sgd(clustered, steps=9, **options))
+    monkeypatch.setattr(training, "_tasks", lambda slots, model: 50)
+    found.append(training.train_sgd(clustered, steps=9, **options))
+    for model, log in found[1:]:
+        assert model.step == 9
+        np.testing.assert_allclose(model.age, found[0][0].age, atol=1e-12)
+        np.testing.assert_allclose(model.gender, found[0][0].gender, atol=1e-12)
+    for k in (2, 3):
+        a, b = ({(r["step"], r["name"]): r["value"] for r in found[i][1].collect()} for i in (0, k))
+        assert a.keys() == b.keys() and len(a) == 9 * len(training.TRACE) and all(abs(a[x] - b[x]) < 1e-9 for x in a)
+
+
 def test_tasks_are_bounded_by_what_they_exchange():
     assert training._tasks(1000, training.initial_model(64, 0)) == 30
     assert training._tasks(1000, training.initial_model(1792, 0)) == 5
