@@ -14,8 +14,9 @@ from facetide.streaming.running import read_running, running_metrics
 from facetide.streaming.score import await_scored, read_scored, score_stream
 
 SCHEMA = "vec_id long, age_label long, gender_label long, age_logits array<float>, gender_logits array<float>"
-#: Vectors of one record file.
-FILE_ROWS = 150
+#: Vectors of one stretch, and the record files that stretches are dealt to in turn: files grow with the table, so the steps of
+#: a stream do, and not their number. Batches of 32 lie in two files where stretches meet.
+FILE_ROWS, FILES = 150, 16
 
 # All 64 elements: 62 age logits, two gender logits.
 _WHOLE = """logits as (
@@ -28,12 +29,11 @@ _SCORED = SCORED.replace(LOGITS, _WHOLE)
 def _arrive(spark: SparkSession, sf_dir: str, folder: str, lot: int) -> None:
     """Every other file of the vectors' records appears in the folder."""
     vectors = fixtures.table(spark, sf_dir, "embeddings")
-    shard = F.floor(F.col("vec_id") / FILE_ROWS).cast("int")
+    shard = F.pmod(F.floor(F.col("vec_id") / FILE_ROWS), F.lit(FILES)).cast("int")
     rows = vectors.select(
         "vec_id", F.col("label").cast("long").alias("age_label"), (F.col("label") % 2).cast("long").alias("gender_label"),
         F.slice("embedding", 1, 62).alias("age_logits"), F.slice("embedding", 63, 2).alias("gender_logits"), shard.alias("shard"))
-    files = vectors.agg(F.max(shard)).first()[0] + 1
-    placed = rows.where(F.col("shard") % 2 == lot).repartitionById(files, F.col("shard"))
+    placed = rows.where(F.col("shard") % 2 == lot).repartitionById(FILES, F.col("shard"))
     tfrecord.register(spark)
     placed.write.format("tfrecord").mode("append").option("split", "part").option("shardColumn", "shard").save(
         tfrecord.qualified(spark, folder))

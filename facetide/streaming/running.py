@@ -19,6 +19,7 @@ from facetide.session import ship
 BATCH_ROWS = 32
 #: Batches that share a key.
 STRETCH = 1024
+PARTS = "spark.sql.shuffle.partitions"
 MEASURES = ("age_xent", "gender_xent", "age_error", "gender_hit")
 _SUMS = ", ".join(f"{m} double" for m in MEASURES)
 
@@ -69,7 +70,9 @@ def running_metrics(measured: DataFrame, out: str, state: str, by: Sequence[str]
     """Start adding up a stream of rows with ``MEASURES`` (see ``score_rows``) and their ``position``, a number from 0 that is
     unique in each model (the columns ``by``). Sums go to ``out``; ``read_running`` turns them into metrics.
 
-    Sets the session's state store to RocksDB, which this kind of state needs.
+    Sets the session's state store to RocksDB, which this kind of state needs. The state has as many parts as tasks run at once,
+    as each part costs a task, a worker and a commit in every micro-batch, however few rows come; a stream that goes on keeps
+    the number it began with.
     """
     spark = measured.sparkSession
     ship(spark)
@@ -88,7 +91,13 @@ def running_metrics(measured: DataFrame, out: str, state: str, by: Sequence[str]
         part.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     writer = named.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", state)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    # A stream takes the setting as it is when it starts.
+    setting, parts = spark.conf.get(PARTS), spark.sparkContext.defaultParallelism
+    spark.conf.set(PARTS, min(int(setting), parts))
+    try:
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+    finally:
+        spark.conf.set(PARTS, setting)
 
 
 def read_running(spark: SparkSession, out: str, by: Sequence[str] = ()) -> DataFrame:

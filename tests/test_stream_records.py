@@ -113,3 +113,38 @@ def test_batches_stay_open_over_micro_batches(spark, tmp_path, monkeypatch):
     # Full batches are no longer held.
     kept = spark.read.format("statestore").option("path", str(tmp_path / "state")).option("stateVarName", "open").load()
     assert kept.count() == 2
+
+
+def test_files_grow_with_the_table_and_their_number_does_not(spark, tmp_path):
+    from facetide.plans import queries_stream
+
+    for name, low, rows in (("small", 0, 460), ("large", 0, 6000), ("far", 10**9, 3000)):
+        vectors = spark.range(low, low + rows).select(
+            F.col("id").alias("vec_id"), F.array_repeat(F.lit(0.5).cast("float"), 64).alias("embedding"), (F.col("id") % 7).cast("int").alias("label"))
+        vectors.write.parquet(str(tmp_path / name / "embeddings.parquet"))
+        folder, sizes = str(tmp_path / f"{name}-files"), []
+        for lot in (0, 1):
+            queries_stream._arrive(spark, str(tmp_path / name), folder, lot)
+            sizes.append(len([n for n in os.listdir(folder) if n.endswith(".tfrecords")]))
+        assert sizes == ([2, 4] if rows < 1000 else [8, 16])
+        found = tfrecord.read_records(spark, folder, schema="vec_id long", file_columns=True)
+        assert sorted(r["vec_id"] for r in found.collect()) == list(range(low, low + rows))
+        batches = found.groupBy(F.floor(F.col("vec_id") / 32)).agg(F.countDistinct("shard").alias("n"))
+        assert batches.where("n = 2").count() >= rows // 160  # batches still lie in two files
+
+
+def test_the_state_has_no_more_parts_than_tasks_at_once(spark, tmp_path):
+    names = "position long, age_xent double, gender_xent double, age_error double, gender_hit double"
+    spark.range(100).selectExpr("id as position", *(f"cast(id as double) as {m}" for m in running.MEASURES)).coalesce(1).write.parquet(
+        str(tmp_path / "in"))
+    setting = spark.conf.get(running.PARTS)
+    spark.conf.set(running.PARTS, "40")
+    try:
+        stream = spark.readStream.schema(names).parquet(str(tmp_path / "in"))
+        running_metrics(stream, str(tmp_path / "sums"), str(tmp_path / "state")).awaitTermination()
+        assert spark.conf.get(running.PARTS) == "40"
+    finally:
+        spark.conf.set(running.PARTS, setting)
+    parts = [n for n in os.listdir(tmp_path / "state" / "state" / "0") if n.isdigit()]
+    assert len(parts) == min(40, spark.sparkContext.defaultParallelism)
+    assert read_running(spark, str(tmp_path / "sums")).first()["n_rows"] == 100
