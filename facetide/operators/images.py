@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from facetide.session import ship
-from facetide.sources.files import default_root
+from facetide.sources.files import default_root, read_bytes
 
 # One Arrow batch of images is passed on when it holds this many bytes.
 BATCH_BYTES = 64 << 20
 READERS_PER_TASK = 8
+#: A reader takes so many small files at a time, as handing over single ones costs more than reading them; it stops early at
+#: so many bytes.
+RUN_FILES, RUN_BYTES = 32, 1 << 20
 
 
 def missing_files(meta: DataFrame, listing: DataFrame, on: str = "path") -> DataFrame:
@@ -44,23 +47,21 @@ def attach_bytes(meta: DataFrame, path: str = "path", num_partitions: int | None
     def read(batches):
         from concurrent.futures import ThreadPoolExecutor
 
-        from facetide.sources.files import qualified_in, read_bytes
+        from facetide.sources.files import qualified_in
 
         with ThreadPoolExecutor(READERS_PER_TASK) as pool:
             for batch in batches:
                 paths = [qualified_in(p, root) for p in batch.column(batch.schema.get_field_index(path)).to_pylist()]
                 rows, images, size = [], [], 0
-                # A few files are in flight, never the whole batch.
-                for at in range(0, len(paths), READERS_PER_TASK):
-                    for row, data in enumerate(pool.map(read_bytes, paths[at:at + READERS_PER_TASK]), at):
-                        if data is not None and detect is not None:
-                            found = detect(data)
-                            if len(found) != 1:
-                                continue
-                            data = found[0]
-                        rows.append(row)
-                        images.append(data)
-                        size += len(data or b"")
+                for row, data in _read_all(paths, pool):
+                    if data is not None and detect is not None:
+                        found = detect(data)
+                        if len(found) != 1:
+                            continue
+                        data = found[0]
+                    rows.append(row)
+                    images.append(data)
+                    size += len(data or b"")
                     if size >= BATCH_BYTES:
                         yield _with_images(batch, rows, images)
                         rows, images, size = [], [], 0
@@ -70,6 +71,30 @@ def attach_bytes(meta: DataFrame, path: str = "path", num_partitions: int | None
     return meta.mapInArrow(read, schema)
 
 
+def _read_run(paths: list) -> list[bytes | None]:
+    """The first files, up to the one with which they come to ``RUN_BYTES``."""
+    out, size = [], 0
+    for path in paths:
+        out.append(read_bytes(path))
+        size += len(out[-1] or b"")
+        if size >= RUN_BYTES:
+            break
+    return out
+
+
+def _read_all(paths: list, pool) -> Iterator[tuple[int, bytes | None]]:
+    """(place, bytes) of all files. A run for each reader is in flight, of one file if they are large, never the whole list."""
+    rest, run = list(range(len(paths)))[::-1], 1
+    while rest:
+        now = [rest.pop() for _ in range(min(len(rest), READERS_PER_TASK * run))]
+        runs, left = [now[i:i + run] for i in range(0, len(now), run)], []
+        for places, found in zip(runs, pool.map(_read_run, [[paths[i] for i in places] for places in runs])):
+            yield from zip(places, found)
+            left += places[len(found):]
+        rest += left[::-1]
+        run = max(1, run // 2) if left else min(2 * run, RUN_FILES)
+
+
 def _with_images(batch, rows: list[int], images: list):
     import pyarrow as pa
 

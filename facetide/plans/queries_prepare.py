@@ -116,12 +116,23 @@ def attach_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return images.attach_files(meta, fixtures.image_files(spark, sf_dir)).select("doc_id", "path", "length")
 
 
-def export_images(spark: SparkSession, sf_dir: str) -> str:
-    """Write each document's text as a file, leaving out one of ten; returns the base directory."""
+#: Tasks that make files in one folder wait for each other.
+FOLDERS = 256
+
+
+def _image_at(base: str, folders: int) -> F.Column:
+    doc = F.col("doc_id")
+    name = fixtures.file_name(doc)
+    return image_path(base, F.concat_ws("/", F.pmod(doc, F.lit(folders)).cast("string"), name) if folders > 1 else name)
+
+
+def export_images(spark: SparkSession, sf_dir: str, folders: int = 1) -> str:
+    """Write each document's text as a file, leaving out one of ten; returns the base directory. With ``folders`` the files are
+    spread over so many."""
     ship(spark)
     base = scratch_path(spark, "images")
     rows = fixtures.table(spark, sf_dir, "documents").filter("doc_id % 10 <> 0").select(
-        F.concat(F.lit(f"{base}/"), fixtures.file_name(F.col("doc_id"))).alias("path"), "text"
+        _image_at(base, folders).alias("path"), "text"
     )
 
     def write(batches):
@@ -149,11 +160,10 @@ select doc_id, doc_id % 10 = 0 as missing,
 from documents
 """)
 def attach_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = export_images(spark, sf_dir)
-    meta = fixtures.table(spark, sf_dir, "documents").select(
-        "doc_id", image_path(base, fixtures.file_name(F.col("doc_id"))).alias("path")
-    )
-    attached = images.with_missing_flag(images.attach_bytes(meta, num_partitions=8))
+    base = export_images(spark, sf_dir, FOLDERS)
+    meta = fixtures.table(spark, sf_dir, "documents").select("doc_id", _image_at(base, FOLDERS).alias("path"))
+    tasks = max(8, 2 * spark.sparkContext.defaultParallelism)
+    attached = images.with_missing_flag(images.attach_bytes(meta, num_partitions=tasks))
     return attached.select("doc_id", "missing", F.md5("image_raw").alias("digest"))
 
 

@@ -256,3 +256,35 @@ def test_wide_types_are_cast(spark, tmp_path):
     got = {r["file_name"]: r for r in read_meta(spark, str(tmp_path / "meta"), "x").collect()}
     assert (got["a"]["photo_taken"], got["a"]["gender"], got["a"]["source"]) == (2000, 1.0, "x")
     assert got["b"]["photo_taken"] is None and got["b"]["second_face_score"] == 1.0
+
+
+def test_small_files_are_read_in_runs_and_large_ones_one_by_one(tmp_path, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    monkeypatch.setattr(images, "RUN_BYTES", 1000)
+    sizes = [3] * 400 + [600] * 40 + [5000] * 5 + [0, 3] * 60
+    paths = []
+    for i, n in enumerate(sizes):
+        (tmp_path / f"{i}").write_bytes(bytes([i % 251]) * n)
+        paths += [str(tmp_path / f"{i}"), None, str(tmp_path / f"no{i}")][:1 + 2 * (i % 50 == 0)]
+    calls, read = [], images._read_run
+    monkeypatch.setattr(images, "_read_run", lambda p: calls.append(read(p)) or calls[-1])
+    with ThreadPoolExecutor(4) as pool:
+        found = dict(images._read_all(paths, pool))
+    assert sorted(found) == list(range(len(paths)))
+    for i, p in enumerate(paths):
+        at = int(p.rsplit("/", 1)[1]) if p and "no" not in p.rsplit("/", 1)[1] else None
+        assert found[i] == (None if at is None else bytes([at % 251]) * sizes[at])
+    assert len(calls) < len(paths) / 3  # before, a call for each file
+    assert all(sum(len(d or b"") for d in c[:-1]) < 1000 for c in calls)
+
+
+def test_exported_images_are_spread_over_folders(spark, tmp_path):
+    from facetide.plans import queries_prepare
+
+    spark.range(1000).selectExpr("id as doc_id", "concat('t', id) as text").write.parquet(str(tmp_path / "documents.parquet"))
+    base = queries_prepare.export_images(spark, str(tmp_path), 16).removeprefix("file:")
+    held = {f: len(os.listdir(f"{base}/{f}/src")) for f in os.listdir(base)}
+    assert len(held) == 16 and sum(held.values()) == 900 and max(held.values()) < 70
+    rows = queries_prepare.attach_bytes(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in rows if r["missing"]} == set(range(0, 1000, 10)) and len(rows) == 1000
