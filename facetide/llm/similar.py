@@ -89,8 +89,10 @@ def _frequent(docs: DataFrame, text: str) -> np.ndarray:
     return np.array([r["token"] for r in rows], np.int64).view(np.uint64)[::-1]
 
 
-def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row per document: key, class, set size; for the first of its class in a piece also the prefix."""
+def _classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """A row per document: key, class, set size; for the first of its class in a piece also the bitmap and the prefix's frequent
+    tokens. The others go from the texts straight into their exchange, as they would fill the disk twice: they are not stored
+    but a table of their own, which is made again from the texts."""
     frequent = _frequent(docs, text)
     order = np.argsort(frequent, kind="stable")
     sent = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
@@ -99,13 +101,13 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
         known, rank = sent.value
         for batch in batches:
             for piece in pieces(batch, "_text"):
-                seen, names, sizes, fine, least, rare, often = set(), [], [], [], [], [], []
+                seen, names, sizes, fine, least, rare, before, often = set(), [], [], [], [], [], [], []
                 for tokens in _shingles(piece.column("_text")):
                     name, n = _class_of(tokens), len(tokens)
                     names.append(name)
                     sizes.append(n)
                     if not n or name in seen:
-                        for held in (fine, least, rare, often):
+                        for held in (fine, least, rare, before, often):
                             held.append(None)
                         continue
                     seen.add(name)
@@ -121,20 +123,23 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
                     fine.append(signature.bitmap(tokens, signature.FINE).tobytes())
                     least.append(int(tokens[:1].view(np.int64)[0]))
                     rare.append(first.view(np.int64))
+                    before.append(len(first))
                     often.append(late.view(np.int64))
                 yield pa.RecordBatch.from_pydict({
                     "short": pa.array([signature.short_length(n) for n in sizes], pa.int32()), "key": piece.column("key"),
                     "place": piece.column("place"), "class": pa.array(names, pa.int64()), "n": pa.array(sizes, pa.int64()),
                     "fine": pa.array(fine, pa.binary()), "least": pa.array(least, pa.int64()),
-                    "rare": pa.array(rare, pa.list_(pa.int64())), "often": pa.array(often, pa.list_(pa.int64()))})
+                    "rare": pa.array(rare, pa.list_(pa.int64())),
+                    "before": pa.array(before, pa.int32()), "often": pa.array(often, pa.list_(pa.int64()))})
 
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("place"), F.col(text).alias("_text"))
-    return stored(rows.mapInArrow(
-        make, f"short int, key {kind}, place long, class long, n long, fine binary, least long, rare array<long>, often array<long>"), "classes")
+    made = rows.mapInArrow(make, f"short int, key {kind}, place long, class long, n long, fine binary, least long, "
+                           "rare array<long>, before int, often array<long>")
+    return stored(made.drop("rare"), "classes"), made.where("rare is not null").select("class", "n", "short", "rare")
 
 
-def _shared(classes: DataFrame) -> DataFrame:
+def _shared(classes: DataFrame, prefixes: DataFrame) -> DataFrame:
     """(token, class) of prefix tokens that several classes have.
 
     Of linked sets the smaller one has a shared token among its first seventh, so a token counts for a class only if that
@@ -172,12 +177,12 @@ def _shared(classes: DataFrame) -> DataFrame:
         if same.any():
             yield pa.RecordBatch.from_pydict({"token": pa.array(token[same]), "class": pa.array(name[same])})
 
-    sets = classes.where("rare is not null")
+    sets = classes.where("often is not null")
     # The size, and whether the token is among the first seventh, as one number.
     size = lambda place: (2 * F.col("n") + (place < F.col("short")).cast("int")).cast("int").alias("size")
-    rare = sets.select("class", "n", "short", F.posexplode("rare").alias("at", "token")).select("token", "class", size(F.col("at")))
+    rare = prefixes.select("class", "n", "short", F.posexplode("rare").alias("at", "token")).select("token", "class", size(F.col("at")))
     rare = rare.repartition(F.col("token")).mapInArrow(groups, "token long, class long")
-    often = sets.select("class", "n", "short", F.size("rare").alias("before"), F.posexplode("often").alias("at", "token")).select(
+    often = sets.select("class", "n", "short", "before", F.posexplode("often").alias("at", "token")).select(
         "token", "class", size(F.col("at") + F.col("before"))).distinct()
     least = often.where("size % 2 = 1").groupBy("token").agg(F.min(F.shiftright("size", 1)).alias("least"))
     often = often.join(least, "token").where(F.shiftright("size", 1) >= F.col("least")).select("token", "class")
@@ -368,9 +373,10 @@ def _in_cells(batches: Iterator[pa.RecordBatch], more: tuple[str, ...] = ()) ->
 def _prepared(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A row per document, a row of facts per class, and the blocks of those that share a token."""
     ship(docs.sparkSession)
-    classes = _classes(docs, key, text)
+    classes, prefixes = _classes(docs, key, text)
+    shared = _shared(classes, prefixes)
     facts = stored(classes.where("n > 0").groupBy("class").agg(F.max("n").alias("n"), F.min("place").alias("place"), F.max("fine").alias("fine"), F.max("least").alias("least")), "facts")
-    return classes, facts, _blocks(_shared(classes), facts)
+    return classes, facts, _blocks(shared, facts)
 
 
 def all_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -176,3 +176,14 @@ def test_the_smaller_set_needs_a_short_prefix_only():
             o = int(signature.needed(n, m))
             if o <= n:
                 assert n - o + 1 <= signature.short_length(n) <= signature.prefix_length(n)
+
+
+def test_rare_tokens_of_prefixes_are_not_stored(spark):
+    """They fill the exchange; in a table beside it they would fill the disk twice."""
+    docs = spark.range(200).selectExpr("id", "concat_ws(' ', transform(sequence(1, 60), x -> concat('w', id div 2, '_', x))) as text")
+    classes, prefixes = similar._classes(docs, "id", "text")
+    assert "rare" not in classes.columns and "MapInArrow" in prefixes._jdf.queryExecution().executedPlan().toString()
+    held = {r["class"]: r["before"] for r in classes.where("before is not null").collect()}
+    assert len(held) == 100 and held == {r["class"]: len(r["rare"]) for r in prefixes.collect()}
+    out, _ = similar.similar(docs, "id", "text")
+    assert {(r["id"], r["component_id"]) for r in out.collect()} == {(i, i // 2 * 2) for i in range(200)}
