@@ -15,7 +15,8 @@ from facetide.streaming.score import await_scored, read_scored, score_stream
 
 SCHEMA = "vec_id long, age_label long, gender_label long, age_logits array<float>, gender_logits array<float>"
 #: Vectors of one stretch, and the record files that stretches are dealt to in turn: files grow with the table, so the steps of
-#: a stream do, and not their number. Batches of 32 lie in two files where stretches meet.
+#: a stream do, and not their number. Each round begins one file earlier than the last, every 16th at a file by its hash, so ids
+#: with wide gaps are dealt to all files too. Batches of 32 lie in two files where stretches meet.
 FILE_ROWS, FILES = 150, 16
 
 # All 64 elements: 62 age logits, two gender logits.
@@ -29,7 +30,10 @@ _SCORED = SCORED.replace(LOGITS, _WHOLE)
 def _arrive(spark: SparkSession, sf_dir: str, folder: str, lot: int) -> None:
     """Every other file of the vectors' records appears in the folder."""
     vectors = fixtures.table(spark, sf_dir, "embeddings")
-    shard = F.pmod(F.floor(F.col("vec_id") / FILE_ROWS), F.lit(FILES)).cast("int")
+    stretch = F.floor(F.col("vec_id") / FILE_ROWS)
+    turn = F.floor(stretch / FILES)
+    begin = F.pmod(turn, F.lit(FILES)) + F.pmod(F.xxhash64(F.floor(turn / FILES)), F.lit(FILES))
+    shard = F.pmod(stretch - begin, F.lit(FILES)).cast("int")
     rows = vectors.select(
         "vec_id", F.col("label").cast("long").alias("age_label"), (F.col("label") % 2).cast("long").alias("gender_label"),
         F.slice("embedding", 1, 62).alias("age_logits"), F.slice("embedding", 63, 2).alias("gender_logits"), shard.alias("shard"))
@@ -57,7 +61,8 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, out = scratch_path(spark, "arriving"), scratch_path(spark, "scored")
     stream = lambda: tfrecord.read_record_stream(spark, folder, f"{out}/arrivals", SCHEMA, max_files=1)
     _arrive(spark, sf_dir, folder, 0)
-    await_scored(score_stream(stream(), lambda rows: rows, f"{out}/rows", f"{out}/state", max_batches=1, available_now=False))
+    await_scored(score_stream(stream(), lambda rows: rows, f"{out}/rows", f"{out}/state", max_batches=1, available_now=False),
+                 available_now=False)
     _arrive(spark, sf_dir, folder, 1)
     _drained(score_stream(stream(), lambda rows: rows, f"{out}/rows", f"{out}/state", available_now=False))
     return read_scored(spark, f"{out}/rows").withColumn("pred_age", F.round("pred_age", 6))

@@ -56,13 +56,20 @@ def score_stream(rows: DataFrame, logits: Callable[[DataFrame], DataFrame], out:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def await_scored(query: StreamingQuery) -> None:
-    """Wait until the files are used up or the cap is reached."""
+def await_scored(query: StreamingQuery, available_now: bool = True) -> None:
+    """Wait until the files are used up or the cap is reached. A query that goes on (``available_now=False``) waits for more files
+    when fewer came than the cap allows: it is stopped as soon as what has arrived is read."""
     try:
-        query.awaitTermination()
+        if available_now:
+            query.awaitTermination()
+        else:
+            query.processAllAvailable()
     except StreamingQueryException as error:
         if CAP not in str(error):
             raise
+    finally:
+        if not available_now:
+            query.stop()
 
 
 def read_scored(spark: SparkSession, out: str) -> DataFrame:

@@ -133,6 +133,47 @@ def test_files_grow_with_the_table_and_their_number_does_not(spark, tmp_path):
         assert batches.where("n = 2").count() >= rows // 160  # batches still lie in two files
 
 
+def test_ids_with_wide_gaps_are_dealt_to_all_files(spark, tmp_path):
+    from facetide.plans import queries_stream
+
+    for name, gap in (("rounds", 2400), ("shifted", 16 * 2400), ("far", 10**12)):
+        spark.range(600).select(
+            (F.col("id") * gap + 150).alias("vec_id"), F.array_repeat(F.lit(0.5).cast("float"), 64).alias("embedding"),
+            (F.col("id") % 7).cast("int").alias("label")).write.parquet(str(tmp_path / name / "embeddings.parquet"))
+        folder = str(tmp_path / f"{name}-files")
+        for lot in (0, 1):
+            queries_stream._arrive(spark, str(tmp_path / name), folder, lot)
+        found = tfrecord.read_records(spark, folder, schema="vec_id long", file_columns=True)
+        sizes = [r["count"] for r in found.groupBy("shard").count().collect()]
+        assert len(sizes) == 16 and sum(sizes) == 600 and max(sizes) < 120
+        assert sorted(r["vec_id"] for r in found.collect()) == [k * gap + 150 for k in range(600)]
+
+
+@pytest.mark.parametrize("rows, low", [(100, 0), (100, 150), (310, 0)])
+def test_the_first_run_ends_when_fewer_files_come_than_its_cap(spark, tmp_path, rows, low):
+    import threading
+
+    from facetide.plans import queries_stream
+
+    spark.range(low, low + rows).select(
+        F.col("id").alias("vec_id"), F.array_repeat(F.lit(0.5).cast("float"), 64).alias("embedding"),
+        (F.col("id") % 7).cast("int").alias("label")).write.parquet(str(tmp_path / "embeddings.parquet"))
+    late = []
+
+    def end():
+        late.append(True)
+        for query in spark.streams.active:
+            query.stop()
+
+    timer = threading.Timer(60, end)
+    timer.start()
+    try:
+        found = queries_stream.stream_records(spark, str(tmp_path)).collect()
+    finally:
+        timer.cancel()
+    assert not late and sorted(r["vec_id"] for r in found) == list(range(low, low + rows))
+
+
 def test_the_state_has_no_more_parts_than_tasks_at_once(spark, tmp_path):
     names = "position long, age_xent double, gender_xent double, age_error double, gender_hit double"
     spark.range(100).selectExpr("id as position", *(f"cast(id as double) as {m}" for m in running.MEASURES)).coalesce(1).write.parquet(
