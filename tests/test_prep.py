@@ -6,10 +6,12 @@ from collections import Counter
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from facetide.operators import images, prep
 from facetide.plans.prepare import prepare, sharded
+from facetide.sources import files
 from facetide.sources.files import list_files
 from facetide.sources.tables import read_meta, read_prepared, write_prepared
 from facetide.sources.tfrecord import read_records
@@ -153,6 +155,70 @@ def test_attach_bytes_and_listing(spark, pictures, tmp_path):
     assert images.attach_files(on, listing).count() == 32
 
 
+def listed(listing):
+    return sorted(tuple(r) for r in listing.select("path", "length", F.unix_millis("modificationTime")).collect())
+
+
+def test_listing_has_the_rows_of_sparks_listing(spark, tmp_path):
+    top = tmp_path / "top" / "dir"
+    (top / "sub" / "dir").mkdir(parents=True)
+    (top / "empty").mkdir()
+    seen = ["a.jpg", "b:c.jpg", "d e.jpg", "f%20g.jpg", "h\ni.jpg", "é.jpg", "j#k?.jpg", "k=v", "q[1]{z}*.jpg", "_l=m.jpg"]
+    for name in [*seen, ".h.jpg", "_x.jpg", "_metadata", ".a.jpg.crc", "n._COPYING_", "sub/no.jpg", "sub/dir/no.jpg"]:
+        (top / name).write_bytes(b"x" * len(name))
+    (top / "zero.jpg").touch()
+    (top / "link.jpg").symlink_to("a.jpg")
+    for name, to in (("nowhere.jpg", "none"), ("loop.jpg", "loop.jpg"), ("below.jpg", "a.jpg/b"), ("folder.jpg", "sub")):
+        (top / name).symlink_to(to)
+    os.mkfifo(top / "pipe.jpg")
+    with open(os.path.join(os.fsencode(top), b"\xff.jpg"), "wb") as odd:
+        odd.write(b"x")
+    os.utime(top / "a.jpg", ns=(0, 1_700_000_000_123_999_999))
+    sizes = {n: len(n) for n in seen} | {"link.jpg": len("a.jpg")}
+    expected = sorted((f"file:{top}/{n}", k, (top / n).stat().st_mtime_ns // 1_000_000) for n, k in sizes.items())
+    assert (f"file:{top}/a.jpg", 5, 1_700_000_000_123) in expected
+    # The same folder, however it is written. With // in it none of its files were found.
+    for directory in (f"{top}", f"{top}/", f"file:{top}", f"file://{top}", f"{tmp_path}//top/./dir", os.path.relpath(top)):
+        assert listed(list_files(spark, directory)) == expected, directory
+    by_spark = files._listed_by_spark(spark, str(top), files.qualified(spark, str(top)))
+    assert listed(by_spark) == expected and by_spark.schema == list_files(spark, str(top)).schema
+    for nothing in ("empty", "a.jpg"):
+        assert list_files(spark, f"{top}/{nothing}").count() == 0
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        list_files(spark, f"{top}/none")
+
+
+def test_listing_of_a_store_that_only_spark_opens(spark, tmp_path):
+    (tmp_path / "p" / "p").mkdir(parents=True)
+    for name in ("a.jpg", "b.jpg", "p/no.jpg"):
+        (tmp_path / "p" / name).write_bytes(b"x")
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.listed.link./in", f"file://{tmp_path}")
+    found = listed(list_files(spark, "viewfs://listed/in/p"))
+    assert [r[:2] for r in found] == [(f"viewfs://listed/in/p/{n}.jpg", 1) for n in "ab"]
+
+
+def test_listing_is_not_held_by_the_driver(spark, tmp_path):
+    """A frame over the files themselves has each of them in its plan, and a task for every few of them."""
+    for i in range(300):
+        (tmp_path / f"{i}.jpg").write_bytes(b"x" * (i + 1))
+    listing = list_files(spark, str(tmp_path))
+    assert not [f for f in listing.inputFiles() if f.endswith(".jpg")]
+    (tmp_path / "later.jpg").write_bytes(b"x")
+    (tmp_path / "0.jpg").unlink()
+    assert [(p.rsplit("/", 1)[1], k) for p, k, _ in listed(listing)] == sorted((f"{i}.jpg", i + 1) for i in range(300))
+
+
+def test_names_come_in_runs(tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "RUN_NAMES", 4)
+    for i in range(10):
+        (tmp_path / f"{i}.jpg").write_bytes(b"x")
+    runs = list(files.name_runs(str(tmp_path)))
+    assert [len(r) for r in runs] == [4, 4, 2] and len({n for r in runs for n in r}) == 10
+    assert files.status(str(tmp_path), "gone.jpg") is None
+    with pytest.raises(OSError):
+        files.status(str(tmp_path), "x" * 300)
+
+
 def test_prepare_end_to_end(spark, pictures, tmp_path):
     out = str(tmp_path / "out")
     meta = metadata(spark).withColumn("source", F.lit("imdb"))
