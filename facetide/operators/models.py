@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 import uuid
 from collections.abc import Callable, Sequence
@@ -90,6 +91,16 @@ def save_model(spark: SparkSession, model: TwoHeadModel, directory: str, keep: i
 
 def _claimed(spark: SparkSession, directory: str, number: int) -> bool:
     """Create the file that stands for a save number; false if there is one already."""
+    if directory.startswith("file:"):  # where Hadoop asks and then creates, which two writers can do at once
+        from facetide.sources.files import resolve
+
+        claims = resolve(f"{directory}/_claims")[1]
+        os.makedirs(claims, exist_ok=True)
+        try:
+            os.close(os.open(f"{claims}/{number:06d}", os.O_CREAT | os.O_EXCL | os.O_WRONLY, 0o666))
+        except FileExistsError:
+            return False
+        return True
     place = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/_claims/{number:06d}")
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(place)
 

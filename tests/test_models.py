@@ -10,6 +10,7 @@ from pyspark.sql.types import DoubleType
 from facetide.operators import metrics, models, selection, trace, training
 from facetide.plans.evaluate import choose_best_model, evaluate, evaluate_models
 from facetide.plans.infer import infer
+from facetide.sources import files
 from facetide.streaming.score import await_scored, read_scored, read_stream, score_stream
 
 
@@ -286,6 +287,21 @@ def test_two_writers_lose_nothing(spark, tmp_path):
         assert m.step == step and m.gender.shape == model.gender.shape
 
 
+def test_a_save_number_is_claimed_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    folder, begin = files.qualified(spark, str(tmp_path)), Barrier(6)
+
+    def claim(number):
+        begin.wait()
+        return models._claimed(spark, folder, number)
+
+    with ThreadPoolExecutor(6) as pool:
+        for number in range(1, 51):
+            assert sum(pool.map(claim, [number] * 6)) == 1
+
+
 def test_a_checkpoint_that_was_not_finished_is_not_seen(spark, tmp_path):
     model, folder = training.initial_model(3, 1, 4), str(tmp_path / "m")
     models.save_model(spark, model, folder)
